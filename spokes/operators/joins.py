@@ -1,0 +1,22 @@
+"""Join helpers with a checked broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup tables of this application (zones, stations, seeds) hold thousands of
+# rows; a broadcast is only issued below this bound.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting (at most ``max_rows + 1``) rows.
+
+    Beyond the bound the frame is returned unhinted and Spark plans a shuffle
+    join (AQE may still switch to broadcast from the runtime size).  Use on
+    seed-sized inputs; for frames derived from the fact, leave the decision to
+    AQE's runtime statistics instead of paying a counting job.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
