@@ -35,9 +35,14 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
-def register(name: str):
+def round6(df: DataFrame, cols) -> DataFrame:
+    """Round double aggregates whose last bits depend on summation order."""
+    return df.withColumns({c: F.round(F.col(c), 6) for c in cols}) if cols else df
+
+
+def register(name: str, rounded: tuple[str, ...] = ()):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = lambda spark, sf_dir: comparable(fn(spark, sf_dir))
+        REGISTRY[name] = lambda spark, sf_dir: round6(comparable(fn(spark, sf_dir)), rounded)
         return fn
 
     return deco
@@ -75,6 +80,160 @@ def q_agg_rides_daily(spark, sf):
 # ---- daily-mart KPIs --------------------------------------------------------------------
 
 
-@register("overview_kpis")
+@register("overview_kpis", rounded=("total_hours",))
 def q_overview_kpis(spark, sf):
     return kpis.overview_kpis(_wh(spark, sf).daily, FILTER)
+
+
+@register("unique_station_count")
+def q_unique_station_count(spark, sf):
+    return kpis.unique_station_count(_wh(spark, sf).dim, FILTER)
+
+
+@register("member_casual_breakdown")
+def q_member_casual_breakdown(spark, sf):
+    return kpis.member_casual_breakdown(_wh(spark, sf).daily, FILTER)
+
+
+@register("rideable_type_breakdown")
+def q_rideable_type_breakdown(spark, sf):
+    return kpis.rideable_type_breakdown(_wh(spark, sf).daily, FILTER)
+
+
+@register("daily_rides_over_time")
+def q_daily_rides_over_time(spark, sf):
+    return kpis.daily_rides_over_time(_wh(spark, sf).daily, FILTER)
+
+
+@register("daily_member_casual")
+def q_daily_member_casual(spark, sf):
+    return kpis.daily_member_casual(_wh(spark, sf).daily, FILTER)
+
+
+@register("daily_rideable_type")
+def q_daily_rideable_type(spark, sf):
+    return kpis.daily_rideable_type(_wh(spark, sf).daily, FILTER)
+
+
+@register("duration_stats", rounded=("avg_minutes",))
+def q_duration_stats(spark, sf):
+    return kpis.duration_stats(_wh(spark, sf).daily, FILTER)
+
+
+@register("shortest_between_stations")
+def q_shortest_between_stations(spark, sf):
+    return kpis.shortest_between_stations(_wh(spark, sf).fct, FILTER)
+
+
+@register("busiest_quietest_day")
+def q_busiest_quietest_day(spark, sf):
+    return kpis.busiest_quietest_day(_wh(spark, sf).daily, FILTER)
+
+
+@register("available_months")
+def q_available_months(spark, sf):
+    return kpis.available_months(_wh(spark, sf).daily)
+
+
+@register("city_summary", rounded=("total_hours", "avg_minutes"))
+def q_city_summary(spark, sf):
+    wh = _wh(spark, sf)
+    return kpis.city_summary(wh.daily, wh.dim, wh.fct, FILTER)
+
+
+@register("city_metrics", rounded=("total_hours", "avg_minutes"))
+def q_city_metrics(spark, sf):
+    wh = _wh(spark, sf)
+    return kpis.city_metrics(kpis.city_summary(wh.daily, wh.dim, wh.fct, FILTER))
+
+
+@register("comparison_ratio", rounded=("value", "ratio"))
+def q_comparison_ratio(spark, sf):
+    wh = _wh(spark, sf)
+    summary = kpis.city_summary(wh.daily, wh.dim, wh.fct, FILTER)
+    return kpis.comparison_ratio(summary, ["total_rides", "total_hours", "avg_minutes", "active_stations"])
+
+
+@register("segment_share")
+def q_segment_share(spark, sf):
+    return kpis.segment_share(kpis.member_casual_breakdown(_wh(spark, sf).daily, FILTER), "member_casual")
+
+
+# ---- fact KPIs --------------------------------------------------------------------------
+
+
+@register("top_start_stations")
+def q_top_start_stations(spark, sf):
+    return kpis.top_stations(_wh(spark, sf).fct, FILTER, "start", 10)
+
+
+@register("top_end_stations")
+def q_top_end_stations(spark, sf):
+    return kpis.top_stations(_wh(spark, sf).fct, FILTER, "end", 10)
+
+
+@register("top_routes")
+def q_top_routes(spark, sf):
+    return kpis.top_routes(_wh(spark, sf).fct, FILTER, 5)
+
+
+@register("top_start_stations_geo")
+def q_top_start_stations_geo(spark, sf):
+    wh = _wh(spark, sf)
+    return kpis.top_stations_geo(wh.fct, wh.dim, FILTER, "start", 10)
+
+
+@register("top_end_stations_geo")
+def q_top_end_stations_geo(spark, sf):
+    wh = _wh(spark, sf)
+    return kpis.top_stations_geo(wh.fct, wh.dim, FILTER, "end", 10)
+
+
+@register("top_routes_geo")
+def q_top_routes_geo(spark, sf):
+    wh = _wh(spark, sf)
+    return kpis.top_routes_geo(wh.fct, wh.dim, FILTER, 5)
+
+
+@register("scaled_marker_size")
+def q_scaled_marker_size(spark, sf):
+    top = kpis.top_stations(_wh(spark, sf).fct, FILTER, "start", 10)
+    return kpis.scaled_marker_size(top, "rides", 6.0, 24.0, by=("system",))
+
+
+@register("rides_by_hour")
+def q_rides_by_hour(spark, sf):
+    return kpis.rides_by_hour(_wh(spark, sf).fct, FILTER)
+
+
+@register("rides_by_dow")
+def q_rides_by_dow(spark, sf):
+    return kpis.rides_by_dow(_wh(spark, sf).fct, FILTER)
+
+
+@register("active_stations")
+def q_active_stations(spark, sf):
+    return kpis.active_stations(_wh(spark, sf).fct, FILTER)
+
+
+# ---- stations ---------------------------------------------------------------------------
+
+
+@register("station_observations")
+def q_station_observations(spark, sf):
+    return stations.station_observations(_wh(spark, sf).unioned)
+
+
+@register("dim_stations")
+def q_dim_stations(spark, sf):
+    return _wh(spark, sf).dim
+
+
+@register("all_stations_geo")
+def q_all_stations_geo(spark, sf):
+    return stations.all_stations_geo(_wh(spark, sf).dim, FILTER.systems)
+
+
+@register("station_centroids")
+def q_station_centroids(spark, sf):
+    return kpis.station_centroids(_wh(spark, sf).dim)
