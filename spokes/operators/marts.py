@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DAILY_COLUMNS
+from .joins import broadcast_if_small
 
 
 def agg_rides_daily(fct: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def zone_rollup(
             )
         ).alias("side"),
     ).where(F.col("side.sid").isNotNull())
-    mapping = F.broadcast(station_zone.select(F.col("station_id").alias("sid"), F.col(zone_col)))
+    mapping = broadcast_if_small(station_zone.select(F.col("station_id").alias("sid"), F.col(zone_col)))
     joined = sides.join(mapping, F.col("side.sid") == F.col("sid"), "inner")
     dep = F.col("side.dep")
 
@@ -89,9 +90,9 @@ def zone_rollup(
     meta = zone_meta.select(zone_col, *meta_cols, "area_km2", "centroid_lat", "centroid_lng")
     pop = zone_pop.select(zone_col, "population", "households", "median_household_income")
     out = (
-        agg.join(F.broadcast(meta), zone_col, "inner")
-        .join(F.broadcast(pop), zone_col, "left")
-        .join(F.broadcast(station_count), zone_col, "left")
+        agg.join(broadcast_if_small(meta), zone_col, "inner")
+        .join(broadcast_if_small(pop), zone_col, "left")
+        .join(broadcast_if_small(station_count), zone_col, "left")
     )
     return out.select(
         zone_col,

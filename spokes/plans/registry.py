@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
-from ..operators import kpis, stations
+from ..operators import kpis, marts, stations, zones
 from ..sources import fixtures
+from ..sources import zones as zone_src
 from . import pipeline
 
 FILTER = RideFilter(fixtures.SYSTEMS, dt.date(1995, 1, 1), dt.date(2024, 1, 1))
@@ -237,3 +238,80 @@ def q_all_stations_geo(spark, sf):
 @register("station_centroids")
 def q_station_centroids(spark, sf):
     return kpis.station_centroids(_wh(spark, sf).dim)
+
+
+# ---- zones ------------------------------------------------------------------------------
+
+ZONE_SYSTEM = "beta"
+
+
+def zone_inputs(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None):
+    wh = wh or _wh(spark, sf)
+    meta = zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf)), boundary)
+    pop = zone_src.zone_population(spark, sf, boundary)
+    mapping = zone_src.station_zone_map(wh.dim, spark, sf, boundary, ZONE_SYSTEM)
+    return wh, meta, pop, mapping
+
+
+def zone_mart(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None) -> DataFrame:
+    wh, meta, pop, mapping = zone_inputs(spark, sf, boundary, wh)
+    spec = zone_src.BOUNDARIES[boundary]
+    display = (spec["display_col"],) if spec["display_col"] else ()
+    return marts.zone_rollup(wh.fct, mapping, meta, pop, ZONE_SYSTEM, spec["id_col"], display)
+
+
+for _b in zone_src.BOUNDARIES:
+    register(f"agg_zone_{_b}")(lambda spark, sf, _b=_b: zone_mart(spark, sf, _b))
+
+
+@register("zone_arrivals")
+def q_zone_arrivals(spark, sf):
+    return zone_mart(spark, sf, "neighborhood").select("neighborhood_name", "started_month", "arrival_rides")
+
+
+@register("zone_station_count")
+def q_zone_station_count(spark, sf):
+    _, _, _, mapping = zone_inputs(spark, sf, "neighborhood")
+    return mapping.groupBy("neighborhood_name").agg(F.count(F.lit(1)).alias("station_count"))
+
+
+def _zone_metrics(spark, sf, boundary="neighborhood"):
+    mart = zone_mart(spark, sf, boundary)
+    return zones.zone_metrics(mart, zone_src.BOUNDARIES[boundary]["id_col"], FILTER.month_start, FILTER.month_end)
+
+
+@register("zone_metrics")
+def q_zone_metrics(spark, sf):
+    return _zone_metrics(spark, sf)
+
+
+@register("zone_metrics_cluster")
+def q_zone_metrics_cluster(spark, sf):
+    return _zone_metrics(spark, sf, "cluster")
+
+
+@register("zone_table")
+def q_zone_table(spark, sf):
+    return zones.zone_table(_zone_metrics(spark, sf), "rides_per_km2")
+
+
+@register("zone_metric_quantiles", rounded=("p05", "p95"))
+def q_zone_metric_quantiles(spark, sf):
+    return zones.zone_metric_quantiles(_zone_metrics(spark, sf))
+
+
+@register("zone_display_names")
+def q_zone_display_names(spark, sf):
+    wh, meta, _, _ = zone_inputs(spark, sf, "cluster")
+    return zones.zone_display_names(_zone_metrics(spark, sf, "cluster"), meta, "cluster_id", "cluster_display_name")
+
+
+@register("stations_per_zone_top10")
+def q_stations_per_zone_top10(spark, sf):
+    _, _, _, mapping = zone_inputs(spark, sf, "tract")
+    return zones.stations_per_zone_top(mapping, "tract_geoid", 10)
+
+
+@register("top_population_zones")
+def q_top_population_zones(spark, sf):
+    return zones.top_population_zones(zone_src.zone_population(spark, sf, "block_group"), "bg_geoid", 10)

@@ -29,6 +29,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2**53:
+            return int(v)
         return round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
