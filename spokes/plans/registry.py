@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
-from ..operators import kpis, marts, stations, zones
+from ..functions import geo
+from ..operators import kpis, marts, spatial, stations, zones
 from ..sources import fixtures
 from ..sources import zones as zone_src
 from . import pipeline
@@ -315,3 +316,116 @@ def q_stations_per_zone_top10(spark, sf):
 @register("top_population_zones")
 def q_top_population_zones(spark, sf):
     return zones.top_population_zones(zone_src.zone_population(spark, sf, "block_group"), "bg_geoid", 10)
+
+
+# ---- geo --------------------------------------------------------------------------------
+
+
+def _stations_xy(spark, sf):
+    dim = _wh(spark, sf).dim
+    return dim.where((F.col("system") == ZONE_SYSTEM) & F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(
+        "station_id", F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")
+    )
+
+
+def _cells(spark, sf):
+    return zone_src.grid_cells(spark, sf).select(F.col("name").alias("zone"), "geometry")
+
+
+def _city_boundary(spark, sf):
+    """The grid extent as one polygon, derived from the cell layer."""
+    cells = zone_src.grid_cells(spark, sf)
+    bb = cells.agg(
+        F.min(geo.bbox(F.col("geometry"))["xmin"]).alias("x0"), F.min(geo.bbox(F.col("geometry"))["ymin"]).alias("y0"),
+        F.max(geo.bbox(F.col("geometry"))["xmax"]).alias("x1"), F.max(geo.bbox(F.col("geometry"))["ymax"]).alias("y1"),
+    )
+    ring = F.array(
+        geo.point(F.col("x0"), F.col("y0")), geo.point(F.col("x1"), F.col("y0")), geo.point(F.col("x1"), F.col("y1")),
+        geo.point(F.col("x0"), F.col("y1")), geo.point(F.col("x0"), F.col("y0")),
+    )
+    return bb.select(F.array(F.array(ring)).alias("geometry"))
+
+
+@register("utm_project")
+def q_utm_project(spark, sf):
+    p = geo.utm(F.col("lng"), F.col("lat"))
+    return _stations_xy(spark, sf).select(
+        "station_id", F.round(p["x"], 3).alias("easting"), F.round(p["y"], 3).alias("northing")
+    )
+
+
+@register("zone_area")
+def q_zone_area(spark, sf):
+    return _cells(spark, sf).select("zone", geo.area_km2(F.col("geometry")).alias("area_km2"))
+
+
+@register("zone_centroid")
+def q_zone_centroid(spark, sf):
+    c = geo.centroid(F.col("geometry"))
+    return _cells(spark, sf).select(
+        "zone", F.round(c["y"], 6).alias("centroid_lat"), F.round(c["x"], 6).alias("centroid_lng")
+    )
+
+
+@register("points_in_boundary")
+def q_points_in_boundary(spark, sf):
+    return spatial.points_in_polygons(_stations_xy(spark, sf), _city_boundary(spark, sf)).select("station_id")
+
+
+@register("point_in_polygon")
+def q_point_in_polygon(spark, sf):
+    return spatial.points_in_polygons(_stations_xy(spark, sf), _cells(spark, sf), how="left").select(
+        "station_id", "zone"
+    )
+
+
+@register("spatial_gaps")
+def q_spatial_gaps(spark, sf):
+    pip = spatial.points_in_polygons(_stations_xy(spark, sf), _cells(spark, sf), how="left")
+    return _stations_xy(spark, sf).join(pip.where(F.col("zone").isNull()), "station_id", "left_semi").select(
+        "station_id"
+    )
+
+
+@register("nearest_zone")
+def q_nearest_zone(spark, sf):
+    st = _stations_xy(spark, sf)
+    pip = spatial.points_in_polygons(st, _cells(spark, sf), how="left")
+    gaps = st.join(pip.where(F.col("zone").isNull()), "station_id", "left_semi")
+    return spatial.nearest(
+        spatial.project_points(gaps), spatial.projected_centroids(_cells(spark, sf), "zone"),
+        "station_id", "zone", "ux", "uy", "ux", "uy",
+    ).select("station_id", "zone")
+
+
+@register("station_zone_assignment")
+def q_station_zone_assignment(spark, sf):
+    return spatial.assign_stations(_stations_xy(spark, sf), _cells(spark, sf), "zone", _city_boundary(spark, sf))
+
+
+def _tiles(spark, sf):
+    return zone_src.census_tiles(spark, sf)
+
+
+@register("station_zone_dedup")
+def q_station_zone_dedup(spark, sf):
+    layers = _cells(spark, sf).unionByName(_tiles(spark, sf).select(F.col("tile_id").alias("zone"), "geometry"))
+    hits = spatial.points_in_polygons(_stations_xy(spark, sf), layers).select("station_id", "zone")
+    from ..operators.dedup import dedup_rows
+
+    return dedup_rows(hits, ["station_id"])
+
+
+@register("polygon_overlay")
+def q_polygon_overlay(spark, sf):
+    ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id", project_utm=None)
+    return ov.select(
+        "zone", "tile_id", F.round(F.col("area"), 10).alias("area"), F.round(F.col("weight"), 6).alias("weight")
+    )
+
+
+@register("area_weighted_population")
+def q_area_weighted_population(spark, sf):
+    ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id", project_utm=None)
+    src = _tiles(spark, sf).select("tile_id", "population", "households", "median_household_income")
+    return spatial.area_weighted_population(ov, src, "zone", "tile_id")
