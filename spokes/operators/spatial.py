@@ -94,6 +94,11 @@ def nearest(
     block spans every target the remaining answers are exact as well.
     Only min/max bounds (five numbers per side) reach the driver.
     """
+    # Both inputs are re-read once per round: cut their lineage first so a
+    # round does not recompute the upstream chain (reliable checkpoint in the
+    # shared spark.checkpoint.dir, survives executor loss).
+    targets = targets.select(tid, tx, ty).checkpoint()
+    points = points.select(pid, px, py).checkpoint()
     txmin, tymin, txmax, tymax, n = _bounds(targets, tx, ty)
     if n == 0:
         return points.select(pid).withColumn(tid, F.lit(None)).withColumn("distance", F.lit(None).cast("double"))
@@ -132,7 +137,9 @@ def nearest(
         found.append(done)
         if final:
             break
-        pending = pending.join(done.select("_pid"), "_pid", "left_anti")
+        done = done.checkpoint()
+        found[-1] = done
+        pending = pending.join(done.select("_pid"), "_pid", "left_anti").checkpoint()
         if pending.isEmpty():
             break
         r *= 2

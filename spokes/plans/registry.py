@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
 from ..functions import geo
-from ..operators import kpis, marts, spatial, stations, zones
+from ..operators import kpis, marts, quality, spatial, stations, zones
 from ..sources import fixtures
 from ..sources import zones as zone_src
 from . import pipeline
@@ -429,3 +429,73 @@ def q_area_weighted_population(spark, sf):
     ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id", project_utm=None)
     src = _tiles(spark, sf).select("tile_id", "population", "households", "median_household_income")
     return spatial.area_weighted_population(ov, src, "zone", "tile_id")
+
+
+# ---- data quality -----------------------------------------------------------------------
+
+DQ_AS_OF = dt.datetime(2024, 3, 15)
+
+
+def dq_suites():
+    Q = quality.ModelChecks
+    return {
+        "fct_rides": Q("fct_rides").unique("ride_id").not_null("ride_id", "started_at", "duration_seconds",
+                                                               "started_dow", "system")
+        .accepted_values("started_dow", [1, 2, 3, 4, 5, 6, 7])
+        .accepted_values("member_casual", ["member", "casual"])
+        .accepted_values("system", list(fixtures.SYSTEMS))
+        .accepted_values("rideable_type", ["classic_bike", "electric_bike"]),
+        "dim_stations": Q("dim_stations").unique_combination("system", "station_id").not_null("station_id", "system"),
+        "agg_rides_daily": Q("agg_rides_daily")
+        .unique_combination("started_date", "system", "member_casual", "rideable_type")
+        .not_null("started_date", "total_rides"),
+        "rides_unioned": Q("rides_unioned").not_null("ride_id", "system", "rideable_type", "started_at",
+                                                     "ended_at", "member_casual")
+        .accepted_values("system", list(fixtures.SYSTEMS)),
+    }
+
+
+def dq_results(spark, sf):
+    wh = _wh(spark, sf)
+    frames = {"fct_rides": wh.fct, "dim_stations": wh.dim, "agg_rides_daily": wh.daily, "rides_unioned": wh.unioned}
+    out = None
+    for model, suite in dq_suites().items():
+        r = quality.run_checks(frames[model], suite)
+        out = r if out is None else out.unionByName(r)
+    return out.unionByName(quality.singular_result("no_implausibly_long_rides", quality.long_rides(wh.fct)))
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return dq_results(spark, sf).where(F.col("kind") == "not_null").select("model", "test", "failures")
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf):
+    return dq_results(spark, sf).where(F.col("kind") == "accepted_values").select("model", "test", "failures")
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf):
+    return quality.unique_violations(_wh(spark, sf).unioned, ["ride_id"])
+
+
+@register("dq_unique_combination")
+def q_dq_unique_combination(spark, sf):
+    obs = stations.station_observations(_wh(spark, sf).unioned)
+    return quality.unique_violations(obs, ["system", "station_id", "station_name"])
+
+
+@register("dq_long_rides")
+def q_dq_long_rides(spark, sf):
+    return quality.long_rides(_wh(spark, sf).fct)
+
+
+@register("dq_freshness")
+def q_dq_freshness(spark, sf):
+    return quality.freshness(_wh(spark, sf).unioned, "system", "_ingested_at", DQ_AS_OF)
+
+
+@register("dq_report")
+def q_dq_report(spark, sf):
+    return quality.report(dq_results(spark, sf))
