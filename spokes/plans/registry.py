@@ -16,7 +16,9 @@ from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
 from ..functions import geo
-from ..operators import kpis, marts, quality, spatial, stations, zones
+from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, zones
+from ..schemas import FCT_COLUMNS
+from ..session import work_dir
 from ..sources import fixtures
 from ..sources import zones as zone_src
 from . import pipeline
@@ -499,3 +501,40 @@ def q_dq_freshness(spark, sf):
 @register("dq_report")
 def q_dq_report(spark, sf):
     return quality.report(dq_results(spark, sf))
+
+
+# ---- incremental ------------------------------------------------------------------------
+
+FIRST_LOAD_CUTOFF = dt.datetime(1998, 6, 30)
+
+
+@register("ride_features")
+def q_ride_features(spark, sf):
+    return facts.ride_features(facts.dedup_latest(_wh(spark, sf).unioned))
+
+
+@register("ingest_watermark")
+def q_ingest_watermark(spark, sf):
+    return incremental.watermark(_wh(spark, sf).fct)
+
+
+def _two_batch_fact(spark, sf, strict=False) -> str:
+    unioned = _wh(spark, sf).unioned
+    root = work_dir(spark, "fct")
+    first = unioned.where(F.col("_ingested_at") <= F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz"))
+    incremental.write_fact(facts.fct_rides(first), root)
+    incremental.run_incremental(spark, unioned, root, strict=strict)
+    return root
+
+
+@register("incremental_upsert")
+def q_incremental_upsert(spark, sf):
+    return spark.read.parquet(_two_batch_fact(spark, sf)).select(*FCT_COLUMNS)
+
+
+@register("schema_sync")
+def q_schema_sync(spark, sf):
+    """Target projected onto a batch that adds ``is_long_ride`` and drops ``_source_file``."""
+    fct = _wh(spark, sf).fct
+    batch = fct.withColumn("is_long_ride", F.col("duration_seconds") > quality.LONG_RIDE_SECONDS).drop("_source_file")
+    return incremental.schema_sync(fct, batch.schema)
