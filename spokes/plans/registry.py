@@ -16,6 +16,8 @@ from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
 from ..functions import geo
+from ..sources import census, geojson, seeds, trips_csv
+from ..operators import staging as staging_ops
 from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, zones
 from ..schemas import FCT_COLUMNS
 from ..session import work_dir
@@ -538,3 +540,149 @@ def q_schema_sync(spark, sf):
     fct = _wh(spark, sf).fct
     batch = fct.withColumn("is_long_ride", F.col("duration_seconds") > quality.LONG_RIDE_SECONDS).drop("_source_file")
     return incremental.schema_sync(fct, batch.schema)
+
+
+# ---- ingest, seeds, GeoJSON, census ---------------------------------------------------------
+
+PATTERNS = trips_csv.FIXTURE_SYSTEM_PATTERNS
+
+
+def landing_runs(spark, sf) -> dict[str, DataFrame]:
+    """Two landings and three ingest runs over the fixture trips written as CSV.
+
+    run 1: alpha_1 + beta; then alpha_2 and an unrelated notes.csv arrive;
+    run 2 loads alpha_2 only; run 3 (replay) loads nothing.
+    """
+    unioned = _wh(spark, sf).unioned
+    landing, raw_root = work_dir(spark, "landing"), work_dir(spark, "raw")
+    first = F.col("_source_file") != "alpha-tripdata_2.csv"
+    trips_csv.write_raw_csvs(unioned.where(first), landing)
+    s1 = trips_csv.ingest(spark, landing, raw_root, PATTERNS)
+    trips_csv.write_raw_csvs(unioned.where(~first), landing)
+    fixtures.table(spark, sf, "nation").write.option("header", True).csv(f"{landing}/notes.csv")
+    files = trips_csv.landing_files(spark, landing, PATTERNS)
+    pending = trips_csv.unprocessed_files(files, spark.read.parquet(raw_root)).select("system", "file").distinct()
+    pending = pending.checkpoint()
+    s2 = trips_csv.ingest(spark, landing, raw_root, PATTERNS)
+    s3 = trips_csv.ingest(spark, landing, raw_root, PATTERNS)
+    return {
+        "files": files.select("file", "system").distinct(),
+        "pending": pending,
+        "run1": s1,
+        "run2": s2,
+        "run3": s3,
+        "raw": spark.read.parquet(raw_root),
+    }
+
+
+@register("ingest_trips")
+def q_ingest_trips(spark, sf):
+    from ..schemas import RAW_TRIP_COLUMNS
+
+    return landing_runs(spark, sf)["raw"].select(*RAW_TRIP_COLUMNS, "_source_file", "system")
+
+
+@register("route_source_files")
+def q_route_source_files(spark, sf):
+    return landing_runs(spark, sf)["files"]
+
+
+@register("unprocessed_files")
+def q_unprocessed_files(spark, sf):
+    return landing_runs(spark, sf)["pending"]
+
+
+@register("ingest_summary")
+def q_ingest_summary(spark, sf):
+    runs = landing_runs(spark, sf)
+    out = None
+    for k in ("run1", "run2", "run3"):
+        part = trips_csv.ingest_summary(runs[k]).withColumn("run", F.lit(k))
+        out = part if out is None else out.unionByName(part)
+    return out.select("run", "status", "n")
+
+
+@register("stg_trips")
+def q_stg_trips(spark, sf):
+    raw = landing_runs(spark, sf)["raw"]
+    per_system = [
+        staging_ops.stage_trips(raw.where(F.col("system") == s), s, coord_type="double") for s in fixtures.SYSTEMS
+    ]
+    return staging_ops.union_rides(*per_system).drop("_ingested_at")
+
+
+@register("seed_scan")
+def q_seed_scan(spark, sf):
+    """Cluster meta written as a seed CSV (display names carry commas) and read back typed."""
+    meta = zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf)), "cluster").withColumn(
+        "cluster_display_name", F.concat(F.col("cluster_display_name"), F.lit(", Cluster "), F.col("cluster_id"))
+    )
+    path = work_dir(spark, "seed")
+    seeds.write_seed(meta, path, ["cluster_id"])
+    schema = "cluster_id string, cluster_display_name string, area_km2 decimal(18,4), centroid_lat double, centroid_lng double"
+    return seeds.read_seed(spark, path, schema)
+
+
+def _features(spark, sf) -> DataFrame:
+    cells = zone_src.grid_cells(spark, sf).select(F.col("name").alias("neighborhood_name"), "region_name", "geometry")
+    path = work_dir(spark, "geojson")
+    geojson.write_features(cells, path, ["neighborhood_name", "region_name"])
+    props = "neighborhood_name string, region_name string"
+    from pyspark.sql.types import _parse_datatype_string
+
+    return geojson.read_features(spark, path, _parse_datatype_string(props), collection=False)
+
+
+@register("geojson_features")
+def q_geojson_features(spark, sf):
+    f = _features(spark, sf)
+    return f.select(
+        "neighborhood_name", "region_name", "geometry_type",
+        F.size("geometry").alias("n_parts"), F.size(F.col("geometry")[0][0]).alias("n_vertices"),
+    )
+
+
+@register("zone_outline")
+def q_zone_outline(spark, sf):
+    o = geo.outline(F.col("geometry"))
+
+    def fmt(a):
+        return F.concat_ws(",", F.transform(a, lambda v: F.format_string("%.6f", v)))
+
+    return _features(spark, sf).select("neighborhood_name", fmt(o["lats"]).alias("lats"), fmt(o["lons"]).alias("lons"))
+
+
+def census_file(spark, sf) -> str:
+    """The census tiles as an API-style response: one JSON string array per line."""
+    tiles = zone_src.census_tiles(spark, sf)
+    t = F.substring(F.col("tile_id"), 2, 2).cast("int")
+    row = F.array(
+        F.concat(F.lit("Census Tract "), t.cast("string")),
+        F.when(t == 7, F.lit("N/A")).otherwise(F.col("population").cast("string")),
+        F.col("households").cast("string"),
+        F.coalesce(F.col("median_household_income").cast("bigint").cast("string"), F.lit(str(census.SUPPRESSED))),
+        F.lit("11"), F.lit("001"), F.lpad((F.lit(100) + t * 137).cast("string"), 6, "0"),
+    )
+    header = spark.range(1).select(
+        F.array(*[F.lit(h) for h in ("NAME", census.POPULATION, census.HOUSEHOLDS, census.MEDIAN_INCOME,
+                                     "state", "county", "tract")]).alias("r")
+    )
+    body = header.unionByName(tiles.select(row.alias("r")))
+    path = work_dir(spark, "census")
+    body.select(F.concat(F.to_json(F.col("r")), F.lit(",")).alias("value")).write.text(path)
+    return path
+
+
+@register("census_rows")
+def q_census_rows(spark, sf):
+    return census.read_census(spark, census_file(spark, sf))
+
+
+@register("census_clean")
+def q_census_clean(spark, sf):
+    return census.clean(census.read_census(spark, census_file(spark, sf)))
+
+
+@register("census_labels")
+def q_census_labels(spark, sf):
+    return census.labels(census.read_census(spark, census_file(spark, sf)))
