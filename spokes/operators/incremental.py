@@ -86,19 +86,33 @@ def write_fact(fct: DataFrame, path: str) -> None:
     fct.write.mode("overwrite").partitionBy("started_month").parquet(path)
 
 
-def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
-                    strict: bool = False) -> int:
-    """Apply one incremental run to the Parquet fact at ``path``; returns the batch size."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
+                strict: bool = False) -> int:
+    """Delete+insert the fact rows of ``fresh`` (staged ride rows) into the table at ``path``.
+
+    Used by the watermark run below and by the streaming ``foreachBatch``.
+    Replaying the same ``fresh`` rows gives the same table (idempotent).
+    """
     keys = list(keys)
+    deduped = facts.dedup_latest(fresh, keys)
+    batch = facts.physically_possible(facts.ride_features(deduped))
+    if not _exists(spark, path):
+        write_fact(batch, path)
+        return spark.read.parquet(path).count()
     target = spark.read.parquet(path)
-    batch, batch_keys = incremental_batch(unioned, target, keys)
     stage_batch = work_dir(spark, "fct-batch")
-    batch.write.parquet(stage_batch)
-    batch = spark.read.parquet(stage_batch)
+    batch.select(*target.columns).write.parquet(stage_batch)
+    batch = spark.read.parquet(stage_batch).select(*target.columns)
     n = batch.count()
     if n == 0 and not strict:
         return 0
-    kill = batch_keys if strict else batch.select(*keys)
+    kill = deduped.select(*keys) if strict else batch.select(*keys)
     # Partitions touched: where the batch lands and where replaced rows live
     # (a republished ride may change month).  One small distinct per side.
     replaced = target.join(kill, keys, "left_semi").select("started_month")
@@ -106,7 +120,7 @@ def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Se
     if not touched:
         return 0
     old = target.where(F.col("started_month").isin(touched))
-    merged = upsert(old.select(*[c for c in target.columns]), batch.select(*target.columns), keys, kill)
+    merged = upsert(old, batch, keys, kill)
     stage = work_dir(spark, "fct-stage")
     merged.write.partitionBy("started_month").parquet(stage)
     (
@@ -118,3 +132,10 @@ def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Se
         .parquet(path)
     )
     return n
+
+
+def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
+                    strict: bool = False) -> int:
+    """One watermark-driven incremental run against the Parquet fact at ``path``."""
+    target = spark.read.parquet(path)
+    return apply_batch(spark, new_rows(unioned, target), path, keys, strict)

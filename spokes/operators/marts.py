@@ -9,13 +9,9 @@ from ..schemas import DAILY_COLUMNS
 from .joins import broadcast_if_small
 
 
-def agg_rides_daily(fct: DataFrame) -> DataFrame:
-    """One row per (started_date, system, member_casual, rideable_type)  (D1).
-
-    A single partial+final hash aggregate; the group count is bounded by
-    days x systems x 4, so the final stage is small at any scale.
-    """
-    out = fct.groupBy("started_date", "system", "member_casual", "rideable_type").agg(
+def daily_metrics() -> list:
+    """The seven metrics of the daily mart (shared by the batch and streaming rollups)."""
+    return [
         F.count(F.lit(1)).alias("total_rides"),
         (F.sum("duration_seconds") / F.lit(3600.0)).alias("total_hours_on_bike"),
         (F.sum("duration_minutes").cast("double") / F.count(F.lit(1))).alias("avg_ride_minutes"),
@@ -23,7 +19,16 @@ def agg_rides_daily(fct: DataFrame) -> DataFrame:
         F.max("duration_minutes").alias("longest_ride_minutes"),
         F.count_if(F.col("is_night_owl")).alias("night_owl_rides"),
         F.count_if(F.col("is_round_trip")).alias("round_trip_rides"),
-    )
+    ]
+
+
+def agg_rides_daily(fct: DataFrame) -> DataFrame:
+    """One row per (started_date, system, member_casual, rideable_type)  (D1).
+
+    A single partial+final hash aggregate; the group count is bounded by
+    days x systems x 4, so the final stage is small at any scale.
+    """
+    out = fct.groupBy("started_date", "system", "member_casual", "rideable_type").agg(*daily_metrics())
     return out.select(*DAILY_COLUMNS)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import DecimalType
 from ..filters import RideFilter
 from ..functions import geo
 from ..sources import census, geojson, seeds, trips_csv
+from ..streaming import jobs as streams
 from ..operators import staging as staging_ops
 from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, zones
 from ..schemas import FCT_COLUMNS
@@ -686,3 +687,58 @@ def q_census_clean(spark, sf):
 @register("census_labels")
 def q_census_labels(spark, sf):
     return census.labels(census.read_census(spark, census_file(spark, sf)))
+
+
+# ---- streaming --------------------------------------------------------------------------
+
+
+def _landing(spark, sf, with_ingested=False, replay=False) -> str:
+    unioned = _wh(spark, sf).unioned
+    landing = work_dir(spark, "stream-landing")
+    trips_csv.write_raw_csvs(unioned, landing, with_ingested)
+    if replay:
+        trips_csv.write_raw_csvs(
+            unioned.where(F.col("_source_file") == "alpha-tripdata_1.csv"), landing, with_ingested, "-replay"
+        )
+    return landing
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    from ..schemas import RAW_TRIP_COLUMNS
+
+    landing = _landing(spark, sf)
+    raw, ckpt = work_dir(spark, "stream-raw"), work_dir(spark, "stream-ckpt")
+    streams.stream_ingest(spark, f"{landing}/*.csv/*.csv", raw, ckpt, PATTERNS)
+    streams.stream_ingest(spark, f"{landing}/*.csv/*.csv", raw, ckpt, PATTERNS)  # re-run: nothing new
+    return spark.read.parquet(raw).select(*RAW_TRIP_COLUMNS, "_source_file", "system")
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf):
+    unioned = _wh(spark, sf).unioned
+    landing = work_dir(spark, "stream-landing")
+    fact, ckpt = work_dir(spark, "stream-fct"), work_dir(spark, "stream-ckpt")
+    glob = f"{landing}/*.csv/*.csv"
+    late = F.col("_source_file") == "alpha-tripdata_2.csv"
+    trips_csv.write_raw_csvs(unioned.where(~late), landing, with_ingested=True)
+    streams.stream_upsert(spark, glob, fact, ckpt, PATTERNS, fixtures.SYSTEMS, "double", ingested_in_file=True)
+    trips_csv.write_raw_csvs(unioned.where(late), landing, with_ingested=True)
+    streams.stream_upsert(spark, glob, fact, ckpt, PATTERNS, fixtures.SYSTEMS, "double", ingested_in_file=True)
+    return spark.read.parquet(fact).select(*FCT_COLUMNS)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    landing = _landing(spark, sf, replay=True)
+    out, ckpt = work_dir(spark, "stream-dedup"), work_dir(spark, "stream-ckpt")
+    streams.stream_dedup(spark, f"{landing}/*.csv/*.csv", out, ckpt, PATTERNS)
+    return spark.read.parquet(out)
+
+
+@register("stream_daily_rollup")
+def q_stream_daily_rollup(spark, sf):
+    fact, out, ckpt = work_dir(spark, "stream-src"), work_dir(spark, "stream-daily"), work_dir(spark, "stream-ckpt")
+    _wh(spark, sf).fct.write.parquet(fact)
+    streams.stream_daily_rollup(spark, fact, out, ckpt)
+    return spark.read.parquet(out)

@@ -112,10 +112,15 @@ def ingest(spark: SparkSession, landing: str, raw_root: str, patterns: dict[str,
     return statuses
 
 
-def write_raw_csvs(staged: DataFrame, landing: str) -> None:
-    """Fixture sink: staged rows -> one CSV source per ``_source_file`` (text, header)."""
-    texts = staged.select(*[F.col(c).cast("string").alias(c) for c in RAW_TRIP_COLUMNS], "_source_file")
+def write_raw_csvs(staged: DataFrame, landing: str, with_ingested: bool = False, suffix: str = "") -> None:
+    """Fixture sink: staged rows -> one CSV source per ``_source_file`` (text, header).
+
+    ``with_ingested`` also writes ``_ingested_at`` so a stream can replay the
+    fixture's load times; ``suffix`` renames the files (a replayed copy).
+    """
+    extra = [F.col("_ingested_at").cast("string").alias("_ingested_at")] if with_ingested else []
+    texts = staged.select(*[F.col(c).cast("string").alias(c) for c in RAW_TRIP_COLUMNS], *extra, "_source_file")
     for name in [r[0] for r in texts.select("_source_file").distinct().collect()]:
         texts.where(F.col("_source_file") == name).drop("_source_file").write.mode("overwrite").option(
             "header", True
-        ).csv(f"{landing}/{name}")
+        ).csv(f"{landing}/{name[:-4] + suffix + '.csv' if suffix else name}")
