@@ -157,3 +157,30 @@ def stations_per_zone_top(mapping: DataFrame, zone_col: str, n: int = 10) -> Dat
 def top_population_zones(pop: DataFrame, zone_col: str, n: int = 10) -> DataFrame:
     """Head-n zones by population after a sort (F6); ties by zone id."""
     return pop.orderBy(F.col("population").desc_nulls_last(), F.asc(zone_col)).limit(n)
+
+
+def layer_filter(layer: DataFrame, name_col: str, type_col: str | None = None, type_value: str | None = None,
+                 polygon_only: bool = True) -> DataFrame:
+    """Polygon features with a non-blank trimmed name [and an attribute value]."""
+    name = F.trim(F.coalesce(F.col(name_col), F.lit("")))
+    cond = name != ""
+    if polygon_only:
+        cond = cond & (F.col("geometry_type") == "Polygon")
+    if type_col is not None:
+        cond = cond & (F.col(type_col) == type_value)
+    return layer.withColumn(name_col, name).where(cond)
+
+
+def name_search(layer: DataFrame, name_col: str, pattern: str) -> DataFrame:
+    """Case-insensitive regex 'contains'; NULL names never match."""
+    return layer.where(F.col(name_col).isNotNull() & F.col(name_col).rlike("(?i)" + pattern))
+
+
+def category_counts(layer: DataFrame, col: str) -> DataFrame:
+    """Features per category."""
+    return layer.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def listing(layer: DataFrame, sort_cols: list[str]) -> DataFrame:
+    """multi-key listing sort."""
+    return layer.orderBy(*sort_cols)

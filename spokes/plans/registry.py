@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
-from ..functions import geo
+from ..functions import geo, labels
 from ..sources import census, geojson, seeds, trips_csv
 from ..streaming import jobs as streams
 from ..operators import staging as staging_ops
@@ -742,3 +742,50 @@ def q_stream_daily_rollup(spark, sf):
     _wh(spark, sf).fct.write.parquet(fact)
     streams.stream_daily_rollup(spark, fact, out, ckpt)
     return spark.read.parquet(out)
+
+
+# ---- tabulation-area layer and labels ------------------------------------------------------
+
+
+@register("zone_layer_filter")
+def q_zone_layer_filter(spark, sf):
+    layer = zone_src.tabulation_areas(spark, sf)
+    return zones.layer_filter(layer, "ntaname", "ntatype", "0").select("nta2020", "ntaname", "boroname", "ntatype")
+
+
+@register("zone_search")
+def q_zone_search(spark, sf):
+    layer = zone_src.tabulation_areas(spark, sf)
+    return zones.name_search(layer, "ntaname", "RiNG").select("nta2020", "ntaname", "boroname")
+
+
+@register("borough_counts")
+def q_borough_counts(spark, sf):
+    return zones.category_counts(zone_src.tabulation_areas(spark, sf), "boroname")
+
+
+@register("zone_listing")
+def q_zone_listing(spark, sf):
+    layer = zones.layer_filter(zone_src.tabulation_areas(spark, sf), "ntaname")
+    return zones.listing(layer.select("boroname", "ntaname", "nta2020"), ["boroname", "ntaname", "nta2020"])
+
+
+@register("system_labels")
+def q_system_labels(spark, sf):
+    return kpis.overview_kpis(_wh(spark, sf).daily, FILTER).select(
+        "system", labels.system_label(F.col("system")).alias("label")
+    )
+
+
+@register("formatted_kpis")
+def q_formatted_kpis(spark, sf):
+    wh = _wh(spark, sf)
+    m = kpis.city_metrics(kpis.city_summary(wh.daily, wh.dim, wh.fct, FILTER))
+    return m.select(
+        "system",
+        labels.compact(F.col("total_rides")).alias("total_rides_label"),
+        labels.hours(F.col("total_hours")).alias("total_hours_label"),
+        labels.minutes(F.col("avg_minutes")).alias("avg_minutes_label"),
+        labels.percent(F.col("member_share")).alias("member_share_label"),
+        labels.compact(F.col("busiest_day_rides")).alias("busiest_day_label"),
+    )

@@ -223,3 +223,26 @@ def census_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("population") / 2).cast("bigint").alias("households"),
         F.when(t % 5 != 0, F.round(F.col("avg_bal"), 0)).alias("median_household_income"),
     )
+
+
+# Borough names of the tabulation-area layer (fixed values).
+BOROUGHS = ["Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island"]
+
+
+def tabulation_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tabulation-area attribute layer derived from ``part``.
+
+    nta2020, ntaname (some blank), boroname, ntatype ('0' = residential) and
+    the geometry type (some Point label nodes among the polygons).
+    """
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    brand_no = F.regexp_extract(F.col("p_brand"), r"(\d+)$", 1).cast("int")
+    boro = F.element_at(F.array(*[F.lit(b) for b in BOROUGHS]), (brand_no % 5 + 1).cast("int"))
+    return part.select(
+        F.concat(F.lit("NT"), F.lpad(k.cast("string"), 5, "0")).alias("nta2020"),
+        F.when(k % 13 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), F.col("p_name"))).alias("ntaname"),
+        boro.alias("boroname"),
+        F.when(F.col("p_size") % 5 == 0, "9").when(F.col("p_size") % 7 == 0, "5").otherwise("0").alias("ntatype"),
+        F.when(k % 11 == 0, "Point").otherwise("Polygon").alias("geometry_type"),
+    )
