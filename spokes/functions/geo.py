@@ -39,6 +39,15 @@ def utm_constants(zone: int) -> dict[str, float]:
     }
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a one-element ``transform``).
+
+    Column builders otherwise inline a sub-expression at every reference, so a
+    projected ring used by the shoelace sum would be re-projected per vertex.
+    """
+    return F.transform(F.array(value), fn)[0]
+
+
 def point(x: Column, y: Column) -> Column:
     """L4: point struct from longitude / latitude columns."""
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
@@ -59,21 +68,34 @@ def _cosh(v: Column) -> Column:
 def utm(lng: Column, lat: Column, zone: int = 18) -> Column:
     """L1: EPSG:4326 -> UTM zone ``zone`` north, as struct<x: easting, y: northing> in metres."""
     k = utm_constants(zone)
-    phi = F.radians(lat)
-    dlam = F.radians(lng) - F.lit(k["lon0"])
-    s = F.sin(phi)
-    t = _sinh(_atanh(s) - F.lit(k["c"]) * _atanh(F.lit(k["c"]) * s))
-    xi = F.atan(t / F.cos(dlam))
-    eta = _atanh(F.sin(dlam) / F.sqrt(F.lit(1.0) + t * t))
-    east = eta
-    north = xi
-    for j, a in ((1, k["a1"]), (2, k["a2"]), (3, k["a3"])):
-        east = east + F.lit(a) * F.cos(xi * (2 * j)) * _sinh(eta * (2 * j))
-        north = north + F.lit(a) * F.sin(xi * (2 * j)) * _cosh(eta * (2 * j))
-    return F.struct(
-        (F.lit(UTM_FALSE_EASTING) + F.lit(k["k0A"]) * east).alias("x"),
-        (F.lit(k["k0A"]) * north).alias("y"),
-    )
+    c = F.lit(k["c"])
+
+    def en(q):
+        xi, eta = q["xi"], q["eta"]
+        east, north = eta, xi
+        for j, a in ((1, k["a1"]), (2, k["a2"]), (3, k["a3"])):
+            east = east + F.lit(a) * F.cos(xi * (2 * j)) * _sinh(eta * (2 * j))
+            north = north + F.lit(a) * F.sin(xi * (2 * j)) * _cosh(eta * (2 * j))
+        return F.struct(
+            (F.lit(UTM_FALSE_EASTING) + F.lit(k["k0A"]) * east).alias("x"),
+            (F.lit(k["k0A"]) * north).alias("y"),
+        )
+
+    def from_angles(a):
+        s, dlam = a["s"], a["dlam"]
+        return let(
+            _sinh(_atanh(s) - c * _atanh(c * s)),
+            lambda t: let(
+                F.struct(
+                    F.atan(t / F.cos(dlam)).alias("xi"),
+                    _atanh(F.sin(dlam) / F.sqrt(F.lit(1.0) + t * t)).alias("eta"),
+                ),
+                en,
+            ),
+        )
+
+    angles = F.struct(F.sin(F.radians(lat)).alias("s"), (F.radians(lng) - F.lit(k["lon0"])).alias("dlam"))
+    return let(angles, from_angles)
 
 
 def project_ring(ring: Column, zone: int = 18) -> Column:
@@ -113,7 +135,7 @@ def multi_area(multi: Column) -> Column:
 
 def area_km2(multi_wgs84: Column, zone: int = 18) -> Column:
     """L2: area in km² after projecting to UTM (rounded half-even to 4 dp, like pandas)."""
-    return F.bround(multi_area(project_multi(multi_wgs84, zone)) / F.lit(1e6), 4)
+    return F.bround(let(project_multi(multi_wgs84, zone), multi_area) / F.lit(1e6), 4)
 
 
 def _ring_moments(ring: Column) -> Column:
@@ -163,7 +185,7 @@ def centroid(multi: Column) -> Column:
         zero,
         lambda acc, m: F.struct(*[(acc[f] + m[f]).alias(f) for f in ("a", "cx", "cy")]),
     )
-    return F.struct((tot["cx"] / (tot["a"] * 3)).alias("x"), (tot["cy"] / (tot["a"] * 3)).alias("y"))
+    return let(tot, lambda t: F.struct((t["cx"] / (t["a"] * 3)).alias("x"), (t["cy"] / (t["a"] * 3)).alias("y")))
 
 
 def _on_segment(px: Column, py: Column, a: Column, b: Column, eps: float = 1e-12) -> Column:
@@ -214,15 +236,18 @@ def within(p: Column, multi: Column) -> Column:
 
 def bbox(multi: Column) -> Column:
     """struct(xmin, ymin, xmax, ymax) of a multipolygon (outer rings suffice)."""
-    pts = F.flatten(F.transform(multi, lambda poly: poly[0]))
-    xs = F.transform(pts, lambda p: p["x"])
-    ys = F.transform(pts, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
-    )
+
+    def of(pts):
+        xs = F.transform(pts, lambda p: p["x"])
+        ys = F.transform(pts, lambda p: p["y"])
+        return F.struct(
+            F.array_min(xs).alias("xmin"),
+            F.array_min(ys).alias("ymin"),
+            F.array_max(xs).alias("xmax"),
+            F.array_max(ys).alias("ymax"),
+        )
+
+    return let(F.flatten(F.transform(multi, lambda poly: poly[0])), of)
 
 
 def longest_ring(multi: Column) -> Column:
@@ -233,5 +258,9 @@ def longest_ring(multi: Column) -> Column:
 
 def outline(multi: Column) -> Column:
     """(lats, lons) of the longest outer ring."""
-    r = longest_ring(multi)
-    return F.struct(F.transform(r, lambda p: p["y"]).alias("lats"), F.transform(r, lambda p: p["x"]).alias("lons"))
+    return let(
+        longest_ring(multi),
+        lambda r: F.struct(
+            F.transform(r, lambda p: p["y"]).alias("lats"), F.transform(r, lambda p: p["x"]).alias("lons")
+        ),
+    )

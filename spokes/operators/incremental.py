@@ -82,8 +82,14 @@ def incremental_batch(unioned: DataFrame, target: DataFrame, keys: Sequence[str]
 
 
 def write_fact(fct: DataFrame, path: str) -> None:
-    """Full refresh (A12): overwrite the whole partitioned table."""
-    fct.write.mode("overwrite").partitionBy("started_month").parquet(path)
+    """Full refresh (A12): overwrite the whole partitioned table.
+
+    ``REBALANCE(started_month)`` lets AQE size the write tasks: a month's rows
+    land in few files instead of one file per (task, month), and a month
+    holding a large share of all rides is split across tasks, not funnelled
+    into one.
+    """
+    fct.hint("rebalance", "started_month").write.mode("overwrite").partitionBy("started_month").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -122,7 +128,7 @@ def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence
     old = target.where(F.col("started_month").isin(touched))
     merged = upsert(old, batch, keys, kill)
     stage = work_dir(spark, "fct-stage")
-    merged.write.partitionBy("started_month").parquet(stage)
+    merged.hint("rebalance", "started_month").write.partitionBy("started_month").parquet(stage)
     (
         spark.read.parquet(stage)
         .select(*target.columns)

@@ -25,10 +25,15 @@ from .dedup import dedup_rows, latest_by_key
 from .joins import broadcast_if_small
 
 
-def _cells_of_bbox(bb: Column, cell: float) -> Column:
-    xs = F.sequence(F.floor(bb["xmin"] / cell), F.floor(bb["xmax"] / cell))
-    ys = F.sequence(F.floor(bb["ymin"] / cell), F.floor(bb["ymax"] / cell))
-    return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+def _cells_of_bbox(bbox: Column, cell: float) -> Column:
+    def cells(bb):
+        xs = F.sequence(F.floor(bb["xmin"] / cell), F.floor(bb["xmax"] / cell))
+        ys = F.sequence(F.floor(bb["ymin"] / cell), F.floor(bb["ymax"] / cell))
+        return F.flatten(
+            F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))))
+        )
+
+    return geo.let(bbox, cells)
 
 
 def polygon_cells(polys: DataFrame, geom_col: str = "geometry", cell: float = 0.01) -> DataFrame:
@@ -156,7 +161,7 @@ def project_points(df: DataFrame, x: str = "lng", y: str = "lat", zone: int = 18
 
 def projected_centroids(polys: DataFrame, id_col: str, geom_col: str = "geometry", zone: int = 18) -> DataFrame:
     """Centroid of each polygon computed in the projected (metric) plane."""
-    c = geo.centroid(geo.project_multi(F.col(geom_col), zone))
+    c = geo.let(geo.project_multi(F.col(geom_col), zone), geo.centroid)
     return polys.select(id_col, c["x"].alias("ux"), c["y"].alias("uy"))
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import facts, marts, stations, staging
+from ..operators import facts, incremental, marts, stations, staging
 from ..sources import fixtures
 
 
@@ -46,7 +46,7 @@ def materialize(spark: SparkSession, wh: Warehouse, root: str) -> Warehouse:
     pruning on ``started_month`` and pushed filters instead of re-running the
     chain.  ``root`` must be a shared folder on a cluster.
     """
-    wh.fct.write.mode("overwrite").partitionBy("started_month").parquet(f"{root}/fct_rides")
+    incremental.write_fact(wh.fct, f"{root}/fct_rides")
     fct = spark.read.parquet(f"{root}/fct_rides")
     daily = marts.agg_rides_daily(fct)
     daily.write.mode("overwrite").parquet(f"{root}/agg_rides_daily")
