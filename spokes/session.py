@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) is a scratch folder made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
