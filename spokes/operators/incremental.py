@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..fs import exists
 from ..session import work_dir
 from . import facts
 
@@ -92,12 +93,6 @@ def write_fact(fct: DataFrame, path: str) -> None:
     fct.hint("rebalance", "started_month").write.mode("overwrite").partitionBy("started_month").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
                 strict: bool = False) -> int:
     """Delete+insert the fact rows of ``fresh`` (staged ride rows) into the table at ``path``.
@@ -108,7 +103,7 @@ def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence
     keys = list(keys)
     deduped = facts.dedup_latest(fresh, keys)
     batch = facts.physically_possible(facts.ride_features(deduped))
-    if not _exists(spark, path):
+    if not exists(spark, path):
         write_fact(batch, path)
         return spark.read.parquet(path).count()
     target = spark.read.parquet(path)
