@@ -26,8 +26,11 @@ from pyspark.sql.types import StructType
 from ..fs import exists
 from ..session import work_dir
 from . import facts
+from .joins import broadcast_if_small
 
 LOW_WATERMARK = dt.datetime(1900, 1, 1)
+# Upper bound on batch keys broadcast to the target scan (ride ids are short strings).
+KEY_BROADCAST_ROWS = 20_000_000
 
 
 def watermark(target: DataFrame, col: str = "_ingested_at") -> DataFrame:
@@ -70,7 +73,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = ("ride_id"
     rides whose newest copy was dropped by B3 (SURVEY §2.13-4).
     """
     keys = list(keys)
-    kill = (delete_keys if delete_keys is not None else batch).select(*keys).distinct()
+    kill = delete_keys if delete_keys is not None else batch.select(*keys).distinct()
     target = schema_sync(target, batch.schema)
     return target.join(kill, keys, "left_anti").unionByName(batch)
 
@@ -113,7 +116,11 @@ def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence
     n = batch.count()
     if n == 0 and not strict:
         return 0
-    kill = deduped.select(*keys) if strict else batch.select(*keys)
+    kill = (deduped.select(*keys) if strict else batch.select(*keys)).distinct()
+    # A batch is normally small next to the fact: its key set (read from the
+    # staged batch, so counting is cheap) is broadcast when it fits, and the
+    # target is only scanned map-side (ride_id + started_month columns).
+    kill = broadcast_if_small(kill, KEY_BROADCAST_ROWS)
     # Partitions touched: where the batch lands and where replaced rows live
     # (a republished ride may change month).  One small distinct per side.
     replaced = target.join(kill, keys, "left_semi").select("started_month")
