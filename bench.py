@@ -101,7 +101,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session(cpus=cpus, shuffle_partitions=max(8, 2 * cpus), app="spokes-bench")
+    spark = local_session(cpus=cpus, shuffle_partitions=max(8, 4 * cpus), app="spokes-bench")
     one_run(spark, sf_dir)  # warm-up: JIT, codegen caches, OS page cache
     samples: dict[str, list[float]] = {}
     for _ in range(runs):
