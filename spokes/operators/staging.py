@@ -38,3 +38,13 @@ def union_rides(*systems: DataFrame) -> DataFrame:
     """UNION ALL of every system's staging rows, by column name (G1)."""
     parts = [df.select(*STG_COLUMNS) for df in systems]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def cast_failures(raw: DataFrame, coord_type: str = "decimal(18,15)") -> DataFrame:
+    """Quarantine count for ``strict=False`` staging: per typed column, the
+    number of non-NULL texts that do not cast (one aggregate pass)."""
+    targets = {"started_at": "timestamp_ntz", "ended_at": "timestamp_ntz",
+               **{c: coord_type for c in ("start_lat", "start_lng", "end_lat", "end_lng")}}
+    return raw.agg(
+        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in targets.items()]
+    )

@@ -90,3 +90,20 @@ def test_fixture_invariants(spark):
     assert wh.fct.select("ride_id").distinct().count() == n_fct
     assert wh.fct.where(F.col("ended_at") < F.col("started_at")).count() == 0
     assert daily[1] == wh.fct.where("is_night_owl").count()
+
+
+def test_lenient_staging_and_cast_failures(spark):
+    from spokes.operators import staging
+    from spokes.schemas import RAW_TRIP_COLUMNS
+
+    row = dict.fromkeys(RAW_TRIP_COLUMNS, None)
+    good = {**row, "ride_id": "a", "started_at": "2024-01-01 10:00:00", "ended_at": "2024-01-01 10:05:00",
+            "start_lat": "38.9", "start_lng": "-77.0"}
+    bad = {**row, "ride_id": "b", "started_at": "not a time", "ended_at": "2024-01-01 10:05:00", "start_lat": "x"}
+    none = {**row, "ride_id": None}
+    raw = spark.createDataFrame([tuple(r[c] for c in RAW_TRIP_COLUMNS) + ("f.csv",) for r in (good, bad, none)],
+                                ", ".join(f"{c} string" for c in RAW_TRIP_COLUMNS) + ", _source_file string")
+    staged = staging.stage_trips(raw, "alpha", "double", strict=False).collect()
+    assert [r["ride_id"] for r in staged] == ["a", "b"] and staged[1]["started_at"] is None
+    fails = staging.cast_failures(raw).first()
+    assert fails["started_at"] == 1 and fails["start_lat"] == 1 and fails["ended_at"] == 0
