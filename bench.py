@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from spokes.operators import facts, incremental, kpis, marts, stations, zones  # noqa: E402
+from spokes.operators import facts, incremental, kpis, marts, quality, stations, zones  # noqa: E402
 from spokes.operators import staging  # noqa: E402
 from spokes.plans import registry  # noqa: E402
 from spokes.session import local_session, work_dir  # noqa: E402
@@ -79,6 +79,22 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     zm.collect()
     t["zone_metrics"] = time.perf_counter() - s
 
+    # Incremental run with nothing new (the reference's recorded no-op run).
+    s = time.perf_counter()
+    incremental.run_incremental(spark, unioned, f"{root}/fct")
+    t["fct_incremental_noop"] = time.perf_counter() - s
+
+    # The whole data-quality suite: one aggregate pass per model.
+    s = time.perf_counter()
+    frames = {"fct_rides": fct, "dim_stations": dim, "agg_rides_daily": daily, "rides_unioned": unioned}
+    res = None
+    for model, suite in registry.dq_suites().items():
+        r = quality.run_checks(frames[model], suite)
+        res = r if res is None else res.unionByName(r)
+    res = res.unionByName(quality.singular_result("no_implausibly_long_rides", quality.long_rides(fct)))
+    quality.report(res).collect()
+    t["dq_suite"] = time.perf_counter() - s
+
     f = registry.FILTER
     headline = {
         "overview_kpis": lambda: kpis.overview_kpis(daily, f),
