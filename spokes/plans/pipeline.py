@@ -21,17 +21,19 @@ class Warehouse:
     unioned: DataFrame
     fct: DataFrame
     daily: DataFrame
-    dim: DataFrame
+    _dim: DataFrame | None = None
+
+    @property
+    def dim(self) -> DataFrame:
+        """Station dimension, built on first use (its size check runs a small job)."""
+        if self._dim is None:
+            self._dim = stations.dim_stations(self.unioned)
+        return self._dim
 
 
 def from_unioned(unioned: DataFrame, keys=("ride_id",)) -> Warehouse:
     fct = facts.fct_rides(unioned, keys)
-    return Warehouse(
-        unioned=unioned,
-        fct=fct,
-        daily=marts.agg_rides_daily(fct),
-        dim=stations.dim_stations(unioned),
-    )
+    return Warehouse(unioned=unioned, fct=fct, daily=marts.agg_rides_daily(fct))
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -55,5 +57,5 @@ def materialize(spark: SparkSession, wh: Warehouse, root: str) -> Warehouse:
         unioned=wh.unioned,
         fct=fct.select(*wh.fct.columns),
         daily=spark.read.parquet(f"{root}/agg_rides_daily"),
-        dim=spark.read.parquet(f"{root}/dim_stations"),
+        _dim=spark.read.parquet(f"{root}/dim_stations"),
     )

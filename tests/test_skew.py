@@ -46,3 +46,11 @@ def test_daily_mart_aggregates_partially(spark):
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert daily.agg(F.sum("total_rides")).first()[0] == fct.count()
+
+
+def test_station_seen_only_with_null_times_is_kept(spark):
+    t = T(2024, 1, 10, 9)
+    rows = [ride("a", None, None, s_id="9", e_id=None), ride("b", None, None, s_id="9", e_id=None, s_name="S9b"),
+            ride("c", t, t, s_id="1", e_id=None)]
+    dim = {r["station_id"]: r for r in stations.dim_stations(rides_df(spark, rows)).collect()}
+    assert set(dim) == {"1", "9"} and dim["9"]["station_name"] == "S9"
