@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from spokes.operators import facts, incremental, kpis, marts, quality, stations, zones  # noqa: E402
 from spokes.operators import staging  # noqa: E402

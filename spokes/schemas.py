@@ -1,14 +1,12 @@
 """Explicit schemas (no inference anywhere)."""
 
 from pyspark.sql.types import (
-    DateType,
     DecimalType,
     DoubleType,
     LongType,
     StringType,
     StructField,
     StructType,
-    TimestampNTZType,
 )
 
 # Raw landing columns of a trip CSV, all text (A1).
@@ -104,7 +102,3 @@ STATION_ZONE_SCHEMA = StructType(
     [StructField("station_id", StringType(), False), StructField("zone_id", StringType(), False)]
 )
 
-__all__ = [n for n in dir() if n.isupper()] + [
-    "DateType",
-    "TimestampNTZType",
-]
