@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import incremental, marts, quality, staging, stations
 from ..sources import trips_csv
 from ..fs import exists
+from ..session import input_bytes, size_shuffles
 
 
 @dataclass
@@ -46,6 +47,7 @@ class RefreshConfig:
     zone_system: str = "capitalbikeshare"
     boundaries: tuple[ZoneBoundary, ...] = ()
     full_refresh: bool = False
+    size_shuffles: bool = True
 
 
 def write_zone_mart(mart: DataFrame, path: str) -> None:
@@ -56,6 +58,8 @@ def write_zone_mart(mart: DataFrame, path: str) -> None:
 def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None = None) -> dict[str, DataFrame]:
     """Run one refresh; returns the ingest statuses, DQ results and DQ report."""
     statuses = trips_csv.ingest(spark, cfg.landing, f"{cfg.root}/raw", cfg.patterns)
+    if cfg.size_shuffles:
+        size_shuffles(spark, input_bytes(spark, f"{cfg.root}/raw"))
     raw = spark.read.parquet(f"{cfg.root}/raw")
     systems = sorted(cfg.patterns)
     unioned = staging.union_rides(

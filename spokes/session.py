@@ -72,3 +72,38 @@ def work_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target bytes per shuffle partition when sizing for the input (AQE coalesces
+# smaller ones and splits skewed ones; this sets the upper end).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total on-disk bytes under ``paths`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, nbytes: int, expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so each partition holds ~256 MB of
+    in-memory rows (Parquet expands ~``expansion`` x when decoded).
+
+    Only ever raises the setting; AQE coalesces partitions that turn out small.
+    """
+    want = int(nbytes * expansion // TARGET_PARTITION_BYTES) + 1
+    want = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, want))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(want))
+    return max(want, current)

@@ -36,3 +36,22 @@ def test_refresh_end_to_end_and_rerun(spark):
     assert {r["status"]: r["n"] for r in trips_csv.ingest_summary(out2["ingest"]).collect()}["loaded"] == 0
     assert spark.read.parquet(f"{root}/fct_rides").count() == n1
     assert F is not None
+
+
+def test_shuffle_sizing_only_raises(spark):
+    from spokes.session import MAX_SHUFFLE_PARTITIONS, size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "300")
+        assert size_shuffles(spark, 10) == 300  # small input never lowers it
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+        # 100 TB of Parquet: capped at the maximum
+        assert size_shuffles(spark, 100 * 1024**4) == MAX_SHUFFLE_PARTITIONS
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(MAX_SHUFFLE_PARTITIONS)
+        # 1 TB -> ~12k partitions of ~256 MB decoded
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert 12_000 <= size_shuffles(spark, 1024**4) <= 12_400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
