@@ -82,8 +82,13 @@ def stream_upsert(spark: SparkSession, landing_glob: str, fact_path: str, checkp
 
 
 def stream_dedup(spark: SparkSession, landing_glob: str, out_path: str, checkpoint: str,
-                 patterns: dict[str, str], delay: str = "36500 days") -> None:
-    """S3: drop exact replays of raw rows (same 13 raw columns) within the watermark."""
+                 patterns: dict[str, str], delay: str = "35 days") -> None:
+    """S3: drop exact replays of raw rows (same 13 raw columns) within the watermark.
+
+    The state holds the keys of ``delay`` worth of event time and is purged
+    behind the watermark, so it stays bounded however long the stream runs; a
+    replay older than the watermark is dropped as late (it is a duplicate).
+    """
     stream = _trip_stream(spark, landing_glob, patterns, None)
     ev = stream.withColumn("_event_ts", F.col("started_at").cast("timestamp_ntz").cast("timestamp"))
     deduped = ev.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(RAW_TRIP_COLUMNS)
