@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,13 @@ from ..functions import geo
 from .dedup import latest_by_key
 from .joins import broadcast_if_small
 
+# The overlay kernel runs on Python workers inside ``mapInPandas``.  Ship this
+# module's code with the task (pickled by value) so executors need numpy and
+# pandas only, not an installed copy of this package.
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _cells_of_bbox(bbox: Column, cell: float) -> Column:
     def cells(bb):

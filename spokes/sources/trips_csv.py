@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fs import exists
 from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
 
 # Filename patterns of the reference deployment (fixed values).
@@ -99,10 +100,7 @@ def ingest(spark: SparkSession, landing: str, raw_root: str, patterns: dict[str,
     list); rows go straight from the CSV scan to the partitioned append.
     """
     files = landing_files(spark, landing, patterns)
-    try:
-        raw = spark.read.parquet(raw_root)
-    except Exception:  # noqa: BLE001 - first run, no raw table yet
-        raw = None
+    raw = spark.read.parquet(raw_root) if exists(spark, raw_root) else None  # None on the first run
     # Statuses are frozen before the append changes the raw table (reliable
     # checkpoint in spark.checkpoint.dir, not a local one).
     statuses = file_statuses(files, raw).checkpoint()
