@@ -19,6 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -31,9 +33,9 @@ def norm(v):
             return None
         if v.is_integer() and abs(v) < 2**53:
             return int(v)
-        return round(v, 6)
+        return repr(v) if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return norm(float(v))
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
     if isinstance(v, dt.datetime):
