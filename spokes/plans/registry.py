@@ -92,6 +92,11 @@ def q_overview_kpis(spark, sf):
     return kpis.overview_kpis(_wh(spark, sf).daily, FILTER)
 
 
+@register("overview_kpis_sql", rounded=("total_hours",))
+def q_overview_kpis_sql(spark, sf):
+    return kpis.overview_kpis_sql(_wh(spark, sf).daily, FILTER)
+
+
 @register("unique_station_count")
 def q_unique_station_count(spark, sf):
     return kpis.unique_station_count(_wh(spark, sf).dim, FILTER)
