@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,35 +34,52 @@ def agg_rides_daily(fct: DataFrame) -> DataFrame:
     return out.select(*DAILY_COLUMNS)
 
 
-def zone_rollup(
-    fct: DataFrame,
-    station_zone: DataFrame,
-    zone_meta: DataFrame,
-    zone_pop: DataFrame,
-    system: str,
-    zone_col: str = "zone_id",
-    meta_cols: tuple[str, ...] = (),
-) -> DataFrame:
-    """Zone x start-month mart for one system.
-
-    ``station_zone`` maps station_id -> zone (bounded by the station count, a
-    seed-sized table, so it is broadcast); departures and arrivals come from
-    ONE scan of the fact: each ride is exploded into its start and its end
-    observation, joined once to the mapping, and both counts fall out of one
-    aggregate.  Arrivals are keyed by the ride's START month, and zones with
-    arrivals but no departures in a month are dropped (departures drive the
-    join), as in the reference.
+ZONE_MART_COLUMNS = [
+    "started_month",
+    "total_rides",
+    "member_rides",
+    "casual_rides",
+    "weekday_rides",
+    "weekend_rides",
+    "electric_rides",
+    "round_trip_rides",
+    "night_owl_rides",
+    "total_duration_seconds",
+    "arrival_rides",
+    "station_count",
+    "area_km2",
+    "centroid_lat",
+    "centroid_lng",
+    "population",
+    "households",
+    "median_household_income",
+]
+
+
+@dataclass
+class Boundary:
+    """Seeds of one boundary definition for the zone marts."""
+
+    name: str
+    zone_col: str
+    station_zone: DataFrame  # station_id, zone_col
+    zone_meta: DataFrame  # zone_col, [meta_cols], area_km2, centroid_lat, centroid_lng
+    zone_pop: DataFrame  # zone_col, population, households, median_household_income
+    meta_cols: tuple[str, ...] = ()
+
+
+def zone_counts(fct: DataFrame, boundaries: list[Boundary], system: str) -> DataFrame:
+    """(boundary, zone, started_month) counts of every boundary in ONE fact scan.
+
+    Each ride is exploded into its departure and arrival side, joined once to
+    a long station -> (boundary, zone) map (lookup-sized, broadcast after a
+    size check), and one partial+final aggregate yields departures, the
+    filtered counts and arrivals.  Arrivals use the ride's START month, and
+    (zone, month) cells without departures are dropped, as in the reference.
     """
     rides = fct.where(F.col("system") == system).select(
-        "start_station_id",
-        "end_station_id",
-        "member_casual",
-        "rideable_type",
-        "duration_seconds",
-        "started_dow",
-        "is_round_trip",
-        "is_night_owl",
-        "started_month",
+        "start_station_id", "end_station_id", "member_casual", "rideable_type", "duration_seconds",
+        "started_dow", "is_round_trip", "is_night_owl", "started_month",
     )
     sides = rides.select(
         "*",
@@ -71,14 +90,19 @@ def zone_rollup(
             )
         ).alias("side"),
     ).where(F.col("side.sid").isNotNull())
-    mapping = broadcast_if_small(station_zone.select(F.col("station_id").alias("sid"), F.col(zone_col)))
-    joined = sides.join(mapping, F.col("side.sid") == F.col("sid"), "inner")
+    long_map = None
+    for b in boundaries:
+        m = b.station_zone.select(
+            F.col("station_id").alias("sid"), F.lit(b.name).alias("boundary"), F.col(b.zone_col).cast("string").alias("zone")
+        )
+        long_map = m if long_map is None else long_map.unionByName(m)
+    joined = sides.join(broadcast_if_small(long_map), F.col("side.sid") == F.col("sid"), "inner")
     dep = F.col("side.dep")
 
     def c(cond):
         return F.count_if(dep & cond)
 
-    agg = joined.groupBy(zone_col, "started_month").agg(
+    return joined.groupBy("boundary", "zone", "started_month").agg(
         F.count_if(dep).alias("total_rides"),
         c(F.col("member_casual") == "member").alias("member_rides"),
         c(F.col("member_casual") == "casual").alias("casual_rides"),
@@ -91,33 +115,40 @@ def zone_rollup(
         F.count_if(~dep).alias("arrival_rides"),
     ).where(F.col("total_rides") > 0)
 
-    station_count = station_zone.groupBy(zone_col).agg(F.count(F.lit(1)).alias("station_count"))
-    meta = zone_meta.select(zone_col, *meta_cols, "area_km2", "centroid_lat", "centroid_lng")
-    pop = zone_pop.select(zone_col, "population", "households", "median_household_income")
+
+def zone_mart(counts: DataFrame, b: Boundary) -> DataFrame:
+    """One boundary's mart from the shared counts: + meta (inner), population,
+    station count (left) — all lookup-sized, broadcast after a size check."""
+    agg = counts.where(F.col("boundary") == b.name).drop("boundary").withColumn(
+        b.zone_col, F.col("zone").cast(b.zone_meta.schema[b.zone_col].dataType)
+    ).drop("zone")
+    station_count = b.station_zone.groupBy(b.zone_col).agg(F.count(F.lit(1)).alias("station_count"))
+    meta = b.zone_meta.select(b.zone_col, *b.meta_cols, "area_km2", "centroid_lat", "centroid_lng")
+    pop = b.zone_pop.select(b.zone_col, "population", "households", "median_household_income")
     out = (
-        agg.join(broadcast_if_small(meta), zone_col, "inner")
-        .join(broadcast_if_small(pop), zone_col, "left")
-        .join(broadcast_if_small(station_count), zone_col, "left")
-    )
-    return out.select(
-        zone_col,
-        *meta_cols,
-        "started_month",
-        "total_rides",
-        "member_rides",
-        "casual_rides",
-        "weekday_rides",
-        "weekend_rides",
-        "electric_rides",
-        "round_trip_rides",
-        "night_owl_rides",
-        "total_duration_seconds",
-        "arrival_rides",
-        "station_count",
-        "area_km2",
-        "centroid_lat",
-        "centroid_lng",
-        "population",
-        "households",
-        "median_household_income",
+        agg.join(broadcast_if_small(meta), b.zone_col, "inner")
+        .join(broadcast_if_small(pop), b.zone_col, "left")
+        .join(broadcast_if_small(station_count), b.zone_col, "left")
     )
+    return out.select(b.zone_col, *b.meta_cols, *ZONE_MART_COLUMNS)
+
+
+def zone_rollups(fct: DataFrame, boundaries: list[Boundary], system: str) -> dict[str, DataFrame]:
+    """All boundary marts from one fact scan; the shared counts (zones x months x
+    boundaries rows) are checkpointed once and split per boundary."""
+    counts = zone_counts(fct, boundaries, system).checkpoint()
+    return {b.name: zone_mart(counts, b) for b in boundaries}
+
+
+def zone_rollup(
+    fct: DataFrame,
+    station_zone: DataFrame,
+    zone_meta: DataFrame,
+    zone_pop: DataFrame,
+    system: str,
+    zone_col: str = "zone_id",
+    meta_cols: tuple[str, ...] = (),
+) -> DataFrame:
+    """Zone x start-month mart of one boundary for one system."""
+    b = Boundary(zone_col, zone_col, station_zone, zone_meta, zone_pop, tuple(meta_cols))
+    return zone_mart(zone_counts(fct, [b], system), b)

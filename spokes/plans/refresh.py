@@ -77,10 +77,13 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
 
     stations.dim_stations(unioned).write.mode("overwrite").parquet(f"{cfg.root}/dim_stations")
     marts.agg_rides_daily(fct).write.mode("overwrite").parquet(f"{cfg.root}/agg_rides_daily")
-    for b in cfg.boundaries:
-        display = (b.display_col,) if b.display_col else ()
-        mart = marts.zone_rollup(fct, b.mapping, b.meta, b.population, cfg.zone_system, b.id_col, display)
-        write_zone_mart(mart, f"{cfg.root}/agg_rides_by_{b.name}")
+    if cfg.boundaries:
+        specs = [
+            marts.Boundary(b.name, b.id_col, b.mapping, b.meta, b.population, (b.display_col,) if b.display_col else ())
+            for b in cfg.boundaries
+        ]
+        for name, mart in marts.zone_rollups(fct, specs, cfg.zone_system).items():
+            write_zone_mart(mart, f"{cfg.root}/agg_rides_by_{name}")
 
     dim = spark.read.parquet(f"{cfg.root}/dim_stations")
     daily = spark.read.parquet(f"{cfg.root}/agg_rides_daily")

@@ -76,3 +76,22 @@ def test_freshness_thresholds(spark):
     out = {r["source"]: r["status"] for r in quality.freshness(df, "src", "loaded", dt.datetime(2024, 3, 15)).collect()}
     assert out == {"s1": "pass", "s2": "warn", "s3": "error"}
     assert F is not None
+
+
+def test_all_boundaries_in_one_scan_equal_single_rollups(spark):
+    from conftest import SF_MID
+    from spokes.plans import registry
+    from spokes.sources import zones as zone_src
+
+    wh = registry._wh(spark, SF_MID)
+    specs, singles = [], {}
+    for name, spec in zone_src.BOUNDARIES.items():
+        _, meta, pop, mapping = registry.zone_inputs(spark, SF_MID, name, wh)
+        display = (spec["display_col"],) if spec["display_col"] else ()
+        specs.append(marts.Boundary(name, spec["id_col"], mapping, meta, pop, display))
+        singles[name] = registry.zone_mart(spark, SF_MID, name, wh)
+    multi = marts.zone_rollups(wh.fct, specs, registry.ZONE_SYSTEM)
+    for name in zone_src.BOUNDARIES:
+        a = sorted(tuple(r) for r in multi[name].collect())
+        b = sorted(tuple(r) for r in singles[name].collect())
+        assert a == b and len(a) > 0
