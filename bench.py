@@ -67,6 +67,15 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     zone_src.station_zone_map(dim, spark, sf_dir, "neighborhood", registry.ZONE_SYSTEM).write.parquet(
         f"{root}/seed_map"
     )
+    specs = []
+    for name, spec in zone_src.BOUNDARIES.items():
+        _, b_meta, b_pop, b_map = registry.zone_inputs(spark, sf_dir, name, registry.pipeline.Warehouse(
+            unioned=unioned, fct=fct, daily=None, _dim=dim))
+        for part, df in (("meta", b_meta), ("pop", b_pop), ("map", b_map)):
+            df.write.parquet(f"{root}/seed_{name}_{part}")
+        display = (spec["display_col"],) if spec["display_col"] else ()
+        specs.append(marts.Boundary(name, spec["id_col"], *(spark.read.parquet(f"{root}/seed_{name}_{p}")
+                                                             for p in ("map", "meta", "pop")), display))
     t["zone_seeds"] = time.perf_counter() - s
     meta, pop, mapping = (spark.read.parquet(f"{root}/seed_{n}") for n in ("meta", "pop", "map"))
 
@@ -94,6 +103,12 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     quality.report(res).collect()
     t["dq_suite"] = time.perf_counter() - s
 
+    # All four boundary marts from one fact scan.
+    s = time.perf_counter()
+    for name, m in marts.zone_rollups(fct, specs, registry.ZONE_SYSTEM).items():
+        m.write.parquet(f"{root}/zone_all_{name}")
+    t["zone_marts_all4"] = time.perf_counter() - s
+
     f = registry.FILTER
     headline = {
         "overview_kpis": lambda: kpis.overview_kpis(daily, f),
