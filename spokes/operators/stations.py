@@ -53,7 +53,7 @@ def dim_stations(rides: DataFrame) -> DataFrame:
        task); its size is the station count and is checked before broadcast;
     2. observations at that time (normally one per station) are kept by a
        map-side broadcast join, and ties are resolved by the full order
-       (name, lat, lng) with ``min_by`` on that small remainder.
+       (name, lat, lng) with ``latest_by_key`` on that small remainder.
 
     NULL observation times rank last (a defect in the source, never a
     winner); a station seen only with NULL times keeps those rows as its

@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # row_number() = 1 dedups rely on the partial WindowGroupLimit (map-side
+    # top-1 per key before the shuffle); keep the rule on.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 

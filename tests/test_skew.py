@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from spokes.operators import facts, marts, stations
 
 
-def _partial_before_exchange(df, op: str) -> bool:
+def _partial_before_exchange(df, marker) -> bool:
+    """A line matching ``marker`` (a map-side partial step) sits below an exchange."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     ex = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-    partial = [i for i, line in enumerate(lines) if op in line and "partial_" in line]
+    partial = [i for i, line in enumerate(lines) if marker(line)]
     return bool(ex) and bool(partial) and max(partial) > min(ex)  # partial sits below (after) the exchange line
 
 
+def _partial_limit(line):
+    return "WindowGroupLimit" in line and "Partial" in line
+
+
 def _hot_rows(n_hot=300, n_other=600):
     t = T(2024, 1, 10, 9)
     hot = [ride("HOT", t, t + dt.timedelta(minutes=i % 50), s_id="7", ingested=T(2024, 2, 1) + dt.timedelta(hours=i))
@@ -27,7 +32,7 @@ def _hot_rows(n_hot=300, n_other=600):
 def test_hot_ride_id_dedup_is_partial_and_exact(spark):
     df = rides_df(spark, _hot_rows()).repartition(8)
     d = facts.dedup_latest(df)
-    assert _partial_before_exchange(d, "min_by")
+    assert _partial_before_exchange(d, _partial_limit)
     hot = d.where(F.col("ride_id") == "HOT").collect()
     assert len(hot) == 1 and hot[0]["_ingested_at"] == T(2024, 2, 1) + dt.timedelta(hours=299)
     assert d.count() == 601
@@ -36,7 +41,7 @@ def test_hot_ride_id_dedup_is_partial_and_exact(spark):
 def test_hot_station_dimension_is_partial(spark):
     df = rides_df(spark, _hot_rows()).repartition(8)
     dim = stations.dim_stations(df)
-    assert _partial_before_exchange(dim, "min_by")
+    assert _partial_before_exchange(dim, lambda line: "partial_max" in line)
     assert dim.where(F.col("station_id") == "7").count() == 1
 
 
