@@ -87,3 +87,14 @@ def test_census_parsing_and_cleaning(spark, tmp_path):
     assert rows["11001000100"]["population"] is None and rows["11001000100"]["median_household_income"] == 52000.0
     labels = {r["geoid"]: r["tract_label"] for r in census.labels(census.read_census(spark, str(p))).collect()}
     assert labels["11001001402"] == "14.02"
+
+
+def test_area_weighted_income_denominator_options(spark):
+    ov = spark.createDataFrame([("Z", "t1", 0.5), ("Z", "t2", 1.0)], "zone string, tile_id string, weight double")
+    src = spark.createDataFrame([("t1", 100, 40, None), ("t2", 100, 40, 50000.0)],
+                                "tile_id string, population bigint, households bigint, median_household_income double")
+    biased = spatial.area_weighted_population(ov, src, "zone", "tile_id").first()
+    fixed = spatial.area_weighted_population(ov, src, "zone", "tile_id", corrected_income=True).first()
+    assert biased["population"] == 150 and biased["households"] == 60
+    assert biased["median_household_income"] == round(50000 * 100 / 150)
+    assert fixed["median_household_income"] == 50000.0

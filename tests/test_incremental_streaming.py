@@ -57,3 +57,16 @@ def test_landing_runs_are_idempotent(spark):
     s3 = {r["status"]: r["n"] for r in registry.trips_csv.ingest_summary(runs["run3"]).collect()}
     assert s3["loaded"] == 0 and s3["skipped"] == 4
     assert runs["raw"].count() == registry.REGISTRY["rides_unioned"](spark, SF_SMALL).count()
+
+
+def test_strict_upsert_deletes_ride_whose_newest_copy_is_invalid(spark):
+    t = T(2024, 1, 5, 12)
+    first = [ride("a", t, t + dt.timedelta(minutes=10), ingested=T(2024, 2, 1)),
+             ride("b", t, t + dt.timedelta(minutes=10), ingested=T(2024, 2, 1))]
+    newer_invalid = [ride("a", t, t - dt.timedelta(minutes=1), ingested=T(2024, 3, 1))]
+    for strict, expected in ((False, {"a", "b"}), (True, {"b"})):
+        path = work_dir(spark, "t-strict")
+        incremental.write_fact(facts.fct_rides(rides_df(spark, first)), path)
+        incremental.run_incremental(spark, rides_df(spark, first + newer_invalid), path, strict=strict)
+        got = {r["ride_id"] for r in spark.read.parquet(path).select("ride_id").collect()}
+        assert got == expected, (strict, got)
