@@ -46,7 +46,8 @@ STATION_ORDER = [("observed_at", "desc"), "station_name", "lat", "lng"]
 def dim_stations(rides: DataFrame) -> DataFrame:
     """Latest observation per (system, station_id)  (E2).
 
-    Two column-pruned passes instead of sorting every observation:
+    Two column-pruned passes instead of sorting every observation (the first
+    runs when this function is called, to materialise the per-station maxima):
 
     1. a hash aggregate of MAX(observed_at) per station (partial aggregation,
        so a station seen in a third of all rides still ships one row per map
@@ -60,7 +61,9 @@ def dim_stations(rides: DataFrame) -> DataFrame:
     candidates (null-safe match).
     """
     obs = station_observations(rides)
-    latest_time = obs.groupBy("system", "station_id").agg(F.max("observed_at").alias("_latest"))
+    # One row per station: materialised once (reliable checkpoint), so the size
+    # check and the join below do not each recompute it from the rides.
+    latest_time = obs.groupBy("system", "station_id").agg(F.max("observed_at").alias("_latest")).checkpoint()
     cand = obs.join(broadcast_if_small(latest_time), ["system", "station_id"]).where(
         F.col("observed_at").eqNullSafe(F.col("_latest"))
     ).drop("_latest")
