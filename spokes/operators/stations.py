@@ -43,6 +43,12 @@ def station_observations(rides: DataFrame) -> DataFrame:
 STATION_ORDER = [("observed_at", "desc"), "station_name", "lat", "lng"]
 
 
+def latest_observation_times(obs: DataFrame) -> DataFrame:
+    """MAX(observed_at) per (system, station_id): a hash aggregate with
+    map-side partial aggregation, one output row per station."""
+    return obs.groupBy("system", "station_id").agg(F.max("observed_at").alias("_latest"))
+
+
 def dim_stations(rides: DataFrame) -> DataFrame:
     """Latest observation per (system, station_id)  (E2).
 
@@ -63,7 +69,7 @@ def dim_stations(rides: DataFrame) -> DataFrame:
     obs = station_observations(rides)
     # One row per station: materialised once (reliable checkpoint), so the size
     # check and the join below do not each recompute it from the rides.
-    latest_time = obs.groupBy("system", "station_id").agg(F.max("observed_at").alias("_latest")).checkpoint()
+    latest_time = latest_observation_times(obs).checkpoint()
     cand = obs.join(broadcast_if_small(latest_time), ["system", "station_id"]).where(
         F.col("observed_at").eqNullSafe(F.col("_latest"))
     ).drop("_latest")

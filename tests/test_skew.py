@@ -40,8 +40,11 @@ def test_hot_ride_id_dedup_is_partial_and_exact(spark):
 
 def test_hot_station_dimension_is_partial(spark):
     df = rides_df(spark, _hot_rows()).repartition(8)
+    maxima = stations.latest_observation_times(stations.station_observations(df))
+    assert _partial_before_exchange(maxima, lambda line: "partial_max" in line)
     dim = stations.dim_stations(df)
-    assert _partial_before_exchange(dim, lambda line: "partial_max" in line)
+    plan = dim._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan  # observations filtered map-side against the maxima
     assert dim.where(F.col("station_id") == "7").count() == 1
 
 
