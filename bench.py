@@ -60,7 +60,7 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     # Zone seeds (polygon meta, population, station -> zone) are static inputs
     # of the zone mart, loaded like seed files; built and written first.
     s = time.perf_counter()
-    zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf_dir)), "neighborhood").write.parquet(
+    zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf_dir), "neighborhood").write.parquet(
         f"{root}/seed_meta"
     )
     zone_src.zone_population(spark, sf_dir, "neighborhood").write.parquet(f"{root}/seed_pop")

@@ -258,7 +258,7 @@ ZONE_SYSTEM = "beta"
 
 def zone_inputs(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None):
     wh = wh or _wh(spark, sf)
-    meta = zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf)), boundary)
+    meta = zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf), boundary)
     pop = zone_src.zone_population(spark, sf, boundary)
     mapping = zone_src.station_zone_map(wh.dim, spark, sf, boundary, ZONE_SYSTEM)
     return wh, meta, pop, mapping
@@ -620,7 +620,7 @@ def q_stg_trips(spark, sf):
 @register("seed_scan")
 def q_seed_scan(spark, sf):
     """Cluster meta written as a seed CSV (display names carry commas) and read back typed."""
-    meta = zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf)), "cluster").withColumn(
+    meta = zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf), "cluster").withColumn(
         "cluster_display_name", F.concat(F.col("cluster_display_name"), F.lit(", Cluster "), F.col("cluster_id"))
     )
     path = work_dir(spark, "seed")

@@ -61,6 +61,21 @@ def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.where((F.col("z") >= 0) & (F.col("z") < 25) & (F.col("z") % GAP_RULE_MOD != GAP_RULE_REM))
 
 
+_CELL_META: dict[tuple[str, str], DataFrame] = {}
+
+
+def grid_cell_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cell_meta(grid_cells(...))``, built once per session and input folder.
+
+    The frame is lazy; memoising it only saves re-building its (large)
+    geometry expressions on the driver, not any data.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CELL_META:
+        _CELL_META[key] = cell_meta(grid_cells(spark, sf_dir))
+    return _CELL_META[key]
+
+
 def cell_meta(cells: DataFrame) -> DataFrame:
     """z, area_km2 (UTM 18N), centroid_lat/lng (planar degrees, 6 dp)."""
     c = geo.centroid(F.col("geometry"))

@@ -42,7 +42,7 @@ def main() -> None:
     spark = local_session(shuffle_partitions=8)
     wh = pipeline.materialize(spark, pipeline.fixture_warehouse(spark, sf), work_dir(spark, "plans"))
     f = registry.FILTER
-    meta = zone_src.zone_meta(zone_src.cell_meta(zone_src.grid_cells(spark, sf)), "neighborhood")
+    meta = zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf), "neighborhood")
     pop = zone_src.zone_population(spark, sf, "neighborhood")
     mapping = zone_src.station_zone_map(wh.dim, spark, sf, "neighborhood", registry.ZONE_SYSTEM)
     mart = marts.zone_rollup(wh.fct, mapping, meta, pop, registry.ZONE_SYSTEM, "neighborhood_name")
