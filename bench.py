@@ -69,7 +69,7 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     )
     specs = []
     for name, spec in zone_src.BOUNDARIES.items():
-        _, b_meta, b_pop, b_map = registry.zone_inputs(spark, sf_dir, name, registry.pipeline.Warehouse(
+        _, b_meta, b_pop, b_map = registry.zone_inputs(spark, sf_dir, name, registry.warehouse.Warehouse(
             unioned=unioned, fct=fct, daily=None, _dim=dim))
         for part, df in (("meta", b_meta), ("pop", b_pop), ("map", b_map)):
             df.write.parquet(f"{root}/seed_{name}_{part}")

@@ -24,7 +24,7 @@ from ..schemas import FCT_COLUMNS
 from ..session import work_dir
 from ..sources import fixtures
 from ..sources import zones as zone_src
-from . import pipeline
+from . import warehouse
 
 FILTER = RideFilter(fixtures.SYSTEMS, dt.date(1995, 1, 1), dt.date(2024, 1, 1))
 
@@ -55,8 +55,8 @@ def register(name: str, rounded: tuple[str, ...] = ()):
     return deco
 
 
-def _wh(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
-    return pipeline.fixture_warehouse(spark, sf_dir)
+def _wh(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    return warehouse.fixture_warehouse(spark, sf_dir)
 
 
 # ---- fact chain -------------------------------------------------------------------------
@@ -256,7 +256,7 @@ def q_station_centroids(spark, sf):
 ZONE_SYSTEM = "beta"
 
 
-def zone_inputs(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None):
+def zone_inputs(spark, sf, boundary: str, wh: warehouse.Warehouse | None = None):
     wh = wh or _wh(spark, sf)
     meta = zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf), boundary)
     pop = zone_src.zone_population(spark, sf, boundary)
@@ -264,7 +264,7 @@ def zone_inputs(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None):
     return wh, meta, pop, mapping
 
 
-def zone_mart(spark, sf, boundary: str, wh: pipeline.Warehouse | None = None) -> DataFrame:
+def zone_mart(spark, sf, boundary: str, wh: warehouse.Warehouse | None = None) -> DataFrame:
     wh, meta, pop, mapping = zone_inputs(spark, sf, boundary, wh)
     spec = zone_src.BOUNDARIES[boundary]
     display = (spec["display_col"],) if spec["display_col"] else ()

@@ -81,9 +81,9 @@ def test_same_ride_id_in_two_systems(spark):
 
 def test_fixture_invariants(spark):
     from conftest import SF_SMALL
-    from spokes.plans import pipeline
+    from spokes.plans import warehouse
 
-    wh = pipeline.fixture_warehouse(spark, SF_SMALL)
+    wh = warehouse.fixture_warehouse(spark, SF_SMALL)
     n_fct = wh.fct.count()
     daily = wh.daily.agg(F.sum("total_rides"), F.sum("night_owl_rides")).first()
     assert daily[0] == n_fct

@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from spokes.operators import facts, kpis, marts, stations, zones  # noqa: E402
-from spokes.plans import pipeline, registry  # noqa: E402
+from spokes.plans import registry, warehouse  # noqa: E402
 from spokes.session import local_session, work_dir  # noqa: E402
 from spokes.sources import zones as zone_src  # noqa: E402
 
@@ -40,7 +40,7 @@ def condensed(df) -> list[str]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(shuffle_partitions=8)
-    wh = pipeline.materialize(spark, pipeline.fixture_warehouse(spark, sf), work_dir(spark, "plans"))
+    wh = warehouse.materialize(spark, warehouse.fixture_warehouse(spark, sf), work_dir(spark, "plans"))
     f = registry.FILTER
     meta = zone_src.zone_meta(zone_src.grid_cell_meta(spark, sf), "neighborhood")
     pop = zone_src.zone_population(spark, sf, "neighborhood")
