@@ -434,6 +434,15 @@ def q_polygon_overlay(spark, sf):
     )
 
 
+@register("polygon_overlay_utm")
+def q_polygon_overlay_utm(spark, sf):
+    """The source's overlay: both layers projected to UTM 18N, areas in m².
+    No SQL twin (exact UTM polygon intersection); tests compare it with the
+    planar overlay within the projection's distortion."""
+    ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id")
+    return ov.select("zone", "tile_id", F.round(F.col("area"), 3).alias("area_m2"), F.round(F.col("weight"), 6).alias("weight"))
+
+
 @register("area_weighted_population")
 def q_area_weighted_population(spark, sf):
     ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id", project_utm=None)

@@ -98,3 +98,13 @@ def test_area_weighted_income_denominator_options(spark):
     assert biased["population"] == 150 and biased["households"] == 60
     assert biased["median_household_income"] == round(50000 * 100 / 150)
     assert fixed["median_household_income"] == 50000.0
+
+
+def test_utm_overlay_matches_planar_within_distortion(spark):
+    from conftest import SF_SMALL
+    from spokes.plans import registry
+
+    utm = {(r["zone"], r["tile_id"]): r["weight"] for r in registry.REGISTRY["polygon_overlay_utm"](spark, SF_SMALL).collect()}
+    planar = {(r["zone"], r["tile_id"]): r["weight"] for r in registry.REGISTRY["polygon_overlay"](spark, SF_SMALL).collect()}
+    assert set(utm) == set(planar) and len(utm) > 0
+    assert max(abs(utm[k] - planar[k]) for k in utm) < 2e-3
