@@ -16,14 +16,13 @@ from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
 from ..functions import geo, labels
-from ..sources import census, geojson, seeds, trips_csv
-from ..streaming import jobs as streams
-from ..operators import staging as staging_ops
 from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, zones
+from ..operators import staging as staging_ops
 from ..schemas import FCT_COLUMNS
 from ..session import work_dir
-from ..sources import fixtures
+from ..sources import census, fixtures, geojson, seeds, trips_csv
 from ..sources import zones as zone_src
+from ..streaming import jobs as streams
 from . import warehouse
 
 FILTER = RideFilter(fixtures.SYSTEMS, dt.date(1995, 1, 1), dt.date(2024, 1, 1))
