@@ -26,7 +26,8 @@ SESSION_DEFAULTS = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "spokes") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "spokes",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -35,7 +36,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SPOKES_DRIVER_MEMORY", "8g"))
     )
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
