@@ -55,3 +55,15 @@ def test_shuffle_sizing_only_raises(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_cli_refresh(spark, capsys):
+    from conftest import SF_SMALL
+    from spokes import cli
+
+    unioned = fixtures.staged_trips(spark, SF_SMALL)
+    landing, root = work_dir(spark, "cli-landing"), work_dir(spark, "cli-root")
+    trips_csv.write_raw_csvs(unioned["alpha"].unionByName(unioned["beta"]), landing)
+    assert cli.main(["refresh", "--landing", landing, "--root", root, "--fixture-systems"]) == 0
+    out = capsys.readouterr().out
+    assert "loaded: 3" in out and "ERROR=0" in out
