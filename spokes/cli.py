@@ -1,6 +1,6 @@
 """Command line: one refresh run (land -> fact -> dimension -> marts -> checks).
 
-    spark-submit -m spokes.cli refresh --landing <dir> --root <dir> [--full-refresh]
+    spark-submit spokes_refresh.py refresh --landing <dir> --root <dir> [--full-refresh]
     python -m spokes.cli refresh --landing <dir> --root <dir> --local
 
 Under ``spark-submit`` the submitted session (master, ``spark.checkpoint.dir``)
