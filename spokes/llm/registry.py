@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import token_counts, url_filter
+from . import secrets, simhash, token_counts, url_filter
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
+    "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
     "op8_url_filter": url_filter.op8_url_filter,
 }
