@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from . import secrets, simhash, token_counts, url_filter
+import corpus_pipeline
+
+from . import decontaminate, packing, quality, secrets, simhash, token_counts, url_filter
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_packing": packing.op6_packing,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op10_quality": quality.op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
