@@ -3,7 +3,8 @@
 Texts are bags of hashed words and word pairs.  Two generative models are
 counted over the corpus, one of target texts (a bounded sample of labelled good
 rows) and one of raw texts (all rows); a text's weight is the log of the ratio
-of its probabilities under the two.  Sampling without replacement in proportion
+of its probabilities under the two, brought to the same length for all texts
+(held-out labels are told apart far better than by the plain sum).  Sampling without replacement in proportion
 to the weights is a top-k of weight plus Gumbel noise.  Labelled rows that the
 models have not seen tell where good and bad weights part; k is the number of
 rows above that cut.
@@ -24,6 +25,8 @@ from pyspark.sql import types as T
 from .common import materialise, mix, table, text_of, word_hashes
 
 BUCKETS = 1 << 16
+# Weights are those of a text of so many grams.
+LENGTH = 200
 
 
 def grams(text: str, buckets: int = BUCKETS) -> np.ndarray:
@@ -59,7 +62,7 @@ class RatioModel:
     cut: float
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, smooth: float = 20.0, id_col: str = "doc_id",
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, smooth: float = 5.0, id_col: str = "doc_id",
         text_col: str = "text", good: str = "quality = 1") -> RatioModel:
     """Both models and the cut, from at most ``max_rows`` labelled ids, taken in hash order.
 
@@ -117,7 +120,8 @@ def weigh(docs: DataFrame, model: RatioModel, key: int = 0, id_col: str = "doc_i
             found = [grams(x.as_py()) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(f) for f in found], pa.int64()),
-                 pa.array([float(ratio[f].sum()) for f in found], pa.float64()), b.column("u"),
+                 pa.array([LENGTH * float(ratio[f].mean()) if len(f) else 0.0 for f in found], pa.float64()),
+                 b.column("u"),
                  *map(b.column, keep)], ["id", "n_grams", "log_weight", "u", *keep])
 
     # 53 bits of hash, never zero or one

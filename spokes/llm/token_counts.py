@@ -45,8 +45,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
         misses = present.join(_cached(spark, cache_path, version), "digest", "left_anti")
     misses = materialise(misses, "token-misses")
 
-    # Either the rows to encode or the rows to leave are listed, whichever is fewer: the
-    # shorter list is more often small enough for the planner to broadcast it.
+    # With a warm cache the few rows to encode are listed, and the planner may broadcast the
+    # list.  With a cold one the rows to leave are; every text moves once then, at any size.
     same = (F.col("t.digest") == F.col("l.digest")) & F.col("t.id").eqNullSafe(F.col("l.id"))
     n_rows, n_misses = rows.count(), misses.count()
     if n_misses:
@@ -54,7 +54,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
             todo = texts.alias("t").join(misses.alias("l"), same, "left_semi")
         else:
             rest = rows.select("digest", "id").alias("t").join(misses.alias("l"), same, "left_anti")
-            todo = texts.alias("t").join(materialise(rest, "token-rest").alias("l"), same, "left_anti")
+            todo = texts.alias("t").join(materialise(rest, "token-rest").hint("merge").alias("l"), same, "left_anti")
         new = _encode(todo.select("digest", "text"), kind, version, blob)
         # a repeated row can bring its digest twice
         new = new.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
