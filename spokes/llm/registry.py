@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, packing, quality, secrets, simhash, token_counts, url_filter
+from . import decontaminate, fingerprint, packing, quality, recompression, secrets, simhash, token_counts, url_filter
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
@@ -12,7 +12,9 @@ QUERIES = {
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_packing": packing.op6_packing,
+    "op7_fingerprint": fingerprint.op7_fingerprint,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_repeats": recompression.op9_repeats,
     "op10_quality": quality.op10_quality,
     "pipeline": corpus_pipeline.run,
 }
