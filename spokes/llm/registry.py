@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprint, packing, quality, recompression, secrets, simhash, token_counts, url_filter
+from . import decontaminate, fingerprint, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
 
 QUERIES = {
+    "op1_surrogates": surrogates.op1_surrogates,
     "op2_simhash": simhash.op2_simhash,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_secrets": secrets.op4_secrets,
