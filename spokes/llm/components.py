@@ -21,28 +21,29 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Links to itself, repeated links and links with a null count for nothing.
     """
     e = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), (F.col(a) != F.col(b)).alias("two"))
-    e = materialise(e.where(F.col("two") & F.col(a).isNotNull() & F.col(b).isNotNull()).select("u", "v").distinct(),
-                    "links")
-    before = None
-    while True:
-        e = _large_star(e)
-        e = _small_star(e)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+    e = e.where(F.col("two") & F.col(a).isNotNull() & F.col(b).isNotNull()).select("u", "v")
+    e = materialise(e, "links")
+    n = e.count()  # links never become more
+    e = materialise(e.distinct(), "links", n)
+    while n:
+        e = _small_star(_large_star(e, n), n)
+        n = e.count()
+        most = e.groupBy("u").count().coalesce(1).agg(F.max("count")).first()[0]
+        heads = e.select(F.col("u").alias("w")).distinct()
+        if most == 1 and not e.join(heads, F.col("v") == F.col("w"), "left_semi").coalesce(1).count():
+            break  # every node has one link, to a node that has none: these are the roots
     roots = e.select("v").distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("v", "v"))
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, n: int) -> DataFrame:
     both = e.union(e.select("v", "u"))
-    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star-least")
+    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star-least", 2 * n)
     out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return materialise(out.distinct(), "star-large")
+    return materialise(out.distinct(), "star-large", n)
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = materialise(e.groupBy("u").agg(F.min("v").alias("m")), "star-least")
+def _small_star(e: DataFrame, n: int) -> DataFrame:
+    least = materialise(e.groupBy("u").agg(F.min("v").alias("m")), "star-least", n)
     moved = e.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return materialise(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "star-small")
+    return materialise(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "star-small", n)

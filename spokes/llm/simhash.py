@@ -154,14 +154,16 @@ def _groups(docs: DataFrame, shingle: int, bits: int, id_col: str, text_col: str
         raise ValueError("bits: 0 to 3")
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = materialise(fingerprints(rows, shingle).select("id", "fp"), "simhash")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
+    n = rows.count()
+    # a fingerprint makes up to 56 rows of the index, so few of them to a task
+    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", n, per_file=20_000)
     comp = connected_components(links(nodes, bits))
     rooted = nodes.join(comp, F.col("fp") == F.col("node"), "left")
-    rooted = materialise(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    rooted = materialise(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots", n)
     first = F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), "fp"))
-    groups = materialise(rooted.groupBy("root").agg(first.alias("first")), "simhash-first")
+    groups = materialise(rooted.groupBy("root").agg(first.alias("first")), "simhash-first", n)
     of = rooted.join(groups, "root").select("fp", F.col("first.id").alias("component_id"), "first")
-    return rows, materialise(of, "simhash-of")
+    return rows, materialise(of, "simhash-of", n)
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str = "doc_id",
