@@ -10,10 +10,11 @@ wherever these words stand again, so does the symbol.
 A window's key is the longest symbol that its own words determine.  Equal
 windows have equal keys, so
 
-1. blocks of documents send their keys, with the smallest and largest document
-   id of each, to key buckets; keys of two or more documents come back,
-2. blocks send the 128-bit hashes of the windows with such keys to hash buckets;
-   the smallest document id of each window comes back,
+1. blocks of documents send their keys to key buckets; a bit for each key comes
+   back: whether two documents have it,
+2. blocks send 96-bit hashes of the windows with such keys, with the smallest
+   document id of each, to hash buckets; a bit comes back: whether a document of
+   another block has the window and a smaller id,
 3. a window that also starts in a document with a smaller id covers its words.
 
 A block sends a key once however often it occurs, so a passage in a third of all
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -132,91 +134,103 @@ class Block:
 
 
 
-def _send(keys: np.ndarray, ids: np.ndarray, block: int, buckets: int) -> Iterator[dict]:
-    """One row for each bucket: its distinct keys (rows of one or two numbers) with smallest and largest id."""
-    if not len(keys):
-        return
-    keys = keys.reshape(len(keys), -1)
-    order = np.lexsort((ids, *keys.T[::-1]))
-    keys, ids = keys[order], ids[order]
-    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
-    keys, least, most = keys[new], ids[new], ids[np.concatenate([new[1:], [len(ids)]]) - 1]
-    bucket = (mix(keys[:, 0]) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    keys, least, most, bucket = keys[order], least[order], most[order], bucket[order]
-    base = int(least.min())
-    kind = "<u4" if int(most.max()) - base < 2**32 else "<u8"
-    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for s, e in zip(cut, [*cut[1:], len(bucket)]):
-        # the span of ids is zero for most keys, which compresses well
-        yield {"bucket": int(bucket[s]), "block": block, "base": base, "kind": kind, "keys": keys[s:e].tobytes(),
-               "least": (least[s:e] - base).astype(kind).tobytes(),
-               "span": (most[s:e] - least[s:e]).astype(kind).tobytes()}
-
-
-SENT = "bucket long, block long, base long, kind string, keys binary, least binary, span binary"
-SENT_ARROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("base", pa.int64()), ("kind", pa.string()),
-                        ("keys", pa.binary()), ("least", pa.binary()), ("span", pa.binary())])
-
-
-def _answer(width: int):
-    """For one bucket: to each block, its keys that two or more documents have, and the smallest id of each."""
-    def run(t: pa.Table) -> pa.Table:
-        rows = t.to_pylist()
-        keys = [np.frombuffer(r["keys"], np.uint64).reshape(-1, width) for r in rows]
-        least = [np.frombuffer(r["least"], r["kind"]).astype(np.int64) + r["base"] for r in rows]
-        most = [x + np.frombuffer(r["span"], r["kind"]).astype(np.int64) for x, r in zip(least, rows)]
-        of = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
-        keys, least, most = np.concatenate(keys), np.concatenate(least), np.concatenate(most)
-        order = np.lexsort(keys.T[::-1])
-        k = keys[order]
-        new = np.concatenate([[True], (k[1:] != k[:-1]).any(axis=1)])
-        group, first = np.cumsum(new) - 1, np.flatnonzero(new)
-        low, high = np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
-        shared = (low < high)[group]
-        order, low, group = order[shared], low[group[shared]], None
-        back = np.argsort(of[order], kind="stable")
-        order, low = order[back], low[back]
-        cut = np.searchsorted(of[order], np.arange(len(rows) + 1))
-        out = [(rows[i]["block"], keys[order[s:e]].tobytes(), low[s:e].astype("<i8").tobytes())
-               for i, (s, e) in enumerate(zip(cut, cut[1:])) if e > s]
-        block, found, first_id = zip(*out) if out else ((), (), ())
-        return pa.table({"block": pa.array(block, pa.int64()), "keys": pa.array(found, pa.binary()),
-                         "least": pa.array(first_id, pa.binary())})
-    return run
-
-
-ANSWERED = "block long, keys binary, least binary"
-
-
-def _read(answers: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64).reshape(-1, width)
-    least = np.frombuffer(b"".join(answers.column("least").to_pylist()), "<i8")
-    order = np.lexsort(keys.T[::-1])
-    return keys[order], least[order]
-
-
-def _find(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Where each wanted key stands in the sorted keys, or -1; keys are one or two numbers wide."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.searchsorted(keys[:, 0], wanted[:, 0])
-    out = np.full(len(wanted), -1)
-    if keys.shape[1] == 1:
-        at = np.minimum(at, len(keys) - 1)
-        hit = keys[at, 0] == wanted[:, 0]
-        out[hit] = at[hit]
+class Distinct:
+    """The distinct keys of a block (equal arrays side by side), with the smallest and largest id of each, by bucket."""
+
+    def __init__(self, keys: list[np.ndarray], ids: np.ndarray, buckets: int):
+        order = np.lexsort((ids, *keys[::-1]))
+        new = np.ones(len(ids), bool)
+        new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+        first = np.flatnonzero(new)
+        last = np.concatenate([first[1:], [len(ids)]])[:len(first)] - 1
+        bucket = (mix(keys[0][order[first]]) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        self.of = np.empty(len(ids), np.int64)  # where each key given stands among the distinct ones
+        self.of[order] = place[np.cumsum(new) - 1]
+        self.keys = [k[order[first]][by] for k in keys]
+        self.least, self.most = ids[order[first]][by], ids[order[last]][by]
+        bucket = bucket[by]
+        start = np.flatnonzero(np.diff(bucket, prepend=-1))
+        self.cells = {int(bucket[i]): slice(i, j) for i, j in zip(start, [*start[1:], len(bucket)])}
+
+    def flags(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
+        """The buckets' answers (bucket, a bit for each key) by distinct key."""
+        out = np.zeros(len(self.least), bool)
+        for bucket, bits in answers:
+            cell = self.cells[bucket]
+            out[cell] = np.unpackbits(np.frombuffer(bits, np.uint8), count=cell.stop - cell.start)
         return out
-    open_ = np.arange(len(wanted))
-    while len(open_):  # equal first halves stand together; there is hardly ever more than one
-        i = at[open_]
-        open_ = open_[(i < len(keys)) & (keys[np.minimum(i, len(keys) - 1), 0] == wanted[open_, 0])]
-        i = at[open_]
-        hit = keys[i, 1] == wanted[open_, 1]
-        out[open_[hit]] = i[hit]
-        open_ = open_[~hit]
-        at[open_] += 1
-    return out
+
+
+# What a block sends to a bucket: keys (64 bits, and 32 more of window hashes), and of each key either whether two
+# documents of the block have it (a bit) or its smallest id (from ``base``, in as many bytes as the block needs).
+SENT = "bucket long, block long, high binary, low binary, base long, kind string, of_key binary"
+SENT_ARROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("high", pa.binary()), ("low", pa.binary()),
+                        ("base", pa.int64()), ("kind", pa.string()), ("of_key", pa.binary())])
+ANSWERED = "block long, bucket long, bits binary"
+
+
+def _send_keys(d: Distinct, block: int) -> Iterator[dict]:
+    for bucket, c in d.cells.items():
+        several = np.packbits(d.least[c] < d.most[c]).tobytes()
+        yield {"bucket": bucket, "block": block, "high": d.keys[0][c].tobytes(), "low": b"", "base": 0, "kind": "",
+               "of_key": several}
+
+
+def _send_windows(d: Distinct, block: int) -> Iterator[dict]:
+    base = int(d.least.min()) if len(d.least) else 0
+    kind = "<u4" if len(d.least) and int(d.least.max()) - base < 2**32 else "<u8"
+    for bucket, c in d.cells.items():
+        yield {"bucket": bucket, "block": block, "high": d.keys[0][c].tobytes(), "low": d.keys[1][c].tobytes(),
+               "base": base, "kind": kind, "of_key": (d.least[c].astype(np.uint64) - np.uint64(base % 2**64)).astype(kind).tobytes()}
+
+
+def _answer(t: pa.Table, judge) -> pa.Table:
+    """For one bucket: ``judge`` gives a bit for each key of each row from the groups of equal keys."""
+    rows = t.to_pylist()
+    high = [np.frombuffer(r["high"], np.uint64) for r in rows]
+    sizes = [len(x) for x in high]
+    keys = [np.concatenate(high)]
+    if any(r["low"] for r in rows):
+        keys.append(np.concatenate([np.frombuffer(r["low"], np.uint32) for r in rows]))
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    bits = np.split(judge(rows, sizes, group, order, np.flatnonzero(new)), np.cumsum(sizes)[:-1])
+    out = [(r["block"], r["bucket"], np.packbits(x).tobytes()) for r, x in zip(rows, bits) if x.any()]
+    block, bucket, packed = zip(*out) if out else ((), (), ())
+    return pa.table({"block": pa.array(block, pa.int64()), "bucket": pa.array(bucket, pa.int64()),
+                     "bits": pa.array(packed, pa.binary())})
+
+
+def _shared(t: pa.Table) -> pa.Table:
+    """Keys that two blocks have, or two documents of one block."""
+    def judge(rows, sizes, group, order, first):
+        several = np.concatenate([np.unpackbits(np.frombuffer(r["of_key"], np.uint8), count=n).astype(bool)
+                                  for r, n in zip(rows, sizes)])
+        shared = np.bincount(group, minlength=len(first)) > 1
+        shared |= np.bincount(group, several, minlength=len(first)) > 0
+        return shared[group]
+
+    return _answer(t, judge)
+
+
+def _earlier(t: pa.Table) -> pa.Table:
+    """Windows that a document of another block has whose id is smaller than all of this block's that have it."""
+    def judge(rows, sizes, group, order, first):
+        least = np.concatenate([(np.frombuffer(r["of_key"], r["kind"]).astype(np.uint64) + np.uint64(r["base"] % 2**64))
+                                .astype(np.int64) for r in rows])
+        return np.minimum.reduceat(least[order], first)[group] < least
+
+    return _answer(t, judge)
+
+
+def _pairs(answers: pa.Table) -> list[tuple[int, bytes]]:
+    return list(zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist()))
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -269,34 +283,40 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
     buckets = max(16, -(-n_bytes // BUCKET_TEXT))
 
+    def keys_of(b: Block) -> Distinct:
+        k = window_keys(b.names[:, 0], b.ends, window)[b.starts]
+        return Distinct([k], b.order[b.doc[b.starts]], buckets)
+
+    def windows_of(b: Block, answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, Distinct]:
+        """Where the windows start whose keys are shared, and their hashes."""
+        d = keys_of(b)
+        at = b.starts[d.flags(answers)[d.of]]
+        h = window_hashes(b.names, window)[at]
+        return at, Distinct([h[:, 0], (h[:, 1] >> np.uint64(32)).astype(np.uint32)], b.order[b.doc[at]], buckets)
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
-                b = Block(blob, window)
-                k = window_keys(b.names[:, 0], b.ends, window)[b.starts]
-                for row in _send(k, b.order[b.doc[b.starts]], number, buckets):
+                for row in _send_keys(keys_of(Block(blob, window)), number):
                     yield pa.RecordBatch.from_pylist([row], SENT_ARROW)
 
     def windows(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        shared, _ = _read(answers, 1)
-        rows = []
-        for number, blob in zip(mine.column("block").to_pylist(), mine.column("blob").to_pylist()):
-            if len(shared):
-                b = Block(blob, window)
-                k = window_keys(b.names[:, 0], b.ends, window)[b.starts]
-                some = b.starts[_find(k[:, None], shared) >= 0]
-                rows += _send(window_hashes(b.names, window)[some], b.order[b.doc[some]], number, buckets)
+        rows, said = [], _pairs(answers)
+        if said:
+            for number, blob in zip(mine.column("block").to_pylist(), mine.column("blob").to_pylist()):
+                rows += _send_windows(windows_of(Block(blob, window), said)[1], number)
         return pa.Table.from_pylist(rows, SENT_ARROW)
 
     def clean(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        repeated, least = _read(answers, 2)
+        first = answers.filter(pc.equal(answers.column("step"), 1))
+        second = answers.filter(pc.equal(answers.column("step"), 2))
         ids, n_words, n_removed, kept = [], [], [], []
         for blob in mine.column("blob").to_pylist():
             b = Block(blob, window)
             gone = np.zeros(len(b.names) + 1, np.int32)
-            if len(repeated):
-                at = _find(window_hashes(b.names, window)[b.starts], repeated)
-                hit = b.starts[(at >= 0) & (least[at] < b.order[b.doc[b.starts]])]
+            if first.num_rows:
+                at, d = windows_of(b, _pairs(first))
+                hit = at[d.flags(_pairs(second))[d.of] | (b.order[b.doc[at]] > d.least[d.of])]
                 gone[hit] += 1  # a word starts at most one window
                 np.subtract.at(gone, hit + window, 1)
             gone = np.cumsum(gone[:-1]) > 0
@@ -312,11 +332,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         return pa.table({id_col: pa.array(ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
                          "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())})
 
-    shared = blocks.mapInArrow(keys, SENT).groupBy("bucket").applyInArrow(_answer(1), ANSWERED)
-    sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(windows, SENT)
-    repeated = sent.groupBy("bucket").applyInArrow(_answer(2), ANSWERED)
+    def with_blocks(answers: DataFrame):
+        return blocks.groupBy("block").cogroup(answers.groupBy("block"))
+
+    shared = materialise(blocks.mapInArrow(keys, SENT).groupBy("bucket").applyInArrow(_shared, ANSWERED), "shared")
+    sent = with_blocks(shared).applyInArrow(windows, SENT)
+    earlier = sent.groupBy("bucket").applyInArrow(_earlier, ANSWERED)
+    answers = shared.withColumn("step", F.lit(1)).union(earlier.withColumn("step", F.lit(2)))
     schema = T._parse_datatype_string(f"`{id_col}` long, n_words long, n_removed long, kept string")
-    return blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(clean, schema)
+    return with_blocks(answers).applyInArrow(clean, schema)
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
