@@ -56,8 +56,9 @@ UPPER = r"A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я"
 CAP = rf"[{UPPER}][\w'’-]*\w"
 TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLE_OF, key=len, reverse=True))})\b\.? ({CAP})(?: ({CAP}))?")
 PAIR = re.compile(rf"(?<!\w)({CAP}) ({CAP})")
-MAYBE = (r"@|\+\d|\d\.\d|\d{4}[ -]?\d{4}|\d{3}[.)-]|[A-Z]{2}\d{2}[A-Z0-9]{11}"
-         rf"|(?<!\p{{L}})({'|'.join([*TITLE_OF, *GIVEN_OF, *map(str.upper, GIVEN_OF)])})(?!\p{{L}})")
+# Quick tests that a text passes if it holds a number or a title of the kinds above.
+SOME_NUMBER = re.compile(r"\d[\d .()-]{5,}\d|[A-Z]{2}\d{2}[A-Z0-9]{11}", re.ASCII)
+SOME_TITLE = [t for t in TITLE_OF if not any(u != t and u in t for u in TITLE_OF)]
 # Syllables of invented names, and how names of either gender end.
 SYLLABLES = {"latin": ("b c d f g h j k l m n p r s t v w z br dr gr kl st tr".split(), "a e i o u".split()),
              "cyrillic": ("б в г д ж з к л м н п р с т ф х бр гр ст".split(), "а е и о у".split()),
@@ -95,7 +96,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             found.append([(local.start(), at, "local", text[local.start():domain.end()].lower()),
                           (at + 1, domain.end(), "domain", domain[0].lower())])
         at = text.find("@", at + 1)
-    for m in NUMBERS.finditer(text):
+    for m in NUMBERS.finditer(text) if SOME_NUMBER.search(text) else ():
         kind = m.lastgroup
         if kind == "iban":
             if _mod97(m[0]) != 1:
@@ -131,7 +132,7 @@ def _persons(text: str) -> list[list[tuple[int, int, str, str]]]:
         known[word] = known[word.upper()] = kind
         return m.start(g), m.start(g) + len(word), kind, word.casefold()
 
-    for m in TITLED.finditer(text):
+    for m in TITLED.finditer(text) if any(t in text for t in SOME_TITLE) else ():
         gender = TITLE_OF[m[1]]
         if m[3]:
             gender = GIVEN_OF.get(m[2], gender)
@@ -231,19 +232,17 @@ UNIT = "struct<start:int,end:int,kind:string,norm:string>"
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """``id, h, units`` of the rows of ``docs`` (id, h, text) that have units."""
+    """``docs`` (id, h, text) with the ``units`` of every row."""
     schema = T._parse_datatype_string(
-        f"id {docs.schema['id'].dataType.simpleString()}, h long, units array<{UNIT}>")
+        f"id {docs.schema['id'].dataType.simpleString()}, h long, text string, units array<{UNIT}>")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()),
                                ("norm", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [detect(x.as_py()) for x in b.column("text")]
-            some = pa.array([i for i, f in enumerate(found) if f], pa.int64())
-            units = [[dict(zip(("start", "end", "kind", "norm"), u)) for u in f] for f in found if f]
-            yield pa.RecordBatch.from_arrays([b.column("id").take(some), b.column("h").take(some),
-                                              pa.array(units, kind)], ["id", "h", "units"])
+            units = [[dict(zip(("start", "end", "kind", "norm"), u)) for u in detect(x.as_py() or "")]
+                     for x in b.column("text")]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(units, kind)], [*b.schema.names, "units"])
 
     return docs.select("id", "h", "text").mapInArrow(run, schema)
 
@@ -296,18 +295,17 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     null ids keep their rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("maybe", F.coalesce(F.rlike("text", F.lit(MAYBE)),
-                                                                                   F.lit(False)))
-    maybe = rows.where("maybe").drop("maybe")  # a quick test that every unit passes; most rows end here
-    found = materialise(_scan(maybe), "personal")
+    # every text is searched once; the texts without a unit, most of them, go no further
+    rows = materialise(_scan(rows.withColumn("h", F.xxhash64("text"))), "personal")
+    found = rows.where(F.size("units") > 0)
     each = found.select("id", "h", F.inline("units"))
     drawn = assign(each.select("kind", "norm"), key)
     spans = F.sort_array(F.collect_set(F.struct("start", "end", "kind", "drawn")))
     by = each.join(drawn, ["kind", "norm"]).groupBy("id", "h").agg(spans.alias("spans"))
     by = by.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "spans")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    changed = _apply(maybe.join(by, same, "left").select("id", "text", "spans"))
-    plain = rows.where("not maybe").select("id", "text", F.lit(0).cast("long").alias("n_units"))
+    changed = _apply(found.join(by, same).select("id", "text", "spans"))
+    plain = rows.where(F.size("units") == 0).select("id", "text", F.lit(0).cast("long").alias("n_units"))
     return plain.union(changed).select(F.col("id").alias(id_col), "text", "n_units")
 
 
