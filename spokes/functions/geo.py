@@ -124,7 +124,7 @@ def polygon_area(poly: Column) -> Column:
     """Outer ring minus holes (absolute ring areas)."""
     areas = F.transform(poly, lambda r: F.abs(ring_signed_area2(r)) * 0.5)
     return F.aggregate(
-        F.slice(areas, 2, 1_000_000), areas[0], lambda acc, a: acc - a
+        F.slice(areas, 2, F.size(areas)), areas[0], lambda acc, a: acc - a
     )
 
 

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 
 def round_div(n: Column, d: Column) -> Column:
-    """Integer n / d rounded half away from zero (d > 0), exact."""
-    return F.signum(n).cast("bigint") * F.floor((F.abs(n) * 2 + d) / (d * 2)).cast("bigint")
+    """Integer n / d rounded half away from zero (d > 0), in integer arithmetic alone.
+
+    ``q + (2r >= d)`` of the integer quotient and remainder: nothing is doubled
+    but the remainder, which is smaller than ``d``.
+    """
+    n, d = n.cast("bigint"), d.cast("bigint")
+    q = F.call_function("div", F.abs(n), d)
+    up = F.when(F.abs(n) % d >= d - F.abs(n) % d, F.lit(1)).otherwise(F.lit(0))
+    return F.when(n < 0, -(q + up)).otherwise(q + up)
 
 
 def exact_avg(col: Column, scale: int = 6) -> Column:

@@ -2,7 +2,7 @@
 
 Durations are computed in integer microseconds and rounded once, so the
 results do not depend on floating point: Postgres' numeric -> int cast rounds
-half away from zero, which ``_round_div`` reproduces exactly.
+half away from zero, which ``round_div`` reproduces exactly.
 """
 
 from __future__ import annotations
@@ -10,10 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _round_div(n: Column, d: int) -> Column:
-    """n / d rounded half away from zero, integer arithmetic only (d > 0)."""
-    return F.signum(n).cast("bigint") * F.floor((F.abs(n) + F.lit(d // 2)) / F.lit(d)).cast("bigint")
+from .numeric import round_div
 
 
 def duration_micros(start: str = "started_at", end: str = "ended_at") -> Column:
@@ -22,12 +19,12 @@ def duration_micros(start: str = "started_at", end: str = "ended_at") -> Column:
 
 def duration_seconds(micros: Column) -> Column:
     """EXTRACT(epoch FROM end - start)::int  (H6)."""
-    return _round_div(micros, 1_000_000).cast("int")
+    return round_div(micros, F.lit(1_000_000)).cast("int")
 
 
 def duration_minutes(micros: Column) -> Column:
     """ROUND(epoch / 60.0, 2) as DECIMAL(12,2)  (H7)."""
-    hundredths = _round_div(micros, 600_000)
+    hundredths = round_div(micros, F.lit(600_000))
     return (hundredths.cast("decimal(14,0)") / F.lit(100)).cast("decimal(12,2)")
 
 

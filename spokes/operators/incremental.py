@@ -8,29 +8,36 @@ overwrites a path it is reading:
 1. the new contents of every touched partition (old rows minus replaced keys,
    plus the batch) are written to a staging folder;
 2. that staging folder is copied over the target with dynamic partition
-   overwrite (other partitions stay as they are).
+   overwrite (other partitions stay as they are), and partitions that have no
+   rows left are removed.
 
 Phase 2 only reads the staging folder, so it can be re-run after a failure;
-the upsert itself is idempotent (replaying a batch yields the same table).
+the upsert itself is idempotent (replaying a batch yields the same table).  A
+row of the target that is newer than the batch's copy stays, so a late replay
+of an old batch changes nothing.
+
+The table's columns follow the newest batch: its schema is kept beside the data
+files and ``read_fact`` reads all of them by it, older files without a new
+column giving NULLs, so no untouched partition is rewritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from ..fs import exists
-from ..session import work_dir
+from ..fs import delete, exists, read_text, write_text
+from ..session import work_dir, written
 from . import facts
-from .joins import broadcast_if_small
 
 LOW_WATERMARK = dt.datetime(1900, 1, 1)
-# Upper bound on batch keys broadcast to the target scan (ride ids are short strings).
-KEY_BROADCAST_ROWS = 20_000_000
+PARTITION = "started_month"
+SCHEMA_FILE = "_schema.json"  # the leading underscore hides it from table scans
 
 
 def watermark(target: DataFrame, col: str = "_ingested_at") -> DataFrame:
@@ -86,14 +93,32 @@ def incremental_batch(unioned: DataFrame, target: DataFrame, keys: Sequence[str]
 
 
 def write_fact(fct: DataFrame, path: str) -> None:
-    """Full refresh (A12): overwrite the whole partitioned table.
+    """Full refresh (A12): replace the whole partitioned table, also months that the new one lacks.
 
     ``REBALANCE(started_month)`` lets AQE size the write tasks: a month's rows
     land in few files instead of one file per (task, month), and a month
     holding a large share of all rides is split across tasks, not funnelled
     into one.
     """
-    fct.hint("rebalance", "started_month").write.mode("overwrite").partitionBy("started_month").parquet(path)
+    (
+        fct.hint("rebalance", PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION).parquet(path)
+    )
+    _save_schema(fct.sparkSession, path, fct.schema)
+
+
+def _save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+    write_text(spark, f"{path}/{SCHEMA_FILE}", nullable.json())
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The fact by its newest schema (a table without a saved one is read by its files')."""
+    saved = f"{path}/{SCHEMA_FILE}"
+    if not exists(spark, saved):
+        return spark.read.parquet(path)
+    schema = StructType.fromJson(json.loads(read_text(spark, saved)))
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
@@ -101,51 +126,64 @@ def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence
     """Delete+insert the fact rows of ``fresh`` (staged ride rows) into the table at ``path``.
 
     Used by the watermark run below and by the streaming ``foreachBatch``.
-    Replaying the same ``fresh`` rows gives the same table (idempotent).
     """
     keys = list(keys)
     deduped = facts.dedup_latest(fresh, keys)
     batch = facts.physically_possible(facts.ride_features(deduped))
+    killed = deduped.select(*keys, "_ingested_at") if strict else None
+    return upsert_rows(spark, batch, path, keys, killed)
+
+
+def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
+                killed: DataFrame | None = None) -> int:
+    """Upsert fact rows (unique by ``keys``) into the table at ``path``; returns the rows written.
+
+    ``killed`` (keys, _ingested_at) lists further rows to delete.  The fact ends
+    with the batch's columns.
+    """
+    keys = list(keys)
     if not exists(spark, path):
         write_fact(batch, path)
-        return spark.read.parquet(path).count()
-    target = spark.read.parquet(path)
-    stage_batch = work_dir(spark, "fct-batch")
-    batch.select(*target.columns).write.parquet(stage_batch)
-    batch = spark.read.parquet(stage_batch).select(*target.columns)
-    n = batch.count()
-    if n == 0 and not strict:
-        return 0
-    kill = (deduped.select(*keys) if strict else batch.select(*keys)).distinct()
-    # A batch is normally small next to the fact: its key set (read from the
-    # staged batch, so counting is cheap) is broadcast when it fits, and the
-    # target is only scanned map-side (ride_id + started_month columns).
-    kill = broadcast_if_small(kill, KEY_BROADCAST_ROWS)
-    # Partitions touched: where the batch lands and where replaced rows live
-    # (a republished ride may change month).  One small distinct per side.
-    replaced = target.join(kill, keys, "left_semi").select("started_month")
-    touched = [r[0] for r in batch.select("started_month").union(replaced).distinct().collect()]
+        return read_fact(spark, path).count()
+    target = read_fact(spark, path)
+    batch = written(batch, "fct-batch")
+    stamped = [*keys, "_ingested_at"]
+    incoming = batch.select(*stamped)
+    if killed is not None:
+        incoming = incoming.union(killed.select(*stamped))
+    incoming = incoming.groupBy(*keys).agg(F.max("_ingested_at").alias("_batch_at"))
+    # the target's copies of the batch's rides: a few columns of its scan, joined as their sizes advise
+    have = target.select(*stamped, PARTITION).join(incoming, keys)
+    have = written(have.withColumn("_newer", F.coalesce(F.col("_ingested_at") > F.col("_batch_at"), F.lit(False))),
+                    "fct-have")
+    batch = batch.join(have.where("_newer"), keys, "left_anti")
+    replaced = have.where("not _newer")
+    if target.schema.names != batch.schema.names:
+        _save_schema(spark, path, batch.schema)
+    months = batch.select(PARTITION).union(replaced.select(PARTITION)).distinct()
+    touched = [r[0] for r in months.collect()]  # months, not rides
     if not touched:
         return 0
-    old = target.where(F.col("started_month").isin(touched))
-    merged = upsert(old, batch, keys, kill)
+    hit = F.col(PARTITION).isin([m for m in touched if m is not None])
+    hit = hit | F.col(PARTITION).isNull() if None in touched else hit
+    merged = upsert(target.where(hit), batch, keys, replaced.select(*keys))
     stage = work_dir(spark, "fct-stage")
-    merged.hint("rebalance", "started_month").write.partitionBy("started_month").parquet(stage)
+    merged.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(stage)
+    merged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
     (
-        spark.read.parquet(stage)
-        .select(*target.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("started_month")
-        .parquet(path)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
     )
-    return n
+    left = {r[0] for r in merged.select(PARTITION).distinct().collect()}
+    for month in set(touched) - left:
+        delete(spark, f"{path}/{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
+    spark.catalog.refreshByPath(path)
+    return batch.count()
 
 
 def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
                     strict: bool = False) -> int:
     """One watermark-driven incremental run against the Parquet fact at ``path``."""
-    target = spark.read.parquet(path)
+    target = read_fact(spark, path)
     fresh = new_rows(unioned, target)
     # Nothing landed since the last run: the pushed-down watermark predicate
     # lets the scan skip row groups, and no dedup or staging job is started.

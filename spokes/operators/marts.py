@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DAILY_COLUMNS
-from .joins import broadcast_if_small
+from ..session import written
 
 
 def daily_metrics() -> list:
@@ -71,11 +71,11 @@ class Boundary:
 def zone_counts(fct: DataFrame, boundaries: list[Boundary], system: str) -> DataFrame:
     """(boundary, zone, started_month) counts of every boundary in ONE fact scan.
 
-    Each ride is exploded into its departure and arrival side, joined once to
-    a long station -> (boundary, zone) map (lookup-sized, broadcast after a
-    size check), and one partial+final aggregate yields departures, the
-    filtered counts and arrivals.  Arrivals use the ride's START month, and
-    (zone, month) cells without departures are dropped, as in the reference.
+    Each ride is exploded into its departure and arrival side and counted by
+    (station, start month) first; only these few rows meet the long station ->
+    (boundary, zone) map and are summed by zone.  Arrivals use the ride's START
+    month.  A cell is kept if it has departures or arrivals; the marts drop
+    those without departures.
     """
     rides = fct.where(F.col("system") == system).select(
         "start_station_id", "end_station_id", "member_casual", "rideable_type", "duration_seconds",
@@ -96,13 +96,12 @@ def zone_counts(fct: DataFrame, boundaries: list[Boundary], system: str) -> Data
             F.col("station_id").alias("sid"), F.lit(b.name).alias("boundary"), F.col(b.zone_col).cast("string").alias("zone")
         )
         long_map = m if long_map is None else long_map.unionByName(m)
-    joined = sides.join(broadcast_if_small(long_map), F.col("side.sid") == F.col("sid"), "inner")
     dep = F.col("side.dep")
 
     def c(cond):
         return F.count_if(dep & cond)
 
-    return joined.groupBy("boundary", "zone", "started_month").agg(
+    by_station = sides.groupBy(F.col("side.sid").alias("sid"), "started_month").agg(
         F.count_if(dep).alias("total_rides"),
         c(F.col("member_casual") == "member").alias("member_rides"),
         c(F.col("member_casual") == "casual").alias("casual_rides"),
@@ -113,22 +112,32 @@ def zone_counts(fct: DataFrame, boundaries: list[Boundary], system: str) -> Data
         c(F.col("is_night_owl")).alias("night_owl_rides"),
         F.sum(F.when(dep, F.col("duration_seconds"))).alias("total_duration_seconds"),
         F.count_if(~dep).alias("arrival_rides"),
-    ).where(F.col("total_rides") > 0)
+    )
+    counts = by_station.columns[2:]
+    return by_station.join(long_map, "sid").groupBy("boundary", "zone", "started_month").agg(
+        *[F.sum(c).alias(c) for c in counts]
+    )
+
+
+def zone_arrivals(counts: DataFrame, boundary: str) -> DataFrame:
+    """D3: arrivals of every zone and start month that has any, with or without departures or meta."""
+    own = counts.where((F.col("boundary") == boundary) & (F.col("arrival_rides") > 0))
+    return own.select("zone", "started_month", "arrival_rides")
 
 
 def zone_mart(counts: DataFrame, b: Boundary) -> DataFrame:
     """One boundary's mart from the shared counts: + meta (inner), population,
-    station count (left) — all lookup-sized, broadcast after a size check."""
-    agg = counts.where(F.col("boundary") == b.name).drop("boundary").withColumn(
+    station count (left)."""
+    agg = counts.where((F.col("boundary") == b.name) & (F.col("total_rides") > 0)).drop("boundary").withColumn(
         b.zone_col, F.col("zone").cast(b.zone_meta.schema[b.zone_col].dataType)
     ).drop("zone")
     station_count = b.station_zone.groupBy(b.zone_col).agg(F.count(F.lit(1)).alias("station_count"))
     meta = b.zone_meta.select(b.zone_col, *b.meta_cols, "area_km2", "centroid_lat", "centroid_lng")
     pop = b.zone_pop.select(b.zone_col, "population", "households", "median_household_income")
     out = (
-        agg.join(broadcast_if_small(meta), b.zone_col, "inner")
-        .join(broadcast_if_small(pop), b.zone_col, "left")
-        .join(broadcast_if_small(station_count), b.zone_col, "left")
+        agg.join(meta, b.zone_col, "inner")
+        .join(pop, b.zone_col, "left")
+        .join(station_count, b.zone_col, "left")
     )
     return out.select(b.zone_col, *b.meta_cols, *ZONE_MART_COLUMNS)
 
@@ -136,7 +145,7 @@ def zone_mart(counts: DataFrame, b: Boundary) -> DataFrame:
 def zone_rollups(fct: DataFrame, boundaries: list[Boundary], system: str) -> dict[str, DataFrame]:
     """All boundary marts from one fact scan; the shared counts (zones x months x
     boundaries rows) are checkpointed once and split per boundary."""
-    counts = zone_counts(fct, boundaries, system).checkpoint()
+    counts = written(zone_counts(fct, boundaries, system), "zone-counts")
     return {b.name: zone_mart(counts, b) for b in boundaries}
 
 

@@ -82,15 +82,18 @@ def run_checks(df: DataFrame, suite: ModelChecks) -> DataFrame:
     row_checks = [c for c in suite.checks if c.kind in ("not_null", "accepted_values")]
     parts: list[DataFrame] = []
     if row_checks:
-        exprs = []
+        # first by the checked value columns (few combinations), then over these groups: the distinct
+        # values outside a list are counted without a copy of every row for each list
+        listed = sorted({c.columns[0] for c in row_checks if c.kind == "accepted_values"})
+        nulls = [c for c in row_checks if c.kind == "not_null"]
+        groups = df.groupBy(*listed).agg(F.count(F.lit(1)).alias("_rows"), *[
+            F.count_if(F.col(c.columns[0]).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)])
+        exprs = [F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(c.name) for i, c in enumerate(nulls)]
         for c in row_checks:
-            col = F.col(c.columns[0])
-            if c.kind == "not_null":
-                exprs.append(F.count_if(col.isNull()).alias(c.name))
-            else:
-                bad = F.when(col.isNotNull() & ~col.isin(list(c.values)), col)
-                exprs.append(F.count_distinct(bad).alias(c.name))
-        wide = df.agg(*exprs)
+            if c.kind == "accepted_values":
+                col = F.col(c.columns[0])
+                exprs.append(F.size(F.collect_set(F.when(~col.isin(list(c.values)), col))).alias(c.name))
+        wide = groups.agg(*exprs)
         parts.append(
             wide.select(
                 F.explode(
@@ -116,6 +119,43 @@ def run_checks(df: DataFrame, suite: ModelChecks) -> DataFrame:
     )
 
 
+def declared_suites(systems: Sequence[str], zone_marts: dict[str, str]) -> dict[str, ModelChecks]:
+    """All declared tests: staging per system, the union, fact, dimension, daily mart and the zone marts.
+
+    ``zone_marts`` maps a mart's name to its zone column.
+    """
+    members, bikes = ["member", "casual"], ["classic_bike", "electric_bike"]
+    suites = {}
+    for s in systems:
+        suites[f"stg_{s}"] = (
+            ModelChecks(f"stg_{s}")
+            .not_null("ride_id", "started_at", "ended_at", "rideable_type", "member_casual", "system")
+            .accepted_values("rideable_type", bikes).accepted_values("member_casual", members)
+            .accepted_values("system", [s]))
+    suites["rides_unioned"] = ModelChecks("rides_unioned").not_null("system").accepted_values("system", systems)
+    suites["fct_rides"] = (
+        ModelChecks("fct_rides").unique("ride_id")
+        .not_null("ride_id", "started_at", "duration_seconds", "started_dow", "system")
+        .accepted_values("started_dow", [1, 2, 3, 4, 5, 6, 7]).accepted_values("member_casual", members)
+        .accepted_values("system", systems))
+    suites["dim_stations"] = (
+        ModelChecks("dim_stations").unique_combination("system", "station_id").not_null("station_id", "system"))
+    suites["agg_rides_daily"] = (
+        ModelChecks("agg_rides_daily").unique_combination("started_date", "system", "member_casual", "rideable_type")
+        .not_null("started_date", "total_rides"))
+    for name, zone_col in zone_marts.items():
+        suites[name] = ModelChecks(name).unique_combination(zone_col, "started_month").not_null(zone_col, "started_month")
+    return suites
+
+
+def run_suites(frames: dict[str, DataFrame], suites: dict[str, ModelChecks]) -> DataFrame:
+    """Results of every suite, and the long-ride warning over the fact."""
+    out = singular_result("no_implausibly_long_rides", long_rides(frames["fct_rides"]))
+    for name, suite in suites.items():
+        out = out.unionByName(run_checks(frames[name], suite))
+    return out
+
+
 LONG_RIDE_SECONDS = 24 * 60 * 60
 
 
@@ -137,10 +177,12 @@ def freshness(raw: DataFrame, source_col: str, loaded_at: str, as_of: dt.datetim
               warn_days: int = 35, error_days: int = 60) -> DataFrame:
     """K6: per source, MAX(loaded_at) age against warn / error thresholds."""
     g = raw.groupBy(F.col(source_col).alias("source")).agg(F.max(loaded_at).alias("max_loaded_at"))
-    age = F.datediff(F.lit(as_of.date()), F.to_date(F.col("max_loaded_at")))
+    now = F.lit(as_of).cast("timestamp_ntz")
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at").cast("timestamp_ntz"), now)  # elapsed, not calendar days
+    day = 24 * 60 * 60
     return g.select(
-        "source", "max_loaded_at", age.alias("age_days"),
-        F.when(age > error_days, "error").when(age > warn_days, "warn").otherwise("pass").alias("status"),
+        "source", "max_loaded_at", (age / F.lit(day)).cast("int").alias("age_days"),
+        F.when(age > error_days * day, "error").when(age > warn_days * day, "warn").otherwise("pass").alias("status"),
     )
 
 

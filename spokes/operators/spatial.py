@@ -3,9 +3,9 @@
 * Point-in-polygon: polygons are exploded to the grid cells their bounding
   box covers; points get their own cell; an equi-join on the cell id plus the
   exact ``within`` predicate (native ray casting) finds the containing zones.
-* Nearest centroid: an exact ring search on a grid instead of a cross join.
-  Each pending point looks at the (2r+1)^2 cells around it; a hit at distance
-  <= r * cell is provably the nearest; the rest retry with r doubled.
+* Nearest centroid: an exact search on a grid instead of a cross join.  Each
+  pending point looks at the 3 x 3 cells around it; a hit within one cell is
+  provably the nearest; the rest retry with the cell doubled.
 * Overlay: candidate pairs from the same cell join, exact intersection areas
   from a vectorised numpy kernel inside ``mapInPandas``.
 """
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
+from ..session import written
 from .dedup import latest_by_key
-from .joins import broadcast_if_small
 
 # The overlay kernel runs on Python workers inside ``mapInPandas``.  Ship this
 # module's code with the task (pickled by value) so executors need numpy and
@@ -62,23 +62,24 @@ def points_in_polygons(
 ) -> DataFrame:
     """``points`` joined to the polygons that strictly contain them.
 
-    ``how="left"`` keeps unmatched points with NULL polygon columns.  The
-    polygon side is a zone layer (bounded by the number of zones x covered
-    cells) and is broadcast after a size check; beyond it the join shuffles
-    on the cell id.
+    ``how="left"`` keeps unmatched points with NULL polygon columns.  Points
+    meet (cell, polygon) rows on the cell; a polygon's outline comes by its
+    number, not with each of its cells, so neither side repeats a geometry
+    before the join.  Sizes decide whether a join is broadcast.
     """
-    pc = polygon_cells(polys, geom_col, cell)
-    pc = broadcast_if_small(pc)
-    pts = points.withColumns(
-        {"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)}
-    )
-    cond = (
-        (pts["_px"] == pc["_cx"])
-        & (pts["_py"] == pc["_cy"])
-        & geo.within(geo.point(pts[x], pts[y]), pc[geom_col])
-    )
-    out = pts.join(pc, cond, how)
-    return out.drop("_px", "_py", "_cx", "_cy", geom_col)
+    polys = polys.withColumn("_poly", F.monotonically_increasing_id())
+    numbered = written(polys, "polygons")
+    cells = polygon_cells(numbered, geom_col, cell).select("_poly", "_cx", "_cy")
+    pts = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
+    names = [c for c in numbered.columns if c not in ("_poly", geom_col)]
+    if how == "inner":
+        near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"])).join(numbered, "_poly")
+        out = near.where(geo.within(geo.point(F.col(x), F.col(y)), F.col(geom_col)))
+        return out.select(*points.columns, *names)
+    pts = written(pts.withColumn("_point", F.monotonically_increasing_id()), "points")
+    near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"])).join(numbered, "_poly")
+    near = near.where(geo.within(geo.point(F.col(x), F.col(y)), F.col(geom_col))).select("_point", *names)
+    return pts.join(near, "_point", how).select(*points.columns, *names)
 
 
 def _bounds(df: DataFrame, x: str, y: str) -> tuple[float, float, float, float, int]:
@@ -101,11 +102,11 @@ def nearest(
 
     Returns (pid, tid, distance).  No cross join: targets are bucketed on a
     grid (cell ~ their mean spacing unless given); each round joins the
-    pending points' (2r+1)^2 neighbour cells to the bucketed targets, keeps
-    points whose best candidate lies within r * cell (nothing outside the
-    searched block can be nearer) and doubles r for the others.  Once the
-    block spans every target the remaining answers are exact as well.
-    Only min/max bounds (five numbers per side) reach the driver.
+    pending points' 3 x 3 neighbour cells to the bucketed targets, keeps points
+    whose best candidate lies within one cell (nothing outside the searched
+    block can be nearer) and doubles the cell for the others, so a round
+    probes nine cells a point however far its target is.  Only min/max bounds
+    (five numbers per side) reach the driver.
     """
     # Both inputs are re-read once per round: cut their lineage first so a
     # round does not recompute the upstream chain (reliable checkpoint in the
@@ -122,23 +123,14 @@ def nearest(
     if m == 0:
         return points.select(pid).withColumn(tid, F.lit(None)).withColumn("distance", F.lit(None).cast("double"))
     reach = max(abs(pxmax - txmin), abs(txmax - pxmin), abs(pymax - tymin), abs(tymax - pymin))
-    r_all = int(math.ceil(reach / cell)) + 1
-
-    tg = targets.select(
-        F.col(tid).alias("_tid"), F.col(tx).alias("_tx"), F.col(ty).alias("_ty")
-    ).withColumns({"_tcx": F.floor(F.col("_tx") / cell), "_tcy": F.floor(F.col("_ty") / cell)})
-    tg = broadcast_if_small(tg)
+    base = targets.select(F.col(tid).alias("_tid"), F.col(tx).alias("_tx"), F.col(ty).alias("_ty"))
     pending = points.select(F.col(pid).alias("_pid"), F.col(px).alias("_px"), F.col(py).alias("_py"))
     found: list[DataFrame] = []
-    r = 1
     while True:
-        final = r >= r_all
-        offs = F.sequence(F.lit(-r), F.lit(r))
-        probe = pending.select(
-            "*",
-            F.explode(offs).alias("_dx"),
-        ).select("*", F.explode(offs).alias("_dy"))
-        probe = probe.withColumns(
+        final = cell > reach  # the block spans every target
+        tg = base.withColumns({"_tcx": F.floor(F.col("_tx") / cell), "_tcy": F.floor(F.col("_ty") / cell)})
+        probe = pending.select("*", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("_dx"))
+        probe = probe.select("*", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("_dy")).withColumns(
             {"_cx": F.floor(F.col("_px") / cell) + F.col("_dx"), "_cy": F.floor(F.col("_py") / cell) + F.col("_dy")}
         )
         j = probe.join(tg, (probe["_cx"] == tg["_tcx"]) & (probe["_cy"] == tg["_tcy"]))
@@ -146,7 +138,7 @@ def nearest(
         best = j.withColumn("_d", dist).groupBy("_pid").agg(
             F.min_by(F.struct("_tid", "_d"), F.struct("_d", "_tid")).alias("b")
         ).select("_pid", F.col("b._tid").alias("_tid"), F.col("b._d").alias("_d"))
-        done = best if final else best.where(F.col("_d") <= F.lit(r * cell))
+        done = best if final else best.where(F.col("_d") <= F.lit(cell))
         found.append(done)
         if final:
             break
@@ -155,7 +147,7 @@ def nearest(
         pending = pending.join(done.select("_pid"), "_pid", "left_anti").checkpoint()
         if pending.isEmpty():
             break
-        r *= 2
+        cell *= 2
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -206,7 +198,7 @@ def assign_stations(
 
 _OVERLAY_OUT = T.StructType(
     [T.StructField("a_id", T.StringType()), T.StructField("b_id", T.StringType()),
-     T.StructField("area", T.DoubleType()), T.StructField("b_area", T.DoubleType())]
+     *(T.StructField(c, T.DoubleType()) for c in ("area", "a_area", "b_area"))]
 )
 
 
@@ -287,24 +279,23 @@ def intersection_area(a_multi, b_multi) -> float:
     return total
 
 
+def _signed_area(tris: np.ndarray, signs: np.ndarray) -> float:
+    u, v = tris[:, 1] - tris[:, 0], tris[:, 2] - tris[:, 0]
+    return float(np.sum(signs * 0.5 * np.abs(u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0])))
+
+
 def _overlay_batches(batches):
     for pdf in batches:
         rows = []
         for a_id, b_id, ga, gb in zip(pdf["a_id"], pdf["b_id"], pdf["a_geom"], pdf["b_geom"]):
-            inter = intersection_area(ga, gb)
-            tb, sb = _fan_triangles(gb)
-            if len(tb):
-                u, v = tb[:, 1] - tb[:, 0], tb[:, 2] - tb[:, 0]
-                b_area = float(np.sum(sb * 0.5 * np.abs(u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0])))
-            else:
-                b_area = 0.0
-            rows.append((a_id, b_id, inter, b_area))
-        yield pd.DataFrame(rows, columns=["a_id", "b_id", "area", "b_area"])
+            a_area, b_area = (_signed_area(*_fan_triangles(g)) for g in (ga, gb))
+            rows.append((a_id, b_id, intersection_area(ga, gb), a_area, b_area))
+        yield pd.DataFrame(rows, columns=["a_id", "b_id", "area", "a_area", "b_area"])
 
 
 def polygon_overlay(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str, geom_col: str = "geometry",
-    project_utm: int | None = 18, cell: float = 0.05, min_area: float = 1e-9,
+    project_utm: int | None = 18, cell: float = 0.05, rel_tol: float = 1e-12,
 ) -> DataFrame:
     """Pairwise intersections of two polygon layers with their areas.
 
@@ -323,10 +314,12 @@ def polygon_overlay(
     unit_cell = cell if project_utm is None else cell * 111_000.0
     ca = polygon_cells(pa, "a_geom", unit_cell).select("a_id", "_cx", "_cy")
     cb = polygon_cells(pb, "b_geom", unit_cell).select("b_id", "_cx", "_cy")
-    pairs = ca.join(broadcast_if_small(cb), ["_cx", "_cy"]).select("a_id", "b_id").distinct()
+    pairs = ca.join(cb, ["_cx", "_cy"]).select("a_id", "b_id").distinct()
     cand = pairs.join(pa, "a_id").join(pb, "b_id")
     areas = cand.select("a_id", "b_id", "a_geom", "b_geom").mapInPandas(_overlay_batches, _OVERLAY_OUT)
-    return areas.where(F.col("area") > F.lit(min_area)).select(
+    # signed triangles leave rounding dust where two outlines only touch: dust is relative to the two areas
+    dust = F.lit(rel_tol) * F.least(F.col("a_area"), F.col("b_area"))
+    return areas.where(F.col("area") > dust).select(
         F.col("a_id").alias(a_id), F.col("b_id").alias(b_id), "area", "b_area",
         (F.col("area") / F.col("b_area")).alias("weight"),
     )
@@ -346,9 +339,9 @@ def area_weighted_population(overlay: DataFrame, source: DataFrame, zone_col: st
     wpop = F.col("population") * w
     inc_pop = F.when(F.col("median_household_income").isNotNull(), wpop) if corrected_income else wpop
     agg = j.groupBy(zone_col).agg(
-        F.sum(wpop).alias("_p"),
-        F.sum(F.col("households") * w).alias("_h"),
-        # pandas' sum of an all-NaN group is 0, not NULL
+        # the sum of a group without any value is 0, not NULL
+        F.coalesce(F.sum(wpop), F.lit(0.0)).alias("_p"),
+        F.coalesce(F.sum(F.col("households") * w), F.lit(0.0)).alias("_h"),
         F.coalesce(F.sum(F.col("median_household_income") * wpop), F.lit(0.0)).alias("_num"),
         F.sum(inc_pop).alias("_den"),
     )

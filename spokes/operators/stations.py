@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DIM_STATION_COLUMNS
 from .dedup import latest_by_key
-from .joins import broadcast_if_small
+from ..session import written
 
 
 def station_observations(rides: DataFrame) -> DataFrame:
@@ -57,9 +57,9 @@ def dim_stations(rides: DataFrame) -> DataFrame:
 
     1. a hash aggregate of MAX(observed_at) per station (partial aggregation,
        so a station seen in a third of all rides still ships one row per map
-       task); its size is the station count and is checked before broadcast;
-    2. observations at that time (normally one per station) are kept by a
-       map-side broadcast join, and ties are resolved by the full order
+       task), written as a table, so that the planner knows its bytes;
+    2. observations at that time (normally one per station) are kept by a join
+       (map-side while that table is under the broadcast threshold), and ties are resolved by the full order
        (name, lat, lng) with ``latest_by_key`` on that small remainder.
 
     NULL observation times rank last (a defect in the source, never a
@@ -67,10 +67,8 @@ def dim_stations(rides: DataFrame) -> DataFrame:
     candidates (null-safe match).
     """
     obs = station_observations(rides)
-    # One row per station: materialised once (reliable checkpoint), so the size
-    # check and the join below do not each recompute it from the rides.
-    latest_time = latest_observation_times(obs).checkpoint()
-    cand = obs.join(broadcast_if_small(latest_time), ["system", "station_id"]).where(
+    latest_time = written(latest_observation_times(obs), "station-latest")
+    cand = obs.join(latest_time, ["system", "station_id"]).where(
         F.col("observed_at").eqNullSafe(F.col("_latest"))
     ).drop("_latest")
     latest = latest_by_key(cand, ["system", "station_id"], STATION_ORDER)

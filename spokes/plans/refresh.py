@@ -14,15 +14,18 @@ from the last written table.  Tables live under ``root`` (a shared folder):
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import incremental, marts, quality, staging, stations
-from ..sources import trips_csv
+from ..functions import geo
+from ..operators import incremental, marts, quality, spatial, staging, stations
+from ..sources import census as census_src
+from ..sources import geojson, seeds, trips_csv
 from ..fs import exists
-from ..session import input_bytes, size_shuffles
+from ..session import input_bytes, size_shuffles, written
 
 
 @dataclass
@@ -37,6 +40,52 @@ class ZoneBoundary:
     display_col: str | None = None
 
 
+# Boundary -> (file stem of its seeds, zone column, display column).
+SEEDED = {
+    "neighborhood": ("neighborhood", "neighborhood_name", None),
+    "cluster": ("cluster", "cluster_id", "cluster_display_name"),
+    "tract": ("census_tract", "tract_geoid", "tract_name"),
+    "block_group": ("block_group", "bg_geoid", "bg_name"),
+}
+
+
+def seeded_boundaries(spark: SparkSession, folder: str, prefix: str = "dc_") -> tuple[ZoneBoundary, ...]:
+    """The boundaries whose three seed files are in ``folder``.
+
+    ``<prefix><stem>s.csv`` (zones), ``<prefix><stem>_population.csv`` and
+    ``<prefix>station_<stem>s.csv``, read by their headers with the declared types.
+    """
+    types = {"area_km2": "decimal(18,4)", "centroid_lat": "double", "centroid_lng": "double", "population": "bigint",
+             "households": "bigint", "median_household_income": "double"}
+
+    def seed(name: str) -> DataFrame:
+        path = f"{folder}/{prefix}{name}.csv"
+        header = spark.read.option("header", True).csv(path).columns
+        return seeds.read_seed(spark, path, ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header))
+
+    out = []
+    for name, (stem, id_col, display) in SEEDED.items():
+        if exists(spark, f"{folder}/{prefix}{stem}s.csv"):
+            out.append(ZoneBoundary(name, id_col, seed(f"station_{stem}s"), seed(f"{stem}s"),
+                                    seed(f"{stem}_population"), display))
+    return tuple(out)
+
+
+def enriched_boundary(spark: SparkSession, name: str, layer: DataFrame, census: DataFrame, tracts: DataFrame,
+                      stations_dim: DataFrame, id_col: str = "zone_id") -> ZoneBoundary:
+    """A boundary made from a polygon layer: area and centroid, population by tract overlap, stations by place.
+
+    ``layer`` (``id_col``, geometry); ``tracts`` (geoid, geometry); ``census`` (geoid and the cleaned counts).
+    """
+    meta = layer.select(id_col, geo.area_km2(F.col("geometry")).alias("area_km2"),
+                        geo.let(F.col("geometry"), geo.centroid).alias("c"))
+    meta = meta.select(id_col, "area_km2", F.round("c.y", 6).alias("centroid_lat"), F.round("c.x", 6).alias("centroid_lng"))
+    overlay = spatial.polygon_overlay(layer, tracts, id_col, "geoid")
+    pop = spatial.area_weighted_population(overlay, census, id_col, "geoid")
+    mapping = spatial.assign_stations(stations_dim, layer, zone_col=id_col).select("station_id", id_col)
+    return ZoneBoundary(name, id_col, written(mapping, "station-zones"), written(meta, "zone-meta"), written(pop, "zone-pop"))
+
+
 @dataclass
 class RefreshConfig:
     landing: str
@@ -46,6 +95,9 @@ class RefreshConfig:
     keys: tuple[str, ...] = ("ride_id",)
     zone_system: str = "capitalbikeshare"
     boundaries: tuple[ZoneBoundary, ...] = ()
+    zone_layer: str | None = None  # GeoJSON FeatureCollection of zones, property zone_id
+    tract_layer: str | None = None  # GeoJSON FeatureCollection of census tracts, property GEOID
+    census: str | None = None  # census API response
     full_refresh: bool = False
     size_shuffles: bool = True
 
@@ -73,10 +125,18 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
         incremental.write_fact(facts.fct_rides(unioned, cfg.keys), fct_path)
     else:
         incremental.run_incremental(spark, unioned, fct_path, cfg.keys)
-    fct = spark.read.parquet(fct_path)
+    fct = incremental.read_fact(spark, fct_path)
 
     stations.dim_stations(unioned).write.mode("overwrite").parquet(f"{cfg.root}/dim_stations")
     marts.agg_rides_daily(fct).write.mode("overwrite").parquet(f"{cfg.root}/agg_rides_daily")
+    if cfg.zone_layer:
+        prop = T.StructType([T.StructField("zone_id", T.StringType()), T.StructField("GEOID", T.StringType())])
+        layer = geojson.read_features(spark, cfg.zone_layer, prop).select("zone_id", "geometry")
+        tracts = geojson.read_features(spark, cfg.tract_layer, prop).select(F.col("GEOID").alias("geoid"), "geometry")
+        counts = census_src.clean(census_src.read_census(spark, cfg.census)).drop("NAME")
+        dim = spark.read.parquet(f"{cfg.root}/dim_stations").where(F.col("system") == cfg.zone_system)
+        zone = enriched_boundary(spark, "zone", layer, counts, tracts, dim)
+        cfg = replace(cfg, boundaries=(*cfg.boundaries, zone))
     if cfg.boundaries:
         specs = [
             marts.Boundary(b.name, b.id_col, b.mapping, b.meta, b.population, (b.display_col,) if b.display_col else ())
@@ -85,24 +145,14 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
         for name, mart in marts.zone_rollups(fct, specs, cfg.zone_system).items():
             write_zone_mart(mart, f"{cfg.root}/agg_rides_by_{name}")
 
-    dim = spark.read.parquet(f"{cfg.root}/dim_stations")
-    daily = spark.read.parquet(f"{cfg.root}/agg_rides_daily")
-    Q = quality.ModelChecks
-    suites = [
-        (fct, Q("fct_rides").unique("ride_id").not_null("ride_id", "started_at", "duration_seconds", "started_dow",
-                                                        "system")
-         .accepted_values("started_dow", [1, 2, 3, 4, 5, 6, 7])
-         .accepted_values("member_casual", ["member", "casual"])
-         .accepted_values("system", systems)),
-        (dim, Q("dim_stations").unique_combination("system", "station_id").not_null("station_id", "system")),
-        (daily, Q("agg_rides_daily").unique_combination("started_date", "system", "member_casual", "rideable_type")
-         .not_null("started_date", "total_rides")),
-    ]
-    results = None
-    for df, suite in suites:
-        r = quality.run_checks(df, suite)
-        results = r if results is None else results.unionByName(r)
-    results = results.unionByName(quality.singular_result("no_implausibly_long_rides", quality.long_rides(fct)))
+    frames = {
+        "rides_unioned": unioned, "fct_rides": fct, "dim_stations": spark.read.parquet(f"{cfg.root}/dim_stations"),
+        "agg_rides_daily": spark.read.parquet(f"{cfg.root}/agg_rides_daily"),
+        **{f"stg_{s}": unioned.where(F.col("system") == s) for s in systems},
+        **{f"agg_rides_by_{b.name}": spark.read.parquet(f"{cfg.root}/agg_rides_by_{b.name}") for b in cfg.boundaries},
+    }
+    suites = quality.declared_suites(systems, {f"agg_rides_by_{b.name}": b.id_col for b in cfg.boundaries})
+    results = quality.run_suites(frames, suites)
     results = results.checkpoint()
     out = {"ingest": statuses, "dq_results": results, "dq_report": quality.report(results)}
     if as_of is not None:

@@ -276,7 +276,10 @@ for _b in zone_src.BOUNDARIES:
 
 @register("zone_arrivals")
 def q_zone_arrivals(spark, sf):
-    return zone_mart(spark, sf, "neighborhood").select("neighborhood_name", "started_month", "arrival_rides")
+    wh, meta, pop, mapping = zone_inputs(spark, sf, "neighborhood")
+    b = marts.Boundary("neighborhood", "neighborhood_name", mapping, meta, pop)
+    arrivals = marts.zone_arrivals(marts.zone_counts(wh.fct, [b], ZONE_SYSTEM), b.name)
+    return arrivals.withColumnRenamed("zone", "neighborhood_name")
 
 
 @register("zone_station_count")
@@ -455,32 +458,16 @@ DQ_AS_OF = dt.datetime(2024, 3, 15)
 
 
 def dq_suites():
-    Q = quality.ModelChecks
-    return {
-        "fct_rides": Q("fct_rides").unique("ride_id").not_null("ride_id", "started_at", "duration_seconds",
-                                                               "started_dow", "system")
-        .accepted_values("started_dow", [1, 2, 3, 4, 5, 6, 7])
-        .accepted_values("member_casual", ["member", "casual"])
-        .accepted_values("system", list(fixtures.SYSTEMS))
-        .accepted_values("rideable_type", ["classic_bike", "electric_bike"]),
-        "dim_stations": Q("dim_stations").unique_combination("system", "station_id").not_null("station_id", "system"),
-        "agg_rides_daily": Q("agg_rides_daily")
-        .unique_combination("started_date", "system", "member_casual", "rideable_type")
-        .not_null("started_date", "total_rides"),
-        "rides_unioned": Q("rides_unioned").not_null("ride_id", "system", "rideable_type", "started_at",
-                                                     "ended_at", "member_casual")
-        .accepted_values("system", list(fixtures.SYSTEMS)),
-    }
+    marts_of = {f"agg_zone_{b}": spec["id_col"] for b, spec in zone_src.BOUNDARIES.items()}
+    return quality.declared_suites(list(fixtures.SYSTEMS), marts_of)
 
 
 def dq_results(spark, sf):
     wh = _wh(spark, sf)
     frames = {"fct_rides": wh.fct, "dim_stations": wh.dim, "agg_rides_daily": wh.daily, "rides_unioned": wh.unioned}
-    out = None
-    for model, suite in dq_suites().items():
-        r = quality.run_checks(frames[model], suite)
-        out = r if out is None else out.unionByName(r)
-    return out.unionByName(quality.singular_result("no_implausibly_long_rides", quality.long_rides(wh.fct)))
+    frames |= {f"stg_{s}": wh.unioned.where(F.col("system") == s) for s in fixtures.SYSTEMS}
+    frames |= {f"agg_zone_{b}": zone_mart(spark, sf, b, wh) for b in zone_src.BOUNDARIES}
+    return quality.run_suites(frames, dq_suites())
 
 
 @register("dq_not_null")
@@ -500,6 +487,12 @@ def q_dq_unique(spark, sf):
 
 @register("dq_unique_combination")
 def q_dq_unique_combination(spark, sf):
+    return dq_results(spark, sf).where(F.col("kind") == "unique_combination").select("model", "test", "failures")
+
+
+@register("dq_repeated_observations")
+def q_dq_repeated_observations(spark, sf):
+    """Combinations that do repeat, so that the violations themselves are seen."""
     obs = stations.station_observations(_wh(spark, sf).unioned)
     return quality.unique_violations(obs, ["system", "station_id", "station_name"])
 
@@ -545,7 +538,42 @@ def _two_batch_fact(spark, sf, strict=False) -> str:
 
 @register("incremental_upsert")
 def q_incremental_upsert(spark, sf):
-    return spark.read.parquet(_two_batch_fact(spark, sf)).select(*FCT_COLUMNS)
+    return incremental.read_fact(spark, _two_batch_fact(spark, sf)).select(*FCT_COLUMNS)
+
+
+@register("full_refresh_over_old")
+def q_full_refresh_over_old(spark, sf):
+    """A full refresh with fewer months and one system, over a table that holds all."""
+    path, fct = work_dir(spark, "fct"), _wh(spark, sf).fct
+    incremental.write_fact(fct, path)
+    some = (F.col("system") == "alpha") & (F.col("started_month") >= F.lit(dt.date(1997, 1, 1)))
+    incremental.write_fact(fct.where(some), path)
+    return incremental.read_fact(spark, path).select(*FCT_COLUMNS)
+
+
+def _moved_month_fact(spark, sf) -> str:
+    """The fact after a batch that republishes every ride of its first month 40 days later."""
+    path, wh = work_dir(spark, "fct"), _wh(spark, sf)
+    incremental.write_fact(wh.fct, path)
+    first = wh.fct.agg(F.min("started_month")).first()[0]
+    ids = wh.fct.where(F.col("started_month") == F.lit(first)).select("ride_id")
+    later = {c: F.col(c) + F.expr("interval 40 days") for c in ("started_at", "ended_at")}
+    at = F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")
+    moved = wh.unioned.join(ids, "ride_id", "left_semi").withColumns({**later, "_ingested_at": at})
+    incremental.apply_batch(spark, moved, path)
+    return path
+
+
+@register("incremental_moved_month")
+def q_incremental_moved_month(spark, sf):
+    return incremental.read_fact(spark, _moved_month_fact(spark, sf)).select(*FCT_COLUMNS)
+
+
+@register("dq_unique_fact")
+def q_dq_unique_fact(spark, sf):
+    """Copies beyond the first of any ride in the written fact, after that batch."""
+    fct = incremental.read_fact(spark, _moved_month_fact(spark, sf))
+    return fct.groupBy("ride_id").agg((F.count("*") - 1).alias("more")).agg(F.sum("more").alias("failures"))
 
 
 @register("schema_sync")
@@ -738,17 +766,15 @@ def q_stream_upsert(spark, sf):
     streams.stream_upsert(spark, glob, fact, ckpt, PATTERNS, fixtures.SYSTEMS, "double", ingested_in_file=True)
     trips_csv.write_raw_csvs(unioned.where(late), landing, with_ingested=True)
     streams.stream_upsert(spark, glob, fact, ckpt, PATTERNS, fixtures.SYSTEMS, "double", ingested_in_file=True)
-    return spark.read.parquet(fact).select(*FCT_COLUMNS)
+    return incremental.read_fact(spark, fact).select(*FCT_COLUMNS)
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
     landing = _landing(spark, sf, replay=True)
     out, ckpt = work_dir(spark, "stream-dedup"), work_dir(spark, "stream-ckpt")
-    # Fixture event times span 1995-2024 inside one landing, so the delay must
-    # cover that span; a live feed uses the 35-day default.
-    streams.stream_dedup(spark, f"{landing}/*.csv/*.csv", out, ckpt, PATTERNS, delay="36500 days")
-    return spark.read.parquet(out)
+    streams.stream_dedup(spark, f"{landing}/*.csv/*.csv", out, ckpt, PATTERNS)
+    return spark.read.parquet(out).drop("_month")
 
 
 @register("stream_daily_rollup")
@@ -756,7 +782,7 @@ def q_stream_daily_rollup(spark, sf):
     fact, out, ckpt = work_dir(spark, "stream-src"), work_dir(spark, "stream-daily"), work_dir(spark, "stream-ckpt")
     _wh(spark, sf).fct.write.parquet(fact)
     streams.stream_daily_rollup(spark, fact, out, ckpt)
-    return spark.read.parquet(out)
+    return streams.read_daily(spark, out)
 
 
 # ---- tabulation-area layer and labels ------------------------------------------------------

@@ -7,9 +7,10 @@ helpers are for tests, the benchmark and the CLI entry points.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session used with this package should carry.  Ride times are
 # wall-clock TIMESTAMP_NTZ end to end; UTC only matters for the streaming cast.
@@ -19,7 +20,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # row_number() = 1 dedups rely on the partial WindowGroupLimit (map-side
     # top-1 per key before the shuffle); keep the rule on.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
@@ -56,13 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, durable folder and is
-    used as is.  Only when it is unset (local tests) is a scratch folder made.
+    used as is; unset, it is an error there, since a folder of one machine is no
+    place for what others read.  A local session gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    if not current and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="spokes-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
@@ -78,11 +81,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared work folder: cut lineage, known bytes."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Target bytes per shuffle partition when sizing for the input (AQE coalesces
 # smaller ones and splits skewed ones; this sets the upper end).
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -105,7 +114,7 @@ def size_shuffles(spark: SparkSession, nbytes: int, expansion: float = 3.0) -> i
     Only ever raises the setting; AQE coalesces partitions that turn out small.
     """
     want = int(nbytes * expansion // TARGET_PARTITION_BYTES) + 1
-    want = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, want))
+    want = max(MIN_SHUFFLE_PARTITIONS, want)
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     if want > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(want))

@@ -18,30 +18,39 @@ MEDIAN_INCOME = "B19013_001E"
 SUPPRESSED = -666666666
 
 
+def _source() -> Column:
+    """The response a line belongs to: its file, or the folder of part files that Spark wrote it as."""
+    return F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "")
+
+
 def _rows(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).select(F.trim(F.col("value")).alias("v"))
+    lines = spark.read.text(path).select(F.trim(F.col("value")).alias("v"), _source().alias("file"))
     body = F.regexp_replace(F.regexp_replace(F.col("v"), r"^\[?(\[.*\])\]?,?$", "$1"), r"\s+$", "")
     cells = F.from_json(body, "array<string>")
-    return lines.select(cells.alias("cells")).where(F.col("cells").isNotNull() & (F.size("cells") > 0))
+    return lines.select("file", cells.alias("cells")).where(F.col("cells").isNotNull() & (F.size("cells") > 0))
 
 
 def read_census(spark: SparkSession, path: str) -> DataFrame:
-    """Rows as named string columns, GEOID = state‖county‖tract[‖block group]."""
+    """Rows as named string columns, GEOID = state‖county‖tract[‖block group].
+
+    Every file is read by its own header; a column that a file lacks is NULL.
+    """
     rows = _rows(spark, path)
-    header = rows.where(F.col("cells")[0] == "NAME").first()
-    if header is None:
+    is_header = F.col("cells")[0] == "NAME"
+    headers = rows.where(is_header).select("file", F.col("cells").alias("names"))
+    names = [r[0] for r in headers.select(F.explode("names").alias("n")).groupBy("n").agg(
+        F.min("n").alias("_")).orderBy(F.col("n") != "NAME", "n").collect()]  # the census columns in use
+    if not names:
         raise ValueError(f"no header row in {path}")
-    names = list(header["cells"])
-    data = rows.where(F.col("cells")[0] != "NAME")
-    cols = [F.col("cells")[i].alias(n.replace(" ", "_")) for i, n in enumerate(names)]
-    out = data.select(*cols)
+    data = rows.where(~is_header).join(headers, "file").withColumn("row", F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i))))
+    out = data.select(*[F.col("row")[n].alias(n.replace(" ", "_")) for n in names])
     parts = [c for c in ("state", "county", "tract", "block_group") if c in out.columns]
     return out.withColumn("geoid", F.concat(*[F.col(c) for c in parts]))
 
 
 def clean_count(c: Column) -> Column:
-    """Text -> nullable bigint; non-numeric -> NULL."""
-    return c.try_cast("bigint")
+    """Numeric text ('12', '12.0') -> nullable bigint; else NULL."""
+    return F.coalesce(c.try_cast("bigint"), F.round(c.try_cast("double")).try_cast("bigint"))
 
 
 def clean_income(c: Column) -> Column:

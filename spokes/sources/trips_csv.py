@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..fs import exists
 from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
+from ..session import written
 
 # Filename patterns of the reference deployment (fixed values).
 REFERENCE_SYSTEM_PATTERNS = {
@@ -63,7 +65,7 @@ def unprocessed_files(files: DataFrame, raw: DataFrame | None) -> DataFrame:
 
 
 def file_statuses(files: DataFrame, raw: DataFrame | None) -> DataFrame:
-    """Per logical file: loaded (new) / skipped (unknown system or already loaded)."""
+    """Per logical file: loaded (new) / skipped (unknown system or already loaded); a load may still fail."""
     logical = files.select("file", "system").distinct()
     done = loaded_files(raw)
     if done is not None:
@@ -75,18 +77,27 @@ def file_statuses(files: DataFrame, raw: DataFrame | None) -> DataFrame:
 
 
 def ingest_summary(statuses: DataFrame) -> DataFrame:
-    """A5: loaded / skipped / failed counts (failed is 0 unless a read aborts the job)."""
+    """A5: loaded / skipped / failed counts."""
     counts = statuses.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
     base = statuses.sparkSession.createDataFrame([("loaded",), ("skipped",), ("failed",)], "status string")
     return base.join(counts, "status", "left").select("status", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
 
 
 def read_trip_csvs(spark: SparkSession, paths: list[str], patterns: dict[str, str]) -> DataFrame:
-    """A1 + A2: header CSV with the fixed all-text schema, stamped with provenance."""
-    df = spark.read.schema(RAW_TRIP_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    """A1 + A2: header CSV with the fixed all-text schema, stamped with provenance.
+
+    ``_malformed`` tells rows with too few or too many fields; columns aren't
+    pruned, since the parser sees the number of fields only in whole rows.
+    """
+    schema = StructType([*RAW_TRIP_SCHEMA.fields, StructField("_bad", StringType())])
+    df = (
+        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_bad").option("columnPruning", False).csv(paths)
+    )
     name = source_name(F.col("_metadata.file_path"))
     return df.select(
         *RAW_TRIP_COLUMNS,
+        F.col("_bad").isNotNull().alias("_malformed"),
         F.current_timestamp().alias("_ingested_at"),
         name.alias("_source_file"),
         route_system(name, patterns).alias("system"),
@@ -96,17 +107,28 @@ def read_trip_csvs(spark: SparkSession, paths: list[str], patterns: dict[str, st
 def ingest(spark: SparkSession, landing: str, raw_root: str, patterns: dict[str, str]) -> DataFrame:
     """One idempotent load run; returns the per-file statuses of this run.
 
+    A file with a malformed row fails as a whole: none of its rows is appended,
+    the other files load, and a corrected file of that name loads next time.
     Only names of new files reach the driver (to build the reader's path
-    list); rows go straight from the CSV scan to the partitioned append.
+    list); rows are parsed once, into a staging table, and go from there to the
+    partitioned append.
     """
     files = landing_files(spark, landing, patterns)
     raw = spark.read.parquet(raw_root) if exists(spark, raw_root) else None  # None on the first run
     # Statuses are frozen before the append changes the raw table (reliable
     # checkpoint in spark.checkpoint.dir, not a local one).
-    statuses = file_statuses(files, raw).checkpoint()
+    statuses = file_statuses(files, raw)
     todo = [r["path"] for r in unprocessed_files(files, raw).select("path").collect()]
-    if todo:
-        read_trip_csvs(spark, todo, patterns).write.mode("append").partitionBy("system").parquet(raw_root)
+    if not todo:
+        return statuses.checkpoint()
+    rows = written(read_trip_csvs(spark, todo, patterns), "landed")
+    failed = rows.where("_malformed").select("system", F.col("_source_file").alias("file")).distinct()
+    failed = written(failed, "failed-files")
+    statuses = statuses.join(failed.withColumn("_failed", F.lit(True)), ["system", "file"], "left").select(
+        "file", "system", F.when(F.col("_failed"), "failed").otherwise(F.col("status")).alias("status")).checkpoint()
+    whole = rows.join(failed.withColumnRenamed("file", "_source_file"), ["system", "_source_file"], "left_anti")
+    cols = [*RAW_TRIP_COLUMNS, "_ingested_at", "_source_file", "system"]
+    whole.select(*cols).write.mode("append").partitionBy("system").parquet(raw_root)
     return statuses
 
 

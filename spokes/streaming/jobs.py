@@ -6,12 +6,10 @@
   the timestamp watermark of S5).
 * S2 ``stream_upsert``: ``foreachBatch`` runs the delete+insert upsert; it is
   idempotent, so the at-least-once replay of a failed batch is harmless.
-* S3 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` keeps the FIRST copy,
-  so it is used for exact replays only (latest-wins needs S2).
-* S4 ``stream_daily_rollup``: event-time tumbling window of one day.
+* S3 ``stream_dedup``: drops exact replays by comparing with the written table.
+* S4 ``stream_daily_rollup``: rolls the touched months up anew.
 
-Event time must be TIMESTAMP (not NTZ) for ``withWatermark``: ride times are
-cast with the session zone set to UTC, and window starts cast back to dates.
+Neither S3 nor S4 holds state or a watermark, so no late row is lost.
 All jobs run with ``trigger(availableNow=True)`` and return when caught up.
 """
 
@@ -21,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..fs import exists
 from ..operators import incremental, staging
-from ..operators.marts import daily_metrics
+from ..operators.marts import agg_rides_daily
 from ..schemas import DAILY_COLUMNS, RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
+from ..session import written
 from ..sources.trips_csv import route_system, source_name
 
 
@@ -82,38 +82,56 @@ def stream_upsert(spark: SparkSession, landing_glob: str, fact_path: str, checkp
 
 
 def stream_dedup(spark: SparkSession, landing_glob: str, out_path: str, checkpoint: str,
-                 patterns: dict[str, str], delay: str = "35 days") -> None:
-    """S3: drop exact replays of raw rows (same 13 raw columns) within the watermark.
+                 patterns: dict[str, str]) -> None:
+    """S3: append raw rows that the table doesn't hold yet (same 13 raw columns), however late they come.
 
-    The state holds the keys of ``delay`` worth of event time and is purged
-    behind the watermark, so it stays bounded however long the stream runs; a
-    replay older than the watermark is dropped as late (it is a duplicate).
+    Each micro-batch is compared with the months of the table that it touches;
+    there is no state and no time limit.  A replayed batch finds its own rows
+    and adds nothing.
+    """
+    stream = _trip_stream(spark, landing_glob, patterns, None).select(*RAW_TRIP_COLUMNS)
+    month = F.substring(F.coalesce("started_at", F.lit("")), 1, 7)
+    schema = StructType([*RAW_TRIP_SCHEMA.fields, StructField("_month", StringType())])
+
+    def append_new(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        new = batch.dropDuplicates(RAW_TRIP_COLUMNS).withColumn("_month", month)
+        new = written(new.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)), "stream-batch")
+        if exists(session, out_path):
+            months = [r[0] for r in new.select("_month").distinct().collect()]
+            held = session.read.schema(schema).parquet(out_path).where(F.col("_month").isin(months))
+            held = held.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)).alias("h")
+            same = F.col("n._key") == F.col("h._key")
+            for c in RAW_TRIP_COLUMNS:
+                same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}"))
+            new = written(new.alias("n").join(held, same, "left_anti"), "stream-new")
+        new.drop("_key").write.mode("append").partitionBy("_month").parquet(out_path)
+
+    _run(stream.writeStream.foreachBatch(append_new).option("checkpointLocation", checkpoint))
+
+
+def stream_daily_rollup(spark: SparkSession, fact_path: str, out_path: str, checkpoint: str) -> None:
+    """The daily mart, kept up with the fact's new files.
+
+    Each micro-batch names the months that it touches; these are rolled up anew
+    from the fact (whose partitions they are) and replace theirs.  No state is
+    held, late rides count, other months are not rewritten.
     """
-    stream = _trip_stream(spark, landing_glob, patterns, None)
-    ev = stream.withColumn("_event_ts", F.col("started_at").cast("timestamp_ntz").cast("timestamp"))
-    deduped = ev.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(RAW_TRIP_COLUMNS)
-    _run(
-        deduped.select(*RAW_TRIP_COLUMNS).writeStream.format("parquet").option("checkpointLocation", checkpoint)
-        .option("path", out_path).outputMode("append")
-    )
-
-
-def stream_daily_rollup(spark: SparkSession, fact_path: str, out_path: str, checkpoint: str,
-                        delay: str = "35 days") -> None:
-    """The daily mart as a 1-day tumbling event-time window (complete mode,
-    rewritten per micro-batch through ``foreachBatch``)."""
     schema = spark.read.parquet(fact_path).schema
     fct = spark.readStream.schema(schema).parquet(fact_path)
-    ev = fct.withColumn("_event_ts", F.col("started_at").cast("timestamp"))
-    agg = (
-        ev.withWatermark("_event_ts", delay)
-        .groupBy(F.window("_event_ts", "1 day").alias("w"), "system", "member_casual", "rideable_type")
-        .agg(*daily_metrics())
-        .withColumn("started_date", F.to_date(F.col("w.start")))
-        .select(*DAILY_COLUMNS)
-    )
 
-    def overwrite(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def replace_months(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        months = [r[0] for r in batch.select("started_month").distinct().collect()]
+        if months:
+            rides = session.read.schema(schema).parquet(fact_path).where(F.col("started_month").isin(months))
+            daily = agg_rides_daily(rides).withColumn("_month", F.trunc("started_date", "month"))
+            daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_month").parquet(
+                out_path)
+
+    _run(fct.writeStream.foreachBatch(replace_months).option("checkpointLocation", checkpoint))
+
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint))
+def read_daily(spark: SparkSession, out_path: str) -> DataFrame:
+    """The daily mart that the stream keeps."""
+    return spark.read.parquet(out_path).select(*DAILY_COLUMNS)
