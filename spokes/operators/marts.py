@@ -94,7 +94,7 @@ def zone_counts(fct: DataFrame, boundaries: list[Boundary], system: str) -> Data
     for b in boundaries:
         m = b.station_zone.select(
             F.col("station_id").alias("sid"), F.lit(b.name).alias("boundary"), F.col(b.zone_col).cast("string").alias("zone")
-        )
+        ).where(F.col("zone").isNotNull())
         long_map = m if long_map is None else long_map.unionByName(m)
     dep = F.col("side.dep")
 

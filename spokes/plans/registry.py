@@ -285,7 +285,7 @@ def q_zone_arrivals(spark, sf):
 @register("zone_station_count")
 def q_zone_station_count(spark, sf):
     _, _, _, mapping = zone_inputs(spark, sf, "neighborhood")
-    return mapping.groupBy("neighborhood_name").agg(F.count(F.lit(1)).alias("station_count"))
+    return mapping.where(F.col("neighborhood_name").isNotNull()).groupBy("neighborhood_name").agg(F.count(F.lit(1)).alias("station_count"))
 
 
 def _zone_metrics(spark, sf, boundary="neighborhood"):
@@ -322,6 +322,7 @@ def q_zone_display_names(spark, sf):
 @register("stations_per_zone_top10")
 def q_stations_per_zone_top10(spark, sf):
     _, _, _, mapping = zone_inputs(spark, sf, "tract")
+    mapping = mapping.where(F.col("tract_geoid").isNotNull())
     return zones.stations_per_zone_top(mapping, "tract_geoid", 10)
 
 

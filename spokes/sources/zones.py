@@ -6,7 +6,7 @@ and ``sources.seeds``); tests and the registry build the same shapes from
 the input tables:
 
 * 25 square cells z = n_nationkey (side 0.04°), named after the nation; cells
-  with z % 7 = 3 are left out as polygon gaps.
+  with z % 7 = 3 stand aside of the grid, which leaves polygon gaps.
 * Four boundary definitions over the cells: neighbourhood = cell, cluster =
   the nation's region, tract = z div 5, block group = z * 4 + q (quarters).
 * Population from customers by nation (nation 23 left out).
@@ -27,6 +27,7 @@ GRID_Y0 = 38.79
 CELL = 0.04
 TILE = 0.05
 GAP_RULE_MOD, GAP_RULE_REM = 7, 3
+GAP_ASIDE = 4.0  # degrees
 UNMAPPED_STATIONS_FROM = 95
 
 
@@ -39,7 +40,8 @@ def rect(x0: Column, y0: Column, w: float, h: float) -> Column:
 
 
 def _cell_x0(z: Column) -> Column:
-    return F.lit(GRID_X0) + (z % 5).cast("double") * F.lit(CELL)
+    aside = F.when(z % GAP_RULE_MOD == GAP_RULE_REM, F.lit(GAP_ASIDE)).otherwise(F.lit(0.0))
+    return F.lit(GRID_X0) + (z % 5).cast("double") * F.lit(CELL) + aside
 
 
 def _cell_y0(z: Column) -> Column:
@@ -47,18 +49,17 @@ def _cell_y0(z: Column) -> Column:
 
 
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polygon layer: z, name, region, geometry (multipolygon), gap cells dropped."""
+    """Polygon layer: z, name, region, geometry (multipolygon); gap cells stand aside of the grid."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     z = F.col("n_nationkey").cast("int")
-    cells = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         z.alias("z"),
         F.col("n_name").alias("name"),
         F.col("n_regionkey").cast("int").alias("region_key"),
         F.col("r_name").alias("region_name"),
         F.array(F.array(rect(_cell_x0(z), _cell_y0(z), CELL, CELL))).alias("geometry"),
     )
-    return cells.where((F.col("z") >= 0) & (F.col("z") < 25) & (F.col("z") % GAP_RULE_MOD != GAP_RULE_REM))
 
 
 _CELL_META: dict[tuple[str, str], DataFrame] = {}
@@ -150,12 +151,13 @@ def zone_meta(cells_meta: DataFrame, boundary: str) -> DataFrame:
 
 
 def cell_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers by nation (nation 23 left out): z, q, population, households, income_sum.
+    """Customers by nation: z, q, population, households, income_sum; z is NULL for nation 23, which so has none.
 
     Split by quarter q = c_custkey % 4 so block groups can be built from it.
     """
-    cust = table(spark, sf_dir, "customer").where(F.col("c_nationkey") != 23)
-    return cust.groupBy(F.col("c_nationkey").cast("int").alias("z"), (F.col("c_custkey") % 4).cast("int").alias("q")).agg(
+    cust = table(spark, sf_dir, "customer")
+    z = F.nullif(F.col("c_nationkey").cast("int"), F.lit(23))
+    return cust.groupBy(z.alias("z"), (F.col("c_custkey") % 4).cast("int").alias("q")).agg(
         F.count(F.lit(1)).alias("population"),
         F.sum("c_acctbal").alias("acctbal_sum"),
     )
@@ -185,7 +187,7 @@ def zone_population(spark: SparkSession, sf_dir: str, boundary: str) -> DataFram
         raise ValueError(boundary)
     id_col = BOUNDARIES[boundary]["id_col"]
     n = F.sum("population")
-    return pop.groupBy(F.col("_id").alias(id_col)).agg(
+    return pop.where(F.col("_id").isNotNull()).groupBy(F.col("_id").alias(id_col)).agg(
         n.cast("bigint").alias("population"),
         F.floor(n / 2).cast("bigint").alias("households"),
         F.round(F.sum("acctbal_sum") / n, 0).alias("median_household_income"),
@@ -195,21 +197,21 @@ def zone_population(spark: SparkSession, sf_dir: str, boundary: str) -> DataFram
 def station_zone_map(dim: DataFrame, spark: SparkSession, sf_dir: str, boundary: str, system: str) -> DataFrame:
     """Seed ``(station_id, zone id)`` for the stations of ``system`` in the dimension.
 
-    Stations 95-99 are left unmapped; the cell comes from the grid rule.
+    Stations 95-99 have a NULL zone; the others' cell comes from the grid rule.
     """
     st = dim.where(F.col("system") == system).select("station_id").distinct()
     sid = F.col("station_id").cast("bigint")
-    st = st.where(sid < UNMAPPED_STATIONS_FROM).withColumn("z", station_cell(sid).cast("int"))
+    st = st.withColumn("z", F.when(sid < UNMAPPED_STATIONS_FROM, station_cell(sid).cast("int")))
     z = F.col("z")
     id_col = BOUNDARIES[boundary]["id_col"]
     if boundary == "neighborhood":
         nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("z"), "n_name")
-        out = st.join(F.broadcast(nation), "z").select("station_id", F.col("n_name").alias(id_col))
+        out = st.join(nation, "z", "left").select("station_id", F.col("n_name").alias(id_col))
     elif boundary == "cluster":
         nation = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").cast("int").alias("z"), F.col("n_regionkey").cast("string").alias(id_col)
         )
-        out = st.join(F.broadcast(nation), "z").select("station_id", id_col)
+        out = st.join(nation, "z", "left").select("station_id", id_col)
     elif boundary == "tract":
         out = st.select("station_id", _tract_geoid(z).alias(id_col))
     elif boundary == "block_group":
