@@ -437,6 +437,44 @@ def q_polygon_overlay(spark, sf):
     )
 
 
+def _holed_layer(spark, sf) -> DataFrame:
+    """A polygon of two parts for every supplier: a square with a square hole, and a small square far east of it."""
+    k = F.col("s_suppkey")
+    x, y = (k % 100).cast("double") * F.lit(0.04), F.floor(k / 100).cast("double") * F.lit(0.04)
+
+    def square(dx, dy, side):
+        return zone_src.rect(x + F.lit(dx), y + F.lit(dy), side, side)
+
+    holed = F.array(square(0.0, 0.0, 0.04), square(0.01, 0.01, 0.02))
+    return zone_src.table(spark, sf, "supplier").select(k.alias("s_suppkey"), F.array(
+        holed, F.array(square(100.0, 0.0, 0.01))).alias("geometry"))
+
+
+@register("point_in_holed_polygon")
+def q_point_in_holed_polygon(spark, sf):
+    """Points from customers in polygons from suppliers, with holes and second parts; both grow with the tables."""
+    c = F.col("c_custkey")
+    off = [F.lit(0.0015) + (j % 10).cast("double") * F.lit(0.004) for j in (c, F.floor(c / 10))]
+    points = zone_src.table(spark, sf, "customer").select(
+        c.alias("c_custkey"),
+        ((c * 37 % 100).cast("double") * F.lit(0.04) + off[0] + F.when(c % 17 == 0, 100.0).otherwise(0.0)).alias("lng"),
+        ((c * 13 % 100).cast("double") * F.lit(0.04) + off[1]).alias("lat"))
+    hit = spatial.points_in_polygons(points, _holed_layer(spark, sf), cell=0.04)
+    return hit.select("c_custkey", "s_suppkey")
+
+
+@register("nearest_many")
+def q_nearest_many(spark, sf):
+    """Nearest supplier of every customer, both scattered over a square by their keys."""
+    def scattered(name, key):
+        k = F.col(key)
+        return zone_src.table(spark, sf, name).select(
+            k.alias(key), (k * 7919 % 100003).cast("double").alias("x"), (k * k % 99991).cast("double").alias("y"))
+
+    near = spatial.nearest(scattered("customer", "c_custkey"), scattered("supplier", "s_suppkey"), "c_custkey", "s_suppkey")
+    return near.select("c_custkey", "s_suppkey", "distance")
+
+
 @register("polygon_overlay_utm")
 def q_polygon_overlay_utm(spark, sf):
     """The source's overlay: both layers projected to UTM 18N, areas in m².
