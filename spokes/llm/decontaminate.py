@@ -61,10 +61,11 @@ def _meetings(texts: DataFrame, wanted: DataFrame, cols: list) -> DataFrame:
     for size in sorted(sizes):
         mine = wanted.where(F.col("size") == size).select(F.col("hash").alias("_hash"))
         n_blocks = -(-mine.count() // BLOCK_HASHES)
-        # hashed before the explode: with the lambda in a projection of its own, explode and join are compiled
-        # together and the words aren't copied for every position
+        # Hashed in a projection of its own, so that explode and join are compiled together and the words aren't
+        # copied for every position.  The outer form keeps the optimizer from inferring filters on the whole
+        # expression, over which it would not come to an end; null hashes meet nothing.
         found = texts.select("*", shingle_hashes("words", size).alias("hashes"))
-        found = found.select("*", F.posexplode("hashes").alias("pos", "hash"))
+        found = found.select("*", F.posexplode_outer("hashes").alias("pos", "hash"))
         for block in range(n_blocks):
             part = mine.where(F.pmod("_hash", F.lit(n_blocks)) == block) if n_blocks > 1 else mine
             out.append(found.join(F.broadcast(part), F.col("hash") == F.col("_hash"))

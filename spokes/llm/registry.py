@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprint, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
+from . import decontaminate, fingerprint, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -20,4 +20,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op3_decontamination": oracle.OP3, "op9_repeats": oracle.OP9}
