@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,7 @@ from . import facts
 LOW_WATERMARK = dt.datetime(1900, 1, 1)
 PARTITION = "started_month"
 SCHEMA_FILE = "_schema.json"  # the leading underscore hides it from table scans
+MARK_FILE = "_watermark.txt"
 
 
 def watermark(target: DataFrame, col: str = "_ingested_at") -> DataFrame:
@@ -53,8 +54,11 @@ def new_rows(unioned: DataFrame, target: DataFrame, col: str = "_ingested_at") -
     The mark is collected as a literal (one value) so the predicate reaches the
     Parquet scan as a pushed filter.
     """
-    mark = watermark(target, col).first()[0]
-    return unioned.where(F.col(col) > F.lit(mark).cast("timestamp_ntz"))
+    return _after(unioned, watermark(target, col).first()[0], col)
+
+
+def _after(rows: DataFrame, mark: dt.datetime, col: str = "_ingested_at") -> DataFrame:
+    return rows.where(F.col(col) > F.lit(mark).cast("timestamp_ntz"))
 
 
 def schema_sync(target: DataFrame, batch_schema: StructType) -> DataFrame:
@@ -105,6 +109,19 @@ def write_fact(fct: DataFrame, path: str) -> None:
         .partitionBy(PARTITION).parquet(path)
     )
     _save_schema(fct.sparkSession, path, fct.schema)
+    _save_mark(fct.sparkSession, path, read_fact(fct.sparkSession, path))
+
+
+def _save_mark(spark: SparkSession, path: str, rows: DataFrame, least: dt.datetime = LOW_WATERMARK) -> None:
+    """Keep the high-water mark beside the table, so that a run without news reads nothing of it."""
+    write_text(spark, f"{path}/{MARK_FILE}", max(least, watermark(rows).first()[0]).isoformat())
+
+
+def read_mark(spark: SparkSession, path: str) -> dt.datetime:
+    """The mark kept beside the fact, or the rows' own where there is none."""
+    if exists(spark, f"{path}/{MARK_FILE}"):
+        return dt.datetime.fromisoformat(read_text(spark, f"{path}/{MARK_FILE}"))
+    return watermark(read_fact(spark, path)).first()[0]
 
 
 def _save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
@@ -122,7 +139,7 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
-                strict: bool = False) -> int:
+                strict: bool = False, on_touch: Callable[[list], None] | None = None) -> int:
     """Delete+insert the fact rows of ``fresh`` (staged ride rows) into the table at ``path``.
 
     Used by the watermark run below and by the streaming ``foreachBatch``.
@@ -131,15 +148,16 @@ def apply_batch(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence
     deduped = facts.dedup_latest(fresh, keys)
     batch = facts.physically_possible(facts.ride_features(deduped))
     killed = deduped.select(*keys, "_ingested_at") if strict else None
-    return upsert_rows(spark, batch, path, keys, killed)
+    return upsert_rows(spark, batch, path, keys, killed, on_touch)
 
 
 def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
-                killed: DataFrame | None = None) -> int:
+                killed: DataFrame | None = None, on_touch: Callable[[list], None] | None = None) -> int:
     """Upsert fact rows (unique by ``keys``) into the table at ``path``; returns the rows written.
 
     ``killed`` (keys, _ingested_at) lists further rows to delete.  The fact ends
-    with the batch's columns.
+    with the batch's columns.  ``on_touch`` is told the months that are about to
+    change.
     """
     keys = list(keys)
     if not exists(spark, path):
@@ -164,6 +182,9 @@ def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     touched = [r[0] for r in months.collect()]  # months, not rides
     if not touched:
         return 0
+    if on_touch:
+        on_touch(touched)
+    mark = read_mark(spark, path)
     hit = F.col(PARTITION).isin([m for m in touched if m is not None])
     hit = hit | F.col(PARTITION).isNull() if None in touched else hit
     merged = upsert(target.where(hit), batch, keys, replaced.select(*keys))
@@ -177,16 +198,16 @@ def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     for month in set(touched) - left:
         delete(spark, f"{path}/{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
     spark.catalog.refreshByPath(path)
+    _save_mark(spark, path, batch, mark)
     return batch.count()
 
 
 def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
-                    strict: bool = False) -> int:
+                    strict: bool = False, on_touch: Callable[[list], None] | None = None) -> int:
     """One watermark-driven incremental run against the Parquet fact at ``path``."""
-    target = read_fact(spark, path)
-    fresh = new_rows(unioned, target)
+    fresh = _after(unioned, read_mark(spark, path))
     # Nothing landed since the last run: the pushed-down watermark predicate
     # lets the scan skip row groups, and no dedup or staging job is started.
     if fresh.isEmpty():
         return 0
-    return apply_batch(spark, fresh, path, keys, strict)
+    return apply_batch(spark, fresh, path, keys, strict, on_touch)

@@ -77,6 +77,14 @@ def dim_stations(rides: DataFrame) -> DataFrame:
     ).select(*DIM_STATION_COLUMNS)
 
 
+def merge_dim(dim: DataFrame, fresh_rides: DataFrame) -> DataFrame:
+    """The dimension after some more rides: the latest of the old rows and the new rides' observations."""
+    old = dim.withColumnRenamed("most_recent_observation_at", "observed_at")
+    new = dim_stations(fresh_rides).withColumnRenamed("most_recent_observation_at", "observed_at")
+    latest = latest_by_key(old.unionByName(new), ["system", "station_id"], STATION_ORDER)
+    return latest.withColumnRenamed("observed_at", "most_recent_observation_at").select(*DIM_STATION_COLUMNS)
+
+
 def all_stations_geo(dim: DataFrame, systems) -> DataFrame:
     """Every station with coordinates, ordered."""
     return (

@@ -14,6 +14,7 @@ from the last written table.  Tables live under ``root`` (a shared folder):
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
-from ..operators import incremental, marts, quality, spatial, staging, stations
+from ..operators import facts, incremental, marts, quality, spatial, staging, stations
 from ..sources import census as census_src
 from ..sources import geojson, seeds, trips_csv
-from ..fs import exists
+from ..fs import delete, exists, read_text, write_text
 from ..session import input_bytes, size_shuffles, written
 
 
@@ -102,9 +103,71 @@ class RefreshConfig:
     size_shuffles: bool = True
 
 
-def write_zone_mart(mart: DataFrame, path: str) -> None:
-    """newest month first, busiest zone first within each written file."""
-    mart.sortWithinPartitions(F.desc("started_month"), F.desc("total_rides")).write.mode("overwrite").parquet(path)
+class _Pending:
+    """Months of the fact that the marts have to follow, in a small file."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _read(self) -> set[str]:
+        return set(json.loads(read_text(self.spark, self.path))) if exists(self.spark, self.path) else set()
+
+    def add(self, months: list) -> None:
+        write_text(self.spark, self.path, json.dumps(sorted(self._read() | {str(m) for m in months})))
+
+    def months(self) -> list[dt.date] | None:
+        """The months; None for all (also where a ride has none)."""
+        found = self._read()
+        return None if found & {"all", "None"} else sorted(map(dt.date.fromisoformat, found))
+
+    def clear(self) -> None:
+        delete(self.spark, self.path)
+
+
+def _of_months(fct: DataFrame, months: list[dt.date] | None) -> DataFrame:
+    return fct if months is None else fct.where(F.col("started_month").isin(months))
+
+
+def _replace_months(spark: SparkSession, mart: DataFrame, path: str, col: str, months: list[dt.date] | None,
+                    *order) -> None:
+    """Write a mart partitioned by month: all of it, or the given months alone (an empty one is removed)."""
+    # sorted by the month first, as the writer wants it, so that it keeps the order within
+    fresh = mart if months is None else written(mart, "mart-months")
+    mode = "static" if months is None else "dynamic"
+    fresh.sortWithinPartitions(col, *order).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
+        col).parquet(path)
+    for m in set(months or ()) - {r[0] for r in fresh.select(col).distinct().collect()}:
+        delete(spark, f"{path}/{col}={m}")
+
+
+def _digest(*lookups: DataFrame) -> str:
+    """What tells whether lookup tables have changed."""
+    out = []
+    for df in lookups:
+        rows = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))
+        out.append(":".join(map(str, df.agg(F.count("*"), rows).first())))
+    return " ".join(out)
+
+
+def write_zone_mart(spark: SparkSession, mart: DataFrame, path: str, months: list[dt.date] | None = None) -> None:
+    """a folder for each month, the busiest zone first within each written file."""
+    _replace_months(spark, mart, path, "started_month", months, F.desc("total_rides"))
+
+
+def _refresh_dim(spark: SparkSession, unioned: DataFrame, path: str, full: bool) -> None:
+    """The station dimension: anew, or the written one merged with the rides landed since."""
+    mark_path = f"{path}_mark.txt"
+    if full or not exists(spark, path) or not exists(spark, mark_path):
+        dim, mark = stations.dim_stations(unioned), incremental.LOW_WATERMARK
+        news = unioned
+    else:
+        mark = dt.datetime.fromisoformat(read_text(spark, mark_path))
+        news = unioned.where(F.col("_ingested_at") > F.lit(mark).cast("timestamp_ntz"))
+        if news.isEmpty():
+            return
+        dim = written(stations.merge_dim(spark.read.parquet(path), news), "dim-merged")
+    dim.write.mode("overwrite").parquet(path)
+    write_text(spark, mark_path, max(mark, incremental.watermark(news).first()[0]).isoformat())
 
 
 def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None = None) -> dict[str, DataFrame]:
@@ -119,16 +182,21 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
     )
 
     fct_path = f"{cfg.root}/fct_rides"
-    if cfg.full_refresh or not exists(spark, fct_path):
-        from ..operators import facts
-
+    full = cfg.full_refresh or not exists(spark, fct_path)
+    # What the fact changed and the marts have not followed yet; it outlives a failed run.
+    pending = _Pending(spark, f"{cfg.root}/_pending.json")
+    if full:
+        pending.add(["all"])
         incremental.write_fact(facts.fct_rides(unioned, cfg.keys), fct_path)
     else:
-        incremental.run_incremental(spark, unioned, fct_path, cfg.keys)
+        incremental.run_incremental(spark, unioned, fct_path, cfg.keys, on_touch=pending.add)
     fct = incremental.read_fact(spark, fct_path)
+    months = pending.months()  # None: all of them
 
-    stations.dim_stations(unioned).write.mode("overwrite").parquet(f"{cfg.root}/dim_stations")
-    marts.agg_rides_daily(fct).write.mode("overwrite").parquet(f"{cfg.root}/agg_rides_daily")
+    _refresh_dim(spark, unioned, f"{cfg.root}/dim_stations", full)
+    if months != []:
+        daily = marts.agg_rides_daily(_of_months(fct, months)).withColumn("_month", F.trunc("started_date", "month"))
+        _replace_months(spark, daily, f"{cfg.root}/agg_rides_daily", "_month", months)
     if cfg.zone_layer:
         prop = T.StructType([T.StructField("zone_id", T.StringType()), T.StructField("GEOID", T.StringType())])
         layer = geojson.read_features(spark, cfg.zone_layer, prop).select("zone_id", "geometry")
@@ -142,8 +210,16 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
             marts.Boundary(b.name, b.id_col, b.mapping, b.meta, b.population, (b.display_col,) if b.display_col else ())
             for b in cfg.boundaries
         ]
-        for name, mart in marts.zone_rollups(fct, specs, cfg.zone_system).items():
-            write_zone_mart(mart, f"{cfg.root}/agg_rides_by_{name}")
+        # a mart whose lookups are new or have changed is built anew, the others follow the touched months
+        digests = {b.name: _digest(b.station_zone, b.zone_meta, b.zone_pop) for b in specs}
+        files = {n: f"{cfg.root}/agg_rides_by_{n}_lookups.txt" for n in digests}
+        same = {n for n, d in digests.items() if exists(spark, files[n]) and read_text(spark, files[n]) == d}
+        for part, some in (([b for b in specs if b.name not in same], None), ([b for b in specs if b.name in same], months)):
+            if part and some != []:
+                for name, mart in marts.zone_rollups(_of_months(fct, some), part, cfg.zone_system).items():
+                    write_zone_mart(spark, mart, f"{cfg.root}/agg_rides_by_{name}", some)
+                    write_text(spark, files[name], digests[name])
+    pending.clear()
 
     frames = {
         "rides_unioned": unioned, "fct_rides": fct, "dim_stations": spark.read.parquet(f"{cfg.root}/dim_stations"),

@@ -114,3 +114,55 @@ def test_cli_builds_zone_marts(spark, tmp_path, capsys):
     by_cluster = spark.read.parquet(f"{root}/agg_rides_by_cluster")
     departures = spark.read.parquet(f"{root}/fct_rides").where("system = 'beta' and start_station_id is not null").count()
     assert by_cluster.agg(F.sum("total_rides")).first()[0] == departures
+
+
+def test_marts_follow_the_touched_months(spark, monkeypatch):
+    """After a second landing the incremental marts and dimension equal those of a full refresh; untouched months
+    are not written again, and a run that failed after the fact is made up for."""
+    from conftest import SF_SMALL
+
+    from spokes.schemas import DAILY_COLUMNS, DIM_STATION_COLUMNS
+
+    unioned = fixtures.staged_trips(spark, SF_SMALL)
+    rows = unioned["alpha"].unionByName(unioned["beta"])
+    late = F.col("_source_file") == "alpha-tripdata_2.csv"
+    landing, root, fresh = (work_dir(spark, x) for x in ("m-landing", "m-root", "m-fresh"))
+    mapping = spark.createDataFrame([(str(i), f"Z{i % 3}") for i in range(100)], "station_id string, zone_id string")
+    meta = spark.createDataFrame([(f"Z{i}", 1.0 + i, 38.9, -77.0) for i in range(3)],
+                                 "zone_id string, area_km2 double, centroid_lat double, centroid_lng double")
+    pop = spark.createDataFrame([("Z0", 100, 40, 1.0)], "zone_id string, population bigint, households bigint, "
+                                                      "median_household_income double")
+
+    def run(to):
+        return R.refresh(spark, R.RefreshConfig(
+            landing=landing, root=to, patterns=trips_csv.FIXTURE_SYSTEM_PATTERNS, coord_type="double",
+            zone_system="alpha", boundaries=(R.ZoneBoundary("zone", "zone_id", mapping, meta, pop),)))
+
+    def tables(of):
+        read = lambda name: spark.read.parquet(f"{of}/{name}")
+        zone = read("agg_rides_by_zone")
+        return [sorted(map(str, df.collect())) for df in (
+            read("agg_rides_daily").select(*DAILY_COLUMNS), read("dim_stations").select(*DIM_STATION_COLUMNS),
+            zone.select(*sorted(zone.columns)))]
+
+    trips_csv.write_raw_csvs(rows.where(~late), landing)
+    run(root)
+    trips_csv.write_raw_csvs(rows.where(late), landing)
+    with monkeypatch.context() as m:
+        m.setattr(R.marts, "agg_rides_daily", lambda fct: 1 / 0)
+        try:
+            run(root)
+            raise AssertionError("the run should have failed")
+        except ZeroDivisionError:
+            pass
+    written_again = []
+    replace_months = R._replace_months
+    monkeypatch.setattr(R, "_replace_months", lambda s, mart, path, col, months, *order: written_again.append(
+        months) or replace_months(s, mart, path, col, months, *order))
+    run(root)
+    assert written_again and all(months for months in written_again)
+    run(fresh)
+    assert tables(root) == tables(fresh)
+    written_again.clear()
+    run(root)
+    assert not written_again
