@@ -56,14 +56,16 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text", into: str = "fp") -> DataFrame:
-    """``docs`` with the fingerprint as a signed long in the column ``into``."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.LongType(), False)])
+def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text", into: str = "fp",
+                 keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all unless given) and the fingerprint as a signed long in the column ``into``."""
+    keep = docs.columns if keep is None else keep
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(into, T.LongType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(x.as_py() or "", shingle) for x in b.column(text_col)], np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], [*b.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*map(b.column, keep), pa.array(fp.view(np.int64))], [*keep, into])
 
     return docs.mapInArrow(run, schema)
 
@@ -153,7 +155,7 @@ def _groups(docs: DataFrame, shingle: int, bits: int, id_col: str, text_col: str
     if not 0 <= bits <= 3:
         raise ValueError("bits: 0 to 3")
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = materialise(fingerprints(rows, shingle).select("id", "fp"), "simhash")
+    rows = materialise(fingerprints(rows, shingle, keep=["id"]), "simhash")
     n = rows.count()
     # a fingerprint makes up to 56 rows of the index, so few of them to a task
     nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", n, per_file=20_000)
