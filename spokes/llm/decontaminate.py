@@ -90,6 +90,20 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     no window; an empty benchmark hits nothing.  Repeated rows and null ids keep
     their rows; other columns are ignored.
     """
+    texts, by = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
+    by = by.alias("h")
+    sizes = texts.select("id", "key", F.size("words").cast("long").alias("n_words")).alias("d")
+    same = F.col("d.id").eqNullSafe(F.col("h.id")) & (F.col("d.key") == F.col("h.key"))
+    none = F.array().cast("array<string>")
+    return sizes.join(by, same, "left").select(
+        F.col("d.id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
+        F.coalesce("items", none).alias("items"), "spans")
+
+
+def _hits(docs: DataFrame, items: DataFrame, window: int, shingle: int, id_col: str, text_col: str, item_col: str,
+          item_text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows ``id, key, words`` of all documents; and ``id, key, spans, items, n_hit`` of those that contain a window."""
     wins = materialise(benchmark_windows(items, window, shingle, item_col, item_text_col), "windows")
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
@@ -130,15 +144,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     by = by.select("id", "key", _merged("spans").alias("spans"), "items")
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s.end - s.start)
-    by = materialise(by.select("id", "key", "spans", "items", hits.alias("n_hit")), "hits").alias("h")
-
-    sizes = texts.select("id", "key", F.size("words").cast("long").alias("n_words")).alias("d")
-    same = F.col("d.id").eqNullSafe(F.col("h.id")) & (F.col("d.key") == F.col("h.key"))
-    none = F.array().cast("array<string>")
-    return sizes.join(by, same, "left").select(
-        F.col("d.id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.coalesce("items", none).alias("items"), "spans")
+    return texts, materialise(by.select("id", "key", "spans", "items", hits.alias("n_hit")), "hits")
 
 
 def _merged(spans: str) -> Column:
@@ -155,11 +161,16 @@ def _merged(spans: str) -> Column:
     return F.aggregate(spans, F.array().cast(kind), add)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs`` that contain no window of ``items``; all columns stay."""
-    hit = contamination(docs, items, id_col=id_col, **kw).where("n_hit > 0")
-    hit = materialise(hit.select(F.col(id_col).alias("_hit_id")).distinct(), "contaminated")
-    return docs.alias("d").join(hit, F.col(f"d.{id_col}").eqNullSafe(F.col("_hit_id")), "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  window: int = WINDOW, shingle: int = SHINGLE, item_col: str = "item_id",
+                  item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that contain no window of ``items``; all columns stay.
+
+    Rows that share an id go together, and so do those without one.
+    """
+    _, by = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
+    gone = materialise(by.select(F.col("id").alias("_hit_id")).distinct(), "contaminated")
+    return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("_hit_id")), "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
