@@ -8,11 +8,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from collections.abc import Callable
 
 import numpy as np
 
 # The split pattern of byte-level BPE, and its printable stand-ins for bytes.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# tiktoken's regular expressions give up on a run of about a million white-space characters.
+LONG_BLANK = 100_000
+BLANK = re.compile(r"\s+")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -69,15 +74,36 @@ class Encoder:
 
             ranks, special = plain
             enc = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=special)
-            allowed = set(special)
-            self.ids = lambda text: enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+            allowed, slow = set(special), []
+
+            def ids(text: str) -> np.ndarray:
+                if not long_blank(text):
+                    try:
+                        return enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+                    except ValueError:
+                        pass
+                if not slow:  # most tasks never need it
+                    slow.append(_library(blob))
+                return slow[0](text)
+
+            self.ids = ids
             return
-        from tokenizers import Tokenizer
+        self.ids = _library(blob)
 
-        tok = Tokenizer.from_str(blob.decode())
-        tok.no_truncation()
-        tok.no_padding()
-        self.ids = lambda text: np.asarray(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+
+def long_blank(text: str) -> bool:
+    """Whether the text holds a run of ``LONG_BLANK`` white-space characters or more."""
+    return len(text) >= LONG_BLANK and any(m.end() - m.start() >= LONG_BLANK for m in BLANK.finditer(text))
+
+
+def _library(blob: bytes) -> Callable[[str], np.ndarray]:
+    """The tokenizers library's own encoding by a ``.json`` file."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_str(blob.decode())
+    tok.no_truncation()
+    tok.no_padding()
+    return lambda text: np.asarray(tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _LOADED: dict[str, Encoder] = {}

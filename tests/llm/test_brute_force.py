@@ -256,6 +256,25 @@ def test_byte_bpe_agrees_over_unicode():
         assert enc.ids(t).tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 700_000 + "b c", "x" + " " * 150_000 + "y"])
+def test_long_blanks_agree_with_the_library(text):
+    from spokes.llm import tokenizer
+
+    enc, tok = tokenizer.Encoder(*[tokenizer.read_file(TOKENS)[i] for i in (0, 2)]), Tokenizer.from_file(TOKENS)
+    assert enc.ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_long_blanks_are_counted_and_packed(spark, tmp_path):
+    rows = [(1, " " * 1_200_000), (2, "\n" * 1_200_000), (3, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tok = Tokenizer.from_file(TOKENS)
+    want = {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    counts = token_counts.token_counts(df, TOKENS, str(tmp_path / "cache")).collect()
+    assert {r.doc_id: r.n_tokens for r in counts} == want
+    packed = packing.pack_documents(df, TOKENS).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in packed} == {i: n + 1 for i, n in want.items()}
+
+
 def test_op6(spark, texts):
     tok = Tokenizer.from_file(TOKENS)
     rows = registry.QUERIES["op6_packing"](spark, SF).collect()
