@@ -7,7 +7,9 @@ correlation of neighbours.  The three p-values are combined (Bonferroni).  Withi
 each encoding and band of lengths the false-discovery rate of "not random" is
 held at ``q`` over all documents (Benjamini-Hochberg on p-values rounded up to a
 hundredth of a power of ten); runs for which randomness is not rejected are
-reported as secrets of kind ``random``.
+reported as secrets of kind ``random``.  A run that no alphabet holds, such as a
+token of base64url in the path of a url, is tested by its parts (``parts``), whose
+spans can lie within each other.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ ALPHABETS = {"hex": DIGIT + "abcdef", "HEX": DIGIT + "ABCDEF", "base32": UP + "2
              "lower": DIGIT + LOW, "alnum": UP + LOW + DIGIT, "base64": UP + LOW + DIGIT + "+/",
              "base64url": UP + LOW + DIGIT + "-_"}
 INDEX = {name: {c: i for i, c in enumerate(a)} for name, a in ALPHABETS.items()}
+# where a run that no alphabet holds is split: between base64url, between base64, and between letters and digits alone
+SPLITS = tuple(re.compile(p) for p in (r"[^+/]{20,}", r"[^_-]{20,}", r"[^+/_-]{20,}"))
 BANDS = (20, 32, 48, 64, 96, 128, 256)
 FINEST, LAST_BIN = 100, 30_000
 
@@ -67,6 +71,13 @@ def encoding(run: str) -> str | None:
     return next((name for name, index in INDEX.items() if chars <= index.keys()), None)
 
 
+def parts(run: str) -> list[tuple[int, int]]:
+    """(start, end) of what is tested of a run: all of it or, where it mixes '+' or '/' with '-' or '_', its long parts."""
+    if not (("+" in run or "/" in run) and ("-" in run or "_" in run)):
+        return [(0, len(run))]
+    return sorted({m.span() for split in SPLITS for m in split.finditer(run)})
+
+
 def _normal(z: float) -> float:
     """Two-sided p-value."""
     return math.erfc(abs(z) / math.sqrt(2))
@@ -104,15 +115,16 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     """(start, end, stratum, bin) of the tested runs that no base span touches."""
     out = []
     for m in RUN.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
-            continue
-        name = encoding(m[0])
-        if name is None:
-            continue
-        stratum = list(ALPHABETS).index(name) * len(BANDS) + bisect_right(BANDS, end - start) - 1
-        p = p_random(m[0], name)
-        out.append((start, end, stratum, min(LAST_BIN, int(-math.log10(p) * FINEST)) if p > 0 else LAST_BIN))
+        for a, b in parts(m[0]):
+            start, end = m.start() + a, m.start() + b
+            if any(s < end and start < e for s, _, e in base):
+                continue
+            name = encoding(m[0][a:b])
+            if name is None:
+                continue
+            stratum = list(ALPHABETS).index(name) * len(BANDS) + bisect_right(BANDS, end - start) - 1
+            p = p_random(m[0][a:b], name)
+            out.append((start, end, stratum, min(LAST_BIN, int(-math.log10(p) * FINEST)) if p > 0 else LAST_BIN))
     return out
 
 

@@ -193,6 +193,42 @@ def test_random_runs_are_told_from_words(spark):
     assert sum(said[i] for i in truth if not truth[i]) <= 0.05 * sum(not t for t in truth.values())
 
 
+def test_tokens_in_paths_are_found(spark):
+    """base64url behind a path, base64 behind a hyphen, any token behind a path with a hyphen."""
+    rng = random.Random(4)
+
+    def token(name, n, must):
+        while True:
+            run = "".join(rng.choice(secrets.ALPHABETS[name]) for _ in range(n))
+            if any(c.isdigit() for c in run) and any(c in must for c in run) and run[0].isalnum() and run[-1].isalnum():
+                return run
+
+    rows, planted = [], {}
+    for i in range(300):
+        kind = i % 3
+        if kind == 0:
+            t = token("base64url", 64, "-_")
+            rows.append((i, f"post to https://chat.example.com/api/webhooks/{rng.randrange(10 ** 17, 10 ** 18)}/{t} now"))
+        elif kind == 1:
+            t = token("base64", 64, "+/")
+            rows.append((i, f"key my_service-{t} now"))
+        else:
+            t = token("alnum", 40, "0123456789")
+            rows.append((i, f"see /long-path_to/user-page/{t}/last-part now"))
+        planted[i] = t
+    rows += [(1000 + i, "see /index-page/" + "-".join(rng.choice(["release", "notes", "index", "page"]) for _ in range(12))
+              + "-2024 there") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = secrets.find_secrets(df).collect()
+    said = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.found if s.kind == 3] for r in found}
+    for kind in range(3):
+        assert sum(any(t in x for x in said[i]) for i, t in planted.items() if i % 3 == kind) >= 90
+    assert sum(bool(said[i]) for i in said if i >= 1000) <= 15
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert sum(t not in clean[i] for i, t in planted.items()) >= 270
+
+
 def test_redaction(spark):
     key = "AKIA" + "A1B2C3D4E5F6G7H8"
     df = spark.createDataFrame([(1, f"x {key} y password = 'hunter22'!"), (2, "nothing here")], "doc_id long, text string")
