@@ -1,8 +1,9 @@
 """Keyed surrogates for personal data.
 
-Detection finds e-mail addresses, phone and card numbers, IPv4 addresses, social
-security numbers, IBANs and names of persons, and splits them into units that
-are replaced by themselves: the local part and the domain of an address, the
+Detection finds e-mail addresses, phone and card numbers, IPv4 and IPv6 addresses,
+social security numbers, IBANs and names of persons with a listed title or given
+name (README has the exact forms), and splits them into units that are replaced by
+themselves: the local part and the domain of an address, the
 given and the family name of a person.  A unit's surrogate is drawn by HMAC from
 the key, the unit's kind and its normal form, so one unit has one surrogate in
 every document and every spelling (coreference), of the same format, script and
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -29,14 +31,23 @@ LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*$")
 DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 LONGEST_LOCAL = 64
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# An IBAN as it is printed, in groups of four.
+PRINTED_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ \xa0][A-Z0-9]{4}){2,7}(?:[ \xa0][A-Z0-9]{1,4})?(?![A-Za-z0-9])",
+                          re.ASCII)
 NUMBERS = re.compile(
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9]))"
     rf"|(?P<ip>(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d))"
-    r"|(?P<card>(?<!\d)(?:\d{4}([ -]?)\d{4}\4\d{4}\4\d{4}|3[47]\d{2}([ -]?)\d{6}\5\d{5})(?!\d))"
+    rf"|(?P<ip6>(?<![\w:.])[0-9A-Fa-f]{{1,4}}:(?:[0-9A-Fa-f]{{0,4}}:){{1,7}}(?:(?:{OCTET}\.){{3}}{OCTET}|[0-9A-Fa-f]{{1,4}})?(?!\w))"
+    r"|(?P<card>(?<!\d)(?:\d{4}(?P<a>[ -]?)\d{4}(?P=a)\d{4}(?P=a)\d{4}|3[47]\d{2}(?P<b>[ -]?)\d{6}(?P=b)\d{5})(?!\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,8}){1,4}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)"
-    r"|(?<![\w.+-])\d{3}([.-])\d{3}\8\d{4}(?![\w-]))", re.ASCII)
+    r"|(?<![\w+])\+\d{1,3}[ .-]?\(0\)[ .-]?\d{1,5}(?:[ .-]?\d{2,8}){1,4}(?!\d)"
+    r"|(?<![\w.+-])(?:1[ .-])?\d{3}(?P<c>[ .-])\d{3}(?P=c)\d{4}(?![\w-])"
+    # with a trunk prefix, in at least two groups; no date
+    r"|(?<![\w.+/-])(?!\d\d(?P<d>[./-])\d\d(?P=d)\d{2,4}(?!\d|(?P=d)\d))0\d{1,4}[ ./-]\d{2,8}(?:[ .-]?\d{2,8}){0,4}"
+    r"(?![\w-]))", re.ASCII)
+LEAST_TRUNK = 9
 TITLES = {
     "m": "Mr Sir Herr Monsieur Señor Signor господин кύριος Κύριος Господин",
     "f": "Mrs Ms Miss Frau Madame Mademoiselle Señora Señorita Signora госпожа Госпожа Κυρία",
@@ -57,7 +68,7 @@ CAP = rf"[{UPPER}][\w'’-]*\w"
 TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLE_OF, key=len, reverse=True))})\b\.? ({CAP})(?: ({CAP}))?")
 PAIR = re.compile(rf"(?<!\w)({CAP}) ({CAP})")
 # Quick tests that a text passes if it holds a number or a title of the kinds above.
-SOME_NUMBER = re.compile(r"\d[\d .()-]{5,}\d|[A-Z]{2}\d{2}[A-Z0-9]{11}", re.ASCII)
+SOME_NUMBER = re.compile(r"\d[\d ./()-]{5,}\d|[A-Z]{2}\d{2}[ \xa0]?[A-Z0-9]{4}|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", re.ASCII)
 SOME_TITLE = [t for t in TITLE_OF if not any(u != t and u in t for u in TITLE_OF)]
 # Syllables of invented names, and how names of either gender end.
 SYLLABLES = {"latin": ("b c d f g h j k l m n p r s t v w z br dr gr kl st tr".split(), "a e i o u".split()),
@@ -85,6 +96,32 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _printed_ibans(text: str) -> list[tuple[int, int, str, str]]:
+    """Valid IBANs in groups; a word in capitals behind the last group, or a code before the first, isn't part of it."""
+    out, m = [], PRINTED_IBAN.search(text)
+    while m:
+        end = m.end()
+        while end > m.start() + 4 and _mod97(norm := re.sub(r"[ \xa0]", "", text[m.start():end])) != 1:
+            end = max(text.rfind(" ", m.start(), end), text.rfind("\xa0", m.start(), end))
+        valid = end > m.start() + 4 and len(norm) >= 15
+        if valid:
+            out.append((m.start(), end, "iban", norm))
+        m = PRINTED_IBAN.search(text, end if valid else m.start() + 4)
+    return out
+
+
+def _ip6(seen: str) -> tuple[str, str] | None:
+    """An IPv6 address without a colon of the sentence, and its normal form; None for times, scopes of names and the like."""
+    if seen.endswith(":") and not seen.endswith("::"):
+        seen = seen[:-1]
+    if len(seen.split(":", 1)[0]) < 3 and seen.count(":") < 7 or not any(c.isdigit() for c in seen):
+        return None
+    try:
+        return seen, ipaddress.IPv6Address(seen).exploded
+    except ValueError:
+        return None
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Units (start, end, kind, normal form), in order, none overlapping another."""
     found: list[list[tuple[int, int, str, str]]] = []
@@ -96,22 +133,35 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             found.append([(local.start(), at, "local", text[local.start():domain.end()].lower()),
                           (at + 1, domain.end(), "domain", domain[0].lower())])
         at = text.find("@", at + 1)
-    for m in NUMBERS.finditer(text) if SOME_NUMBER.search(text) else ():
-        kind = m.lastgroup
-        if kind == "iban":
+    some, rest = SOME_NUMBER.search(text), text
+    if ibans := _printed_ibans(text) if some else []:
+        found += [[unit] for unit in ibans]
+        # no other number lies within
+        rest = "".join("x" * (b - a) + text[b:c] for (a, b), c in zip(
+            [(0, 0), *((a, b) for a, b, *_ in ibans)], [*(a for a, *_ in ibans), len(text)]))
+    for m in NUMBERS.finditer(rest) if some else ():
+        kind, end = m.lastgroup, m.end()
+        if kind == "ip6":
+            if not (ip6 := _ip6(m[0])):
+                continue
+            end, norm = m.start() + len(ip6[0]), ip6[1]
+        elif kind == "iban":
             if _mod97(m[0]) != 1:
                 continue
             norm = m[0]
         else:
-            norm = m[0] if kind == "ip" else re.sub(r"\D", "", m[0])
+            norm = m[0] if kind == "ip" else re.sub(r"\D", "", m[0].replace("(0)", ""))
         if kind == "card":
             kind = "card" if _luhn(norm[:-1]) == int(norm[-1]) else "cardlike"
         elif kind == "phone":
             if not 8 <= len(norm) <= 15:
                 continue
-            plus = re.match(r"\+(\d{1,3})(?=\D)", m[0])  # the country code stays
-            kind = f"phone{len(plus[1]) if plus else 0}"
-        found.append([(*m.span(), kind, norm)])
+            plus = re.match(r"\+(\d{1,3})(?=\D)", m[0])  # the country code stays, and so does a trunk prefix
+            trunk = "" if m[0][0] == "+" else re.match("0{0,2}", norm)[0] or re.match(r"(?:1(?=[ .-]))?", m[0])[0]
+            if trunk[:1] == "0" and m[0][0] == "0" and len(norm) < LEAST_TRUNK:
+                continue
+            kind = f"phone{len(plus[1]) if plus else len(trunk)}"
+        found.append([(m.start(), end, kind, norm)])
     found += _persons(text)
     out, end = [], 0
     for group in sorted(found):
@@ -193,6 +243,10 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
         else:
             head = [next(x for x in iter(lambda: 1 + d.below(223), None) if x not in (10, 127, 172, 192))]
         return ".".join(map(str, head + [d.below(256) for _ in range(4 - len(head))]))
+    if kind == "ip6":
+        first = int(norm[:4], 16)
+        head = norm[:9] if norm.startswith("2001:0db8") else norm[:4] if first >= 0xFC00 else f"{0x2000 + d.below(0x2000):04x}"
+        return ":".join([head, *(f"{d.below(1 << 16):04x}" for _ in range(7 - head.count(":")))])
     if kind.startswith("phone"):
         code = int(kind[5:])
         return norm[:code] + str(2 + d.below(8)) + d.digits(len(norm) - code - 1)
@@ -219,9 +273,16 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
 def render(seen: str, kind: str, drawn: str) -> str:
     """The surrogate in the spelling of what it replaces: its punctuation and case."""
     if kind.startswith(("phone", "card")) or kind == "ssn":
-        digits = iter(drawn)
-        return "".join(next(digits) if c.isascii() and c.isdigit() else c for c in seen)
-    if kind in ("ip", "iban"):
+        digits, trunk = iter(drawn), seen.find("(0)")
+        return "".join(next(digits) if c.isascii() and c.isdigit() and not 0 <= trunk == i - 1 else c
+                       for i, c in enumerate(seen))
+    if kind == "iban":
+        signs = iter(drawn)
+        return "".join(next(signs) if c.isalnum() else c for c in seen)
+    if kind == "ip6":
+        short = ipaddress.IPv6Address(drawn).compressed
+        return short.upper() if seen.isupper() else short
+    if kind == "ip":
         return drawn
     if len(seen) > 1 and seen.isupper():
         return drawn.upper()

@@ -16,6 +16,29 @@ def test_detection():
                      ("JONES", "family:latin"), ("GB82WEST12345698765432", "iban"), ("078-05-1120", "ssn")]
 
 
+def test_printed_and_national_forms():
+    cases = {"GB82 WEST 1234 5698 7654 32": "iban", "DE89 3704 0044 0532 0130 00": "iban", "BE68 5390 0754 7034": "iban",
+             "NO93 8601 1117 947": "iban", "555 123 4567": "phone0", "1-800-555-1234": "phone1", "1 800 555 1234": "phone1",
+             "020 7946 0958": "phone1", "01 42 68 53 00": "phone1", "01.42.68.53.00": "phone1", "030/1234567": "phone1",
+             "0044 20 7946 0958": "phone2", "+44 (0)20 7946 0958": "phone2", "2001:db8::1": "ip6", "fe80::1ff:fe23:4567:890a": "ip6",
+             "2001:0DB8:85A3:0000:0000:8A2E:0370:7334": "ip6", "2a00:1450::1.2.3.4": "ip6"}
+    for shown, kind in cases.items():
+        for text in (f"so {shown} is", f"so {shown}", f"so {shown}, REF", f"so {shown} OK"):
+            found = [(text[a:b], k) for a, b, k, _ in s.detect(text)]
+            assert found == [(shown, kind)], text
+        (_, _, _, norm), = s.detect(shown)
+        new = s.render(shown, kind, s.surrogate(b"k", kind, norm, 0))
+        assert new != shown and [k for *_, k, _ in s.detect(new)] == [kind], new
+        if kind == "iban":
+            assert s.detect(shown.replace(" ", ""))[0][3] == norm and [c == " " for c in new] == [c == " " for c in shown]
+    # a group of four before it, a colon behind it, and a card that only looks like the rest of an IBAN
+    text = "AB12 GB82 WEST 1234 5698 7654 32; 2001:db8::1: no; AB12 4242 4242 4242 4242"
+    assert [text[a:b] for a, b, _, _ in s.detect(text)] == ["GB82 WEST 1234 5698 7654 32", "2001:db8::1", "4242 4242 4242 4242"]
+    for text in ("on 01-02-2024 10:30", "on 01/02/2024 at", "on 05.06.2023 11", "at 12:30:45", "mac aa:bb:cc:dd:ee:ff",
+                 "std::add ::bad1 a::b1", "no 0000012345", "0.1234 5678"):
+        assert s.detect(text) == [], text
+
+
 def test_every_kind_is_replaced(spark):
     rows = ["x@y.org", "+49 30 123456", "(212) 555-0100", "212.555.0100", "4242424242424242", "371449635398431", "1.2.3.4",
             "GB82WEST12345698765432", "078-05-1120", "Mr Smith", "Mary Jones", "MARY JONES", "Анна Петрова", "+4930123456"]
