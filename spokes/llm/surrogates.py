@@ -225,8 +225,12 @@ class Draw:
                        for c in s)
 
 
-def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
-    """The ``attempt``-th surrogate of a unit in normal form; later attempts on short forms grow longer."""
+def surrogate(key: bytes, kind: str, norm: str, attempt: int, wider: int = 0) -> str:
+    """The ``attempt``-th surrogate of a unit in normal form; later attempts on short forms grow longer.
+
+    Forms of a fixed size keep it unless ``wider``: private addresses are then drawn from
+    10.0.0.0/8 (1) and from all public ones (2), numbers get so many digits more.
+    """
     d = Draw(key, f"{kind}\0{norm}\0{attempt}")
     longer = attempt // 4
     if kind == "local":
@@ -236,10 +240,11 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
         return d.shaped(name + "a" * longer) + "." + top
     if kind == "ip":
         first = int(norm.split(".")[0])
-        if first in (10, 127):
+        private = norm.startswith("192.168.")
+        if first in (10, 127) and wider < 2:
             head = [first]
-        elif norm.startswith("192.168."):
-            head = [192, 168]
+        elif private and wider < 2:
+            head = [10] if wider else [192, 168]
         else:
             head = [next(x for x in iter(lambda: 1 + d.below(223), None) if x not in (10, 127, 172, 192))]
         return ".".join(map(str, head + [d.below(256) for _ in range(4 - len(head))]))
@@ -249,17 +254,17 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
         return ":".join([head, *(f"{d.below(1 << 16):04x}" for _ in range(7 - head.count(":")))])
     if kind.startswith("phone"):
         code = int(kind[5:])
-        return norm[:code] + str(2 + d.below(8)) + d.digits(len(norm) - code - 1)
+        return norm[:code] + str(2 + d.below(8)) + d.digits(len(norm) - code - 1 + wider)
     if kind == "card":
-        body = norm[:1] + d.digits(len(norm) - 2)
+        body = norm[:1] + d.digits(len(norm) - 2 + wider)
         return body + str(_luhn(body))
     if kind == "cardlike":
-        body = norm[:1] + d.digits(len(norm) - 2)
+        body = norm[:1] + d.digits(len(norm) - 2 + wider)
         return body + str((_luhn(body) + 1 + d.below(9)) % 10)
     if kind == "ssn":
-        return f"{1 + d.below(665):03d}{1 + d.below(99):02d}{1 + d.below(9999):04d}"
+        return f"{1 + d.below(665):03d}{1 + d.below(99):02d}{1 + d.below(9999):04d}" + d.digits(wider)
     if kind == "iban":
-        body = d.shaped(norm[4:].lower()).upper()
+        body = d.shaped(norm[4:].lower()).upper() + d.digits(wider)
         return f"{norm[:2]}{98 - _mod97(norm[:2] + '00' + body):02d}{body}"
     role, script = kind.rsplit(":", 1)
     heads, vowels = SYLLABLES[script]
@@ -274,11 +279,12 @@ def render(seen: str, kind: str, drawn: str) -> str:
     """The surrogate in the spelling of what it replaces: its punctuation and case."""
     if kind.startswith(("phone", "card")) or kind == "ssn":
         digits, trunk = iter(drawn), seen.find("(0)")
-        return "".join(next(digits) if c.isascii() and c.isdigit() and not 0 <= trunk == i - 1 else c
-                       for i, c in enumerate(seen))
+        out = "".join(next(digits) if c.isascii() and c.isdigit() and not 0 <= trunk == i - 1 else c
+                      for i, c in enumerate(seen))
+        return out + "".join(digits)  # a later draw can be longer
     if kind == "iban":
         signs = iter(drawn)
-        return "".join(next(signs) if c.isalnum() else c for c in seen)
+        return "".join(next(signs) if c.isalnum() else c for c in seen) + "".join(signs)
     if kind == "ip6":
         short = ipaddress.IPv6Address(drawn).compressed
         return short.upper() if seen.isupper() else short
@@ -308,10 +314,15 @@ def _scan(docs: DataFrame) -> DataFrame:
     return docs.select("id", "h", "text").mapInArrow(run, schema)
 
 
+# After so many attempts at a time the forms of a fixed size are drawn from a larger pool.
+FEW = 4
+
+
 def _draw(units: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            drawn = [surrogate(key, *row) for row in zip(*(b.column(c).to_pylist() for c in ("kind", "norm", "attempt")))]
+            rows = zip(*(b.column(c).to_pylist() for c in ("kind", "norm", "attempt")))
+            drawn = [surrogate(key, kind, norm, n, n // FEW) for kind, norm, n in rows]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(drawn, pa.string())], [*b.schema.names, "drawn"])
 
     return units.select("kind", "norm", "attempt").mapInArrow(run, "kind string, norm string, attempt int, drawn string")
@@ -327,7 +338,8 @@ def assign(units: DataFrame, key: bytes) -> DataFrame:
     """``kind, norm, drawn`` for distinct ``units`` (kind, norm): distinct surrogates, none of them a unit itself.
 
     In each round the smallest unit that draws a surrogate gets it, unless it is
-    taken or real; the others draw again.
+    taken or real; the others draw again, from larger and larger pools (``FEW``),
+    so it ends also where a kind's form has fewer free values than units.
     """
     units = materialise(units.select("kind", "norm").distinct(), "units")
     todo, done = units.withColumn("attempt", F.lit(0)), None
@@ -340,7 +352,7 @@ def assign(units: DataFrame, key: bytes) -> DataFrame:
         won = won.join(real, ["kind", "as_unit"], "left_anti").select("kind", "norm", "drawn")
         if done is not None:
             won = won.join(done.select("kind", "drawn"), ["kind", "drawn"], "left_anti")
-        won = materialise(won, "won")
+        won = materialise(won.select("kind", "norm", "drawn"), "won")  # the join puts its columns first
         lost = materialise(now.join(won, ["kind", "norm"], "left_anti")
                            .select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), "lost")
         done = won if done is None else done.union(won)

@@ -90,3 +90,20 @@ def test_small_pools_grow(spark):
                                   "kind string, norm string")
     drawn = s.assign(units, b"k").collect()
     assert len(drawn) == 52 and len({r.drawn for r in drawn}) == 52
+
+
+def test_fixed_pools_widen(spark):
+    """More private addresses, and numbers of a short form, than their forms have free values: it ends, all distinct."""
+    ips = spark.range(40_000).selectExpr("'ip' kind", "concat('192.168.', id div 256, '.', id % 256) norm")
+    phones = spark.range(50_000).selectExpr("'phone3' kind", "concat('376', 20000 + id) norm")
+    units = ips.union(phones)
+    drawn = s.assign(units, b"k").collect()
+    assert len(drawn) == 90_000 and len({(r.kind, r.drawn) for r in drawn}) == 90_000
+    assert {(r.kind, r.norm) for r in drawn} == {tuple(r) for r in units.collect()}
+    assert not {(r.kind, r.drawn) for r in drawn} & {(r.kind, r.norm) for r in drawn}
+    assert {r.drawn.split(".")[0] for r in drawn if r.kind == "ip"} == {"192", "10"}
+    assert s.render("+376 20-123", "phone3", "376987654") == "+376 98-7654"
+    for kind, norm in (("ssn", "078051120"), ("card", "4242424242424242"), ("iban", "GB82WEST12345698765432"),
+                       ("ip", "10.1.2.3"), ("ip", "127.0.0.1")):
+        assert s.surrogate(b"k", kind, norm, 8, 2)[:3] != norm[:3] or len(s.surrogate(b"k", kind, norm, 8, 2)) > len(norm)
+    assert s._mod97(s.surrogate(b"k", "iban", "GB82WEST12345698765432", 8, 2)) == 1
