@@ -99,7 +99,8 @@ def stream_dedup(spark: SparkSession, landing_glob: str, out_path: str, checkpoi
         new = written(new.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)), "stream-batch")
         if exists(session, out_path):
             months = [r[0] for r in new.select("_month").distinct().collect()]
-            held = session.read.schema(schema).parquet(out_path).where(F.col("_month").isin(months))
+            held = session.read.schema(schema).parquet(out_path)
+            held = held.where(F.coalesce("_month", F.lit("")).isin(months))  # an empty partition value is read as null
             held = held.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)).alias("h")
             same = F.col("n._key") == F.col("h._key")
             for c in RAW_TRIP_COLUMNS:

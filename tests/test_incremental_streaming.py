@@ -152,6 +152,18 @@ def test_stream_dedup_keeps_late_rides(spark, tmp_path):
     assert sorted(r.ride_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_stream_dedup_replays_rides_without_a_start(spark, tmp_path):
+    """Rows with a null or empty start are found again in the partition that Spark reads as null."""
+    from spokes.sources import trips_csv
+    from spokes.streaming import jobs
+
+    landing, out = str(tmp_path / "l"), work_dir(spark, "t-dedup-null")
+    _csv(landing, "1-alpha-tripdata.csv", [_line("a", ""), _line("b", '""'), _line("c")])
+    for name in ("t-ckpt-first", "t-ckpt-second"):  # a new checkpoint replays every file
+        jobs.stream_dedup(spark, f"{landing}/*.csv", out, work_dir(spark, name), trips_csv.FIXTURE_SYSTEM_PATTERNS)
+    assert sorted(r.ride_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
 def test_freshness_by_elapsed_time(spark):
     from spokes.operators import quality
 
