@@ -28,9 +28,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while n:
         e = _small_star(_large_star(e, n), n)
         n = e.count()
-        most = e.groupBy("u").count().coalesce(1).agg(F.max("count")).first()[0]
+        most = e.groupBy("u").count().agg(F.max("count")).first()[0]
         heads = e.select(F.col("u").alias("w")).distinct()
-        if most == 1 and not e.join(heads, F.col("v") == F.col("w"), "left_semi").coalesce(1).count():
+        if most == 1 and not e.join(heads, F.col("v") == F.col("w"), "left_semi").count():
             break  # every node has one link, to a node that has none: these are the roots
     roots = e.select("v").distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("v", "v"))

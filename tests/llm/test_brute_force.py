@@ -62,6 +62,27 @@ def test_op2(spark, texts):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {i: (f"{fp[i]:016x}", group[i]) for i in fp}
 
 
+def test_components_hold_no_single_task(spark, monkeypatch):
+    """Only tables of a bounded number of rows are written by fewer tasks; nothing is counted by one."""
+    import sys
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from spokes.llm.components import connected_components
+
+    callers, coalesce = [], DataFrame.coalesce
+
+    def spy(self, n):
+        callers.append(sys._getframe(1).f_globals["__name__"])
+        return coalesce(self, n)
+
+    monkeypatch.setattr(DataFrame, "coalesce", spy)
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100 + i, 200) for i in range(40)], "a long, b long")
+    got = {r.node: r.root for r in connected_components(links).collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(40)} | {200: 100}
+    assert set(callers) == {"spokes.llm.common"}
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_simhash_links_of_dense_clusters(spark, seed):
     """Thousands of fingerprints a few bits apart, in chains and in lists of hundreds."""
