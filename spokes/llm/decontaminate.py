@@ -35,19 +35,23 @@ def shingle_hashes(words: str, size: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """``w, size, items, hashes``: distinct windows, the ids of their items (as strings) and their shingles."""
+    """``w, size, items, same, hashes``: distinct windows, the ids of their items (as strings) and their shingles.
+
+    ``same`` names the set of items: windows that occur in the same items share it.
+    """
     it = items.select(F.col(id_col).cast("string").alias("item"), words_of(text_of(text_col)).alias("words"))
     it = it.where(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     each = it.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, length))).alias("w"))
-    wins = each.groupBy("w").agg(F.collect_set("item").alias("items"))
+    wins = each.groupBy("w").agg(F.array_sort(F.collect_set("item")).alias("items"))
     hashes = shingle_hashes("w", shingle)
     size = F.lit(shingle)
     for k in range(shingle - 1, 0, -1):  # windows shorter than a shingle
         hashes = F.when(F.size("w") == k, shingle_hashes("w", k)).otherwise(hashes)
         size = F.when(F.size("w") == k, F.lit(k)).otherwise(size)
-    return wins.select("w", "items", size.alias("size"), hashes.alias("hashes"))
+    return wins.select("w", "items", F.sha2(F.to_json("items"), 256).alias("same"), size.alias("size"),
+                       hashes.alias("hashes"))
 
 
 def _meetings(texts: DataFrame, wanted: DataFrame, cols: list) -> DataFrame:
@@ -90,8 +94,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     no window; an empty benchmark hits nothing.  Repeated rows and null ids keep
     their rows; other columns are ignored.
     """
-    texts, by = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
-    by = by.alias("h")
+    texts, wins, found = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
+    by = _by_document(wins, found).alias("h")
     sizes = texts.select("id", "key", F.size("words").cast("long").alias("n_words")).alias("d")
     same = F.col("d.id").eqNullSafe(F.col("h.id")) & (F.col("d.key") == F.col("h.key"))
     none = F.array().cast("array<string>")
@@ -102,8 +106,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 
 def _hits(docs: DataFrame, items: DataFrame, window: int, shingle: int, id_col: str, text_col: str, item_col: str,
-          item_text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows ``id, key, words`` of all documents; and ``id, key, spans, items, n_hit`` of those that contain a window."""
+          item_text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows ``id, key, words`` of all documents; the windows; and ``id, key, start, end, sets`` of each range hit.
+
+    ``sets`` are the names of the item sets of the windows found there.
+    """
     wins = materialise(benchmark_windows(items, window, shingle, item_col, item_text_col), "windows")
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
@@ -113,12 +120,12 @@ def _hits(docs: DataFrame, items: DataFrame, window: int, shingle: int, id_col:
     every = wins.select("size", F.explode("hashes").alias("hash")).distinct()
     often = _meetings(texts, every, []).groupBy("size", "hash").agg(F.count("*").alias("n"))
     often = materialise(often, "shingle-counts")
-    at = wins.select("w", "items", "size", F.posexplode("hashes").alias("offset", "hash"))
+    at = wins.select("w", "same", "size", F.posexplode("hashes").alias("offset", "hash"))
     # a shingle the corpus lacks rules its window out
-    ranked = at.join(often, ["size", "hash"], "left").groupBy("w", "items", "size").agg(
+    ranked = at.join(often, ["size", "hash"], "left").groupBy("w", "same", "size").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "offset")).alias("rarest"))
     prefix = ranked.where("rarest.n > 0").groupBy("size", F.col("rarest.hash").alias("hash")).agg(
-        F.collect_list(F.struct(F.col("rarest.offset").alias("offset"), "w", "items")).alias("wins"))
+        F.collect_list(F.struct(F.col("rarest.offset").alias("offset"), "w", "same")).alias("wins"))
     prefix = materialise(prefix, "prefix")
 
     # the words around a meeting, enough for any window that holds the shingle
@@ -138,13 +145,25 @@ def _hits(docs: DataFrame, items: DataFrame, window: int, shingle: int, id_col:
     found = found.where(F.size("found") > 0).select(
         "id", "key", F.array_min(F.transform("found", lambda x: F.col("pos") - x.offset)).alias("start"),
         F.array_max(F.transform("found", lambda x: F.col("pos") - x.offset + F.size(x.w))).alias("end"),
-        F.array_distinct(F.flatten(F.transform("found", lambda x: x.items))).alias("items"))
-    spans = F.sort_array(F.collect_list(F.struct("start", "end")))
-    by = found.groupBy("id", "key").agg(
-        spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    by = by.select("id", "key", _merged("spans").alias("spans"), "items")
+        F.array_distinct(F.transform("found", lambda x: x.same)).alias("sets"))
+    return texts, wins, materialise(found, "found")
+
+
+def _by_document(wins: DataFrame, found: DataFrame) -> DataFrame:
+    """``id, key, spans, items, n_hit`` of the documents that contain a window.
+
+    A document's item sets are made distinct before their items are looked up.
+    """
+    by = found.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    by = by.select("id", "key", _merged("spans").alias("spans"))
+    sets = found.select("id", "key", F.explode("sets").alias("same")).distinct()
+    items_of = wins.select("same", "items").dropDuplicates(["same"])
+    items = sets.join(items_of, "same").select("id", "key", F.explode("items").alias("item"))
+    items = items.groupBy("id", "key").agg(F.array_sort(F.collect_set("item")).alias("items")).alias("i")
+    same = F.col("b.id").eqNullSafe(F.col("i.id")) & (F.col("b.key") == F.col("i.key"))
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s.end - s.start)
-    return texts, materialise(by.select("id", "key", "spans", "items", hits.alias("n_hit")), "hits")
+    return materialise(by.alias("b").join(items, same).select("b.id", "b.key", "spans", "items", hits.alias("n_hit")),
+                       "hits")
 
 
 def _merged(spans: str) -> Column:
@@ -168,8 +187,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Rows that share an id go together, and so do those without one.
     """
-    _, by = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
-    gone = materialise(by.select(F.col("id").alias("_hit_id")).distinct(), "contaminated")
+    _, _, found = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
+    gone = materialise(found.select(F.col("id").alias("_hit_id")).distinct(), "contaminated")
     return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("_hit_id")), "left_anti")
 
 

@@ -167,6 +167,30 @@ def test_contamination_of_few_words(spark, seed):
         assert sum(s.end - s.start for s in r.spans or ()) == r.n_hit
 
 
+def test_copied_items_are_looked_up_once_a_document(spark, monkeypatch):
+    """Copies of one item: what is written before the lookup holds names of item sets, not the copies' ids."""
+    copy = " ".join(f"w{i}" for i in range(60))
+    texts = {i: f"x{i} {copy} y{i}" for i in range(5)} | {9: "nothing of it"}
+    items = [(f"copy{i}", copy) for i in range(200)] + [("part", " ".join(f"w{i}" for i in range(20)))]
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    written, write = {}, decontaminate.materialise
+
+    def spy(df, name, *more):
+        written[name] = write(df, name, *more)
+        return written[name]
+
+    monkeypatch.setattr(decontaminate, "materialise", spy)
+    want = brute_contamination(texts, items)
+    for r in decontaminate.contamination(d, b).collect():
+        assert (r.n_words, r.n_hit, r.n_items, sha(",".join(r["items"]))) == want[r.doc_id][:4]
+    assert "items" not in written["prefix"].schema.simpleString()
+    assert max(len(r.sets) for r in written["found"].collect()) <= 2
+    written.clear()
+    assert [r.doc_id for r in decontaminate.decontaminate(d, b).collect()] == [9]
+    assert "hits" not in written
+
+
 def test_contamination_in_blocks(spark, texts, monkeypatch):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
