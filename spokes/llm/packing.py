@@ -88,9 +88,10 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
 
 def pack(parts: DataFrame, size: int = 1024) -> DataFrame:
     """``parts`` (id, piece, start, length, ...) with ``sequence_id`` and ``offset``; longest pieces first."""
-    parts = materialise(parts, "pieces")
-    shards = max(1, -(-parts.count() // SHARD_PIECES))
-    keyed = parts.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(shards)))
+    # the written number deals equal pieces (repeated rows, null ids) over all shards
+    numbered = materialise(parts.withColumn("shard", F.monotonically_increasing_id()), "pieces")
+    shards = max(1, -(-numbered.count() // SHARD_PIECES))
+    keyed = numbered.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32", "shard"), F.lit(shards)))
     schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 

@@ -377,6 +377,17 @@ def test_op6(spark, texts):
     assert len(total) <= 1.05 * sum(map(len, ids.values())) / 1024 + 1
 
 
+def test_equal_pieces_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 100)
+    rows = [(None, "")] * 500 + [(7, "the same row")] * 500 + [(i, f"row {i}") for i in range(500)]
+    packed = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), TOKENS).collect()
+    assert sorted((r.doc_id or -1) for r in packed) == sorted((i or -1) for i, _ in rows)
+    sizes = [0] * 15
+    for r in packed:
+        sizes[r.sequence_id % 15] += 1
+    assert max(sizes) < 200
+
+
 def test_sum_of_squares_rule():
     """Each placement against a plain search over the open gaps."""
     import numpy as np
