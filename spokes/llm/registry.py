@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprint, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
+from . import decontaminate, fingerprint, mixing, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_repeats": recompression.op9_repeats,
     "op10_quality": quality.op10_quality,
+    "op12_mixing": mixing.op12_mixing,
     "pipeline": corpus_pipeline.run,
 }
 
