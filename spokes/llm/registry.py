@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprint, mixing, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter
+from . import conversation_trie, decontaminate, fingerprint, mixing, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter, whitening
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -17,8 +17,10 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_repeats": recompression.op9_repeats,
     "op10_quality": quality.op10_quality,
+    "op11_whitening": whitening.op11_whitening,
     "op12_mixing": mixing.op12_mixing,
+    "op13_conversation_trie": conversation_trie.op13_conversation_trie,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op3_decontamination": oracle.OP3, "op9_repeats": oracle.OP9}
+ORACLE = {"op3_decontamination": oracle.OP3, "op9_repeats": oracle.OP9, "op13_conversation_trie": oracle.OP13}
