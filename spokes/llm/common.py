@@ -37,6 +37,16 @@ def materialise(df: DataFrame, name: str, rows: int | None = None, per_file: int
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unlike(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The ``names``, each led by as many underscores as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return tuple(out)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_of
+from .common import materialise, table, text_of, unlike
 from .url_filter import LOWER, UPPER
 
 WINDOW, SHINGLE = 10, 3
@@ -185,11 +185,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no window of ``items``; all columns stay.
 
-    Rows that share an id go together, and so do those without one.
+    A row goes by its own text, also where others share its id or have none.
     """
     _, _, found = _hits(docs, items, window, shingle, id_col, text_col, item_col, item_text_col)
-    gone = materialise(found.select(F.col("id").alias("_hit_id")).distinct(), "contaminated")
-    return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("_hit_id")), "left_anti")
+    hit_id, hit_key = unlike(docs, "_hit_id", "_hit_key")
+    gone = materialise(found.select(F.col("id").alias(hit_id), F.col("key").alias(hit_key)).distinct(), "contaminated")
+    same = F.col(id_col).eqNullSafe(F.col(hit_id)) & (F.xxhash64(text_of(text_col)) == F.col(hit_key))
+    return docs.join(gone, same, "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, mix, table, text_of, word_hashes
+from .common import materialise, mix, table, text_of, unlike, word_hashes
 
 BUCKETS = 1 << 16
 # Weights are those of a text of so many grams.
@@ -79,7 +79,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, smooth: floa
     sample = materialise(ids.orderBy(F.xxhash64("_label_id"), "_label_id").limit(max_rows)
                          .withColumn("_label_fit", F.pmod(F.xxhash64("_label_id", F.lit("half")), F.lit(2)) == 0),
                          "labelled")
-    labelled = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_label_id"))  # at most max_rows ids
+    labelled = docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("_label_id"))  # at most max_rows ids
     target = counts(labelled.where("_label_good and _label_fit"), text_col)
     if not target.sum():
         return RatioModel(np.zeros(BUCKETS), -math.inf)
@@ -157,14 +157,14 @@ def kth_largest(rows: DataFrame, col: str, k: int, bins: int = 4096) -> float:
 
 
 def resample(docs: DataFrame, model: RatioModel, k: int | None = None, key: int = 0, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``id, n_grams, log_weight, sample_key, keep`` of every row: the top ``k`` rows by weight plus noise.
+             text_col: str = "text", carry: list[str] = ()) -> DataFrame:
+    """``id, n_grams, log_weight, sample_key, keep`` and the columns ``carry`` of every row: the top ``k`` rows by weight plus noise.
 
     ``k`` is the number of rows above the model's cut unless given.  Rows that
     tie with the last key are all kept, so repeated rows fare alike.  A text
     without words, or null, weighs zero.
     """
-    rows = materialise(weigh(docs, model, key, id_col, text_col), "weights")
+    rows = materialise(weigh(docs, model, key, id_col, text_col, carry), "weights")
     rows = rows.withColumn("sample_key", F.col("log_weight") + F.col("noise"))
     if k is None:
         k = rows.where(F.col("log_weight") >= F.lit(model.cut)).count()
@@ -174,13 +174,16 @@ def resample(docs: DataFrame, model: RatioModel, k: int | None = None, key: int
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the resampling keeps; all columns stay.
 
-    Where an id is repeated, or null, its rows go only if all of them are
-    rejected.
+    A row goes by its own text, also where others share its id or have none;
+    rows equal in both fare alike.
     """
-    judged = resample(docs, fit(docs, labels, id_col=id_col, text_col=text_col), id_col=id_col, text_col=text_col)
-    gone = judged.groupBy("id").agg(F.bool_or("keep").alias("keep")).where("not keep")
-    gone = materialise(gone.select(F.col("id").alias("_gone_id")), "rejected")
-    return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("_gone_id")), "left_anti")
+    gone_id, gone_key = unlike(docs, "_gone_id", "_gone_key")
+    keyed = docs.select(id_col, text_col, F.xxhash64(text_of(text_col)).alias(gone_key))
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    judged = resample(keyed, model, id_col=id_col, text_col=text_col, carry=[gone_key]).where("not keep")
+    gone = materialise(judged.select(F.col("id").alias(gone_id), gone_key).distinct(), "rejected")
+    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.xxhash64(text_of(text_col)) == F.col(gone_key))
+    return docs.join(gone, same, "left_anti")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

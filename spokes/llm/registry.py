@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import conversation_trie, decontaminate, fingerprint, mixing, oracle, packing, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter, whitening
+from . import conversation_trie, decontaminate, fingerprint, mixing, oracle, packing, pipeline, quality, recompression, secrets, simhash, surrogates, token_counts, url_filter, whitening
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -20,7 +18,7 @@ QUERIES = {
     "op11_whitening": whitening.op11_whitening,
     "op12_mixing": mixing.op12_mixing,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 ORACLE = {"op3_decontamination": oracle.OP3, "op9_repeats": oracle.OP9, "op13_conversation_trie": oracle.OP13}

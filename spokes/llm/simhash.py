@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, materialise, table, text_of
+from .common import blocks, materialise, table, text_of, unlike
 from .components import connected_components
 
 SEED = 42
@@ -174,19 +174,21 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str
 
     All columns stay.  Null ids come last.  Where rows share an id, or have
     none, the smallest fingerprint among them decides; of rows that are equal in
-    both, any one stays.
+    both, the one whose columns (but for maps) have the smallest hash stays.
     """
     rows, of = _groups(docs, shingle, bits, id_col, text_col)
-    keep = of.where("fp = first.fp").select(F.col("component_id").alias("_keep_id"), F.col("fp").alias("_keep_fp"))
+    keep_id, keep_fp, several_id, into = unlike(docs, "_keep_id", "_keep_fp", "_several_id", "_keep_fp_of")
+    keep = of.where("fp = first.fp").select(F.col("component_id").alias(keep_id), F.col("fp").alias(keep_fp))
     several = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null")
-    several = materialise(several.select(F.col("id").alias("_several_id")), "simhash-several")
-    d = docs.alias("d")
-    mine, into = F.col(f"d.{id_col}"), "_keep_fp_of"
-    once = keep.join(several, F.col("_keep_id").eqNullSafe(F.col("_several_id")), "left_anti")
-    one = d.join(once, mine == F.col("_keep_id"), "left_semi")
-    some = fingerprints(d.join(several, mine.eqNullSafe(F.col("_several_id")), "left_semi"), shingle, text_col, into)
-    some = some.dropDuplicates([id_col, into])
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col(into) == F.col("_keep_fp"))
+    several = materialise(several.select(F.col("id").alias(several_id)), "simhash-several")
+    mine = F.col(id_col)
+    once = keep.join(several, F.col(keep_id).eqNullSafe(F.col(several_id)), "left_anti")
+    one = docs.join(once, mine == F.col(keep_id), "left_semi")
+    some = fingerprints(docs.join(several, mine.eqNullSafe(F.col(several_id)), "left_semi"), shingle, text_col, into)
+    hashed = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    some = some.groupBy(id_col, into).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), hashed).alias("row"))
+    some = some.select("row.*", F.col(into).alias(into))
+    same = mine.eqNullSafe(F.col(keep_id)) & (F.col(into) == F.col(keep_fp))
     return one.unionByName(some.join(keep, same, "left_semi").drop(into))
 
 

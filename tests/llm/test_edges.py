@@ -97,6 +97,47 @@ def test_filters_keep_columns(spark, docs, items, labels):
     assert quality.keep_good(docs, labels.limit(0)).count() == len(ROWS)
 
 
+HELPERS = ("_hit_id", "_hit_key", "_gone_id", "_gone_key", "_label_id", "_label_good", "_label_fit", "_keep_id", "_KEEP_FP", "_several_id",
+           "_keep_fp_of", "key", "text_key")
+
+
+def test_filters_with_clashing_helper_names(spark, docs, items, labels):
+    plain = docs.select("doc_id", "text")
+    clash = plain.selectExpr("*", *(f"'clash' AS `{c}`" for c in HELPERS))
+    for run in (lambda d: simhash.simhash_dedup(d), lambda d: decontaminate.decontaminate(d, items), lambda d: quality.keep_good(d, labels)):
+        out = run(clash)
+        assert out.columns == clash.columns
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+        assert sorted(map(key, out.select("doc_id", "text").collect())) == sorted(map(key, run(plain).collect()))
+
+
+def test_rows_without_or_with_a_shared_id_are_judged_by_their_own_text(spark, labels):
+    text = "one two three four five six seven eight nine ten eleven"
+    rows = [(None, text), (None, "clean"), (None, None), (7, text), (7, "clean too"), (8, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    left = [tuple(r) for r in decontaminate.decontaminate(docs, items).collect()]
+    assert sorted(left, key=str) == sorted([r for r in rows if r[1] != text], key=str)
+
+    good, bad = "good words here and there", "junk junk $$$ junk"
+    rows = [(i, f"{good} {i}") for i in range(60)] + [(i, f"{bad} {i}") for i in range(60, 120)]
+    rows += [(None, f"{good} x"), (None, f"{bad} x"), (5, f"{bad} y"), (70, f"{good} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(120) if i not in (5, 70)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    judged = {(r.id, r.text): r.keep for r in quality.resample(docs.withColumnRenamed("text", "body"), model, text_col="body", carry=["body"])
+              .withColumnRenamed("body", "text").collect()}
+    left = {tuple(r) for r in quality.keep_good(docs, labels).collect()}
+    assert left == {r for r, keep in judged.items() if keep} and len({judged[r] for r in rows[-4:]}) == 2
+
+
+def test_dedup_of_equal_ids_and_texts_is_determined(spark):
+    rows = [(1, "same text", f"v{k}") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    kept = {tuple(simhash.simhash_dedup(docs.repartition(n)).collect()) for n in (1, 3, 7)}
+    assert len(kept) == 1
+
+
 def test_pages_edges(spark):
     urls = [None, "", "no scheme", "https://", "HTTP://WWW.Example.com/en/x", "http://a.net/es/", "http://a.net", "x://com/?q=://b",
             "http://com/en", "http://example.com/en/", "http://xexample.com/en/", "http://org/" + "a" * 50_000]
