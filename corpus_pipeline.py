@@ -1,61 +1,8 @@
-"""The document pipeline: five stages over ``documents``, each written and reread as the next one's input.
+"""The document pipeline: quality classifier -> near duplicates -> decontamination -> secrets -> packing.
 
-quality classifier -> near duplicates -> benchmark contamination -> secrets -> packing.
-The first four keep the columns of ``documents``; the last gives the pieces of
-the packed sequences.
+Its stages are part of the training-text operators; see ``spokes/llm/pipeline.py``.
 """
 
-from __future__ import annotations
+from spokes.llm.pipeline import ORACLE_SQL, STAGES, run
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from spokes.llm import decontaminate, packing, quality, secrets, simhash
-from spokes.llm.common import materialise, table
-
-
-def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, the one with the smallest id."""
-    return simhash.simhash_dedup(docs, shingle=3, bits=2)
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a window of a benchmark item go."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-
-
-def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; ``n_chars`` follows the text."""
-    clean = secrets.redact_secrets(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-
-
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
-
-
-STAGES = [
-    ("quality classifier", keep_quality),
-    ("near duplicates", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("secret scan", redact_secrets),
-    ("packing", pack_sequences),
-]
-
-# Hashed models, fingerprints and tokenizers have no SQL form; tests compare each stage with a brute-force version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
