@@ -31,6 +31,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that others see whole or not at all."""
+    folder, _, name = path.rpartition("/")
+    hidden = f"{folder}/.{name}.tmp"
+    write_text(spark, hidden, text)
+    fs, p = _path(spark, path)
+    if not fs.rename(_path(spark, hidden)[1], p):
+        raise OSError(f"{path} could not be published")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file, whole."""
     fs, p = _path(spark, path)
@@ -39,3 +49,9 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(src)).decode()
     finally:
         src.close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder; none where there is no such folder."""
+    fs, p = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

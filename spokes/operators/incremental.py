@@ -16,6 +16,10 @@ the upsert itself is idempotent (replaying a batch yields the same table).  A
 row of the target that is newer than the batch's copy stays, so a late replay
 of an old batch changes nothing.
 
+The months that hold copies of a batch's rides are looked up in a key index
+(``key_index``), so no other month is read, and what an upsert retracted and
+inserted goes to the change feed (``changes``) for tables that follow the fact.
+
 The table's columns follow the newest batch: its schema is kept beside the data
 files and ``read_fact`` reads all of them by it, older files without a new
 column giving NULLs, so no untouched partition is rewritten.
@@ -27,13 +31,14 @@ import datetime as dt
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..fs import delete, exists, read_text, write_text
 from ..session import work_dir, written
-from . import facts
+from . import changes, facts
+from .key_index import KeyIndex
 
 LOW_WATERMARK = dt.datetime(1900, 1, 1)
 PARTITION = "started_month"
@@ -102,19 +107,22 @@ def write_fact(fct: DataFrame, path: str) -> None:
     ``REBALANCE(started_month)`` lets AQE size the write tasks: a month's rows
     land in few files instead of one file per (task, month), and a month
     holding a large share of all rides is split across tasks, not funnelled
-    into one.
+    into one.  The change feed gets a reset.
     """
+    spark, mark = fct.sparkSession, Observation()
+    seq = changes.begin(spark, path)
     (
-        fct.hint("rebalance", PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        fct.observe(mark, F.max("_ingested_at").alias("at")).hint("rebalance", PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy(PARTITION).parquet(path)
     )
-    _save_schema(fct.sparkSession, path, fct.schema)
-    _save_mark(fct.sparkSession, path, read_fact(fct.sparkSession, path))
+    _save_schema(spark, path, fct.schema)
+    _save_mark(spark, path, mark.get["at"] or LOW_WATERMARK)
+    changes.commit(spark, path, seq, changes.RESET)
 
 
-def _save_mark(spark: SparkSession, path: str, rows: DataFrame, least: dt.datetime = LOW_WATERMARK) -> None:
+def _save_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
     """Keep the high-water mark beside the table, so that a run without news reads nothing of it."""
-    write_text(spark, f"{path}/{MARK_FILE}", max(least, watermark(rows).first()[0]).isoformat())
+    write_text(spark, f"{path}/{MARK_FILE}", mark.isoformat())
 
 
 def read_mark(spark: SparkSession, path: str) -> dt.datetime:
@@ -170,12 +178,16 @@ def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     if killed is not None:
         incoming = incoming.union(killed.select(*stamped))
     incoming = incoming.groupBy(*keys).agg(F.max("_ingested_at").alias("_batch_at"))
-    # the target's copies of the batch's rides: a few columns of its scan, joined as their sizes advise
-    have = target.select(*stamped, PARTITION).join(incoming, keys)
+    # the target's copies of the batch's rides: a few columns of the months that the index names
+    index = KeyIndex.open(spark, path, target, keys)
+    found = index.lookup(incoming)
+    held = [r[0] for r in found.select(PARTITION).distinct().collect()]  # months, not rides
+    have = target.where(_in_months(held)).select(*stamped, PARTITION).join(incoming, keys)
     have = written(have.withColumn("_newer", F.coalesce(F.col("_ingested_at") > F.col("_batch_at"), F.lit(False))),
                     "fct-have")
     batch = batch.join(have.where("_newer"), keys, "left_anti")
     replaced = have.where("not _newer")
+    seq = changes.begin(spark, path)
     if target.schema.names != batch.schema.names:
         _save_schema(spark, path, batch.schema)
     months = batch.select(PARTITION).union(replaced.select(PARTITION)).distinct()
@@ -185,9 +197,11 @@ def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     if on_touch:
         on_touch(touched)
     mark = read_mark(spark, path)
-    hit = F.col(PARTITION).isin([m for m in touched if m is not None])
-    hit = hit | F.col(PARTITION).isNull() if None in touched else hit
-    merged = upsert(target.where(hit), batch, keys, replaced.select(*keys))
+    old = target.where(_in_months(touched))
+    merged = upsert(old, batch, keys, replaced.select(*keys))
+    gone = schema_sync(old, batch.schema).join(replaced.select(*keys), keys, "left_semi")
+    changes.stage(spark, path, seq, gone, batch)
+    index.add(batch, found)
     stage = work_dir(spark, "fct-stage")
     merged.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(stage)
     merged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
@@ -198,10 +212,16 @@ def upsert_rows(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     for month in set(touched) - left:
         delete(spark, f"{path}/{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
     spark.catalog.refreshByPath(path)
-    _save_mark(spark, path, batch, mark)
+    _save_mark(spark, path, max(mark, watermark(batch).first()[0]))
+    changes.commit(spark, path, seq)
     return batch.count()
 
 
+def _in_months(months: list) -> Column:
+    known = F.col(PARTITION).isin([m for m in months if m is not None])
+    return known | F.col(PARTITION).isNull() if None in months else known
+
+
 def run_incremental(spark: SparkSession, unioned: DataFrame, path: str, keys: Sequence[str] = ("ride_id",),
                     strict: bool = False, on_touch: Callable[[list], None] | None = None) -> int:
     """One watermark-driven incremental run against the Parquet fact at ``path``."""

@@ -590,10 +590,11 @@ def q_full_refresh_over_old(spark, sf):
     return incremental.read_fact(spark, path).select(*FCT_COLUMNS)
 
 
-def _moved_month_fact(spark, sf) -> str:
+def _moved_month_fact(spark, sf, before=lambda path: None) -> str:
     """The fact after a batch that republishes every ride of its first month 40 days later."""
     path, wh = work_dir(spark, "fct"), _wh(spark, sf)
     incremental.write_fact(wh.fct, path)
+    before(path)
     first = wh.fct.agg(F.min("started_month")).first()[0]
     ids = wh.fct.where(F.col("started_month") == F.lit(first)).select("ride_id")
     later = {c: F.col(c) + F.expr("interval 40 days") for c in ("started_at", "ended_at")}
@@ -824,6 +825,15 @@ def q_stream_daily_rollup(spark, sf):
     return streams.read_daily(spark, out)
 
 
+@register("daily_rollup_retraction")
+def q_daily_rollup_retraction(spark, sf):
+    """The daily mart of a stream that has seen the fact before and after a batch empties its first month."""
+    out, ckpt = work_dir(spark, "stream-daily"), work_dir(spark, "stream-ckpt")
+    path = _moved_month_fact(spark, sf, before=lambda fact: streams.stream_daily_rollup(spark, fact, out, ckpt))
+    streams.stream_daily_rollup(spark, path, out, ckpt)
+    return streams.read_daily(spark, out)
+
+
 # ---- tabulation-area layer and labels ------------------------------------------------------
 
 

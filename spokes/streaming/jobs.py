@@ -7,7 +7,7 @@
 * S2 ``stream_upsert``: ``foreachBatch`` runs the delete+insert upsert; it is
   idempotent, so the at-least-once replay of a failed batch is harmless.
 * S3 ``stream_dedup``: drops exact replays by comparing with the written table.
-* S4 ``stream_daily_rollup``: rolls the touched months up anew.
+* S4 ``stream_daily_rollup``: follows the fact's change feed, retractions included.
 
 Neither S3 nor S4 holds state or a watermark, so no late row is lost.
 All jobs run with ``trigger(availableNow=True)`` and return when caught up.
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..fs import exists
-from ..operators import incremental, staging
-from ..operators.marts import agg_rides_daily
-from ..schemas import DAILY_COLUMNS, RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
+from ..operators import changes, daily_view, incremental, staging
+from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
 from ..session import written
 from ..sources.trips_csv import route_system, source_name
 
@@ -112,27 +111,28 @@ def stream_dedup(spark: SparkSession, landing_glob: str, out_path: str, checkpoi
 
 
 def stream_daily_rollup(spark: SparkSession, fact_path: str, out_path: str, checkpoint: str) -> None:
-    """The daily mart, kept up with the fact's new files.
+    """The daily mart, kept up with what the fact's upserts retract and insert.
 
-    Each micro-batch names the months that it touches; these are rolled up anew
-    from the fact (whose partitions they are) and replace theirs.  No state is
-    held, late rides count, other months are not rewritten.
+    The stream reads the log of the fact's change feed; each micro-batch applies
+    its changes to the groups they touch (``daily_view``).  A fact without a feed
+    is rolled up once.  A month that loses its last ride leaves the mart, late
+    rides count, and a batch replayed after a failure changes nothing.
     """
-    schema = spark.read.parquet(fact_path).schema
-    fct = spark.readStream.schema(schema).parquet(fact_path)
+    if not exists(spark, changes.log_path(fact_path)):
+        changes.commit(spark, fact_path, changes.begin(spark, fact_path), changes.RESET)
+    log = spark.readStream.schema(changes.LOG_SCHEMA).json(changes.log_path(fact_path))
 
-    def replace_months(batch: DataFrame, batch_id: int) -> None:
+    def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        months = [r[0] for r in batch.select("started_month").distinct().collect()]
-        if months:
-            rides = session.read.schema(schema).parquet(fact_path).where(F.col("started_month").isin(months))
-            daily = agg_rides_daily(rides).withColumn("_month", F.trunc("started_date", "month"))
-            daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_month").parquet(
-                out_path)
+        entries = [tuple(r) for r in batch.select("seq", "kind").collect()]  # one for each upsert since the last run
+        if entries:
+            daily_view.follow(session, fact_path, lambda: incremental.read_fact(session, fact_path), out_path,
+                              sorted(s for s, kind in entries if kind == changes.CHANGES),
+                              reset=any(kind == changes.RESET for _, kind in entries))
 
-    _run(fct.writeStream.foreachBatch(replace_months).option("checkpointLocation", checkpoint))
+    _run(log.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
 def read_daily(spark: SparkSession, out_path: str) -> DataFrame:
     """The daily mart that the stream keeps."""
-    return spark.read.parquet(out_path).select(*DAILY_COLUMNS)
+    return daily_view.read(spark, out_path)
