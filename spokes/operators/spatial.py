@@ -3,34 +3,20 @@
 * Point-in-polygon: polygons are exploded to the grid cells their bounding
   box covers; points get their own cell; an equi-join on the cell id plus the
   exact ``within`` predicate (native ray casting) finds the containing zones.
-* Nearest centroid: an exact search on a grid instead of a cross join.  Each
-  pending point looks at the 3 x 3 cells around it; a hit within one cell is
-  provably the nearest; the rest retry with the cell doubled.
-* Overlay: candidate pairs from the same cell join, exact intersection areas
-  from a vectorised numpy kernel inside ``mapInPandas``.
+* Nearest centroid: ``nearest``, by leaves of equal counts instead of a cross join.
+* Overlay: ``overlay``, by pairs of triangles.
 """
 
 from __future__ import annotations
 
-import math
-import sys
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import geo
 from ..session import written
 from .dedup import latest_by_key
-
-# The overlay kernel runs on Python workers inside ``mapInPandas``.  Ship this
-# module's code with the task (pickled by value) so executors need numpy and
-# pandas only, not an installed copy of this package.
-from pyspark import cloudpickle as _cloudpickle  # noqa: E402
-
-_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from .nearest import nearest
+from .overlay import polygon_overlay  # noqa: F401  part of this module's interface
 
 
 def _cells_of_bbox(bbox: Column, cell: float) -> Column:
@@ -82,78 +68,6 @@ def points_in_polygons(
     return pts.join(near, "_point", how).select(*points.columns, *names)
 
 
-def _bounds(df: DataFrame, x: str, y: str) -> tuple[float, float, float, float, int]:
-    r = df.agg(F.min(x), F.min(y), F.max(x), F.max(y), F.count(F.lit(1))).first()
-    return r[0], r[1], r[2], r[3], r[4]
-
-
-def nearest(
-    points: DataFrame,
-    targets: DataFrame,
-    pid: str,
-    tid: str,
-    px: str = "x",
-    py: str = "y",
-    tx: str = "x",
-    ty: str = "y",
-    cell: float | None = None,
-) -> DataFrame:
-    """Exact nearest target per point in planar units, ties -> smallest target id.
-
-    Returns (pid, tid, distance).  No cross join: targets are bucketed on a
-    grid (cell ~ their mean spacing unless given); each round joins the
-    pending points' 3 x 3 neighbour cells to the bucketed targets, keeps points
-    whose best candidate lies within one cell (nothing outside the searched
-    block can be nearer) and doubles the cell for the others, so a round
-    probes nine cells a point however far its target is.  Only min/max bounds
-    (five numbers per side) reach the driver.
-    """
-    # Both inputs are re-read once per round: cut their lineage first so a
-    # round does not recompute the upstream chain (reliable checkpoint in the
-    # shared spark.checkpoint.dir, survives executor loss).
-    targets = targets.select(tid, tx, ty).checkpoint()
-    points = points.select(pid, px, py).checkpoint()
-    txmin, tymin, txmax, tymax, n = _bounds(targets, tx, ty)
-    if n == 0:
-        return points.select(pid).withColumn(tid, F.lit(None)).withColumn("distance", F.lit(None).cast("double"))
-    if cell is None:
-        span = max(txmax - txmin, tymax - tymin, 1e-9)
-        cell = max(span / math.sqrt(n), 1e-9)
-    pxmin, pymin, pxmax, pymax, m = _bounds(points, px, py)
-    if m == 0:
-        return points.select(pid).withColumn(tid, F.lit(None)).withColumn("distance", F.lit(None).cast("double"))
-    reach = max(abs(pxmax - txmin), abs(txmax - pxmin), abs(pymax - tymin), abs(tymax - pymin))
-    base = targets.select(F.col(tid).alias("_tid"), F.col(tx).alias("_tx"), F.col(ty).alias("_ty"))
-    pending = points.select(F.col(pid).alias("_pid"), F.col(px).alias("_px"), F.col(py).alias("_py"))
-    found: list[DataFrame] = []
-    while True:
-        final = cell > reach  # the block spans every target
-        tg = base.withColumns({"_tcx": F.floor(F.col("_tx") / cell), "_tcy": F.floor(F.col("_ty") / cell)})
-        probe = pending.select("*", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("_dx"))
-        probe = probe.select("*", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("_dy")).withColumns(
-            {"_cx": F.floor(F.col("_px") / cell) + F.col("_dx"), "_cy": F.floor(F.col("_py") / cell) + F.col("_dy")}
-        )
-        j = probe.join(tg, (probe["_cx"] == tg["_tcx"]) & (probe["_cy"] == tg["_tcy"]))
-        dist = F.sqrt((F.col("_px") - F.col("_tx")) ** 2 + (F.col("_py") - F.col("_ty")) ** 2)
-        best = j.withColumn("_d", dist).groupBy("_pid").agg(
-            F.min_by(F.struct("_tid", "_d"), F.struct("_d", "_tid")).alias("b")
-        ).select("_pid", F.col("b._tid").alias("_tid"), F.col("b._d").alias("_d"))
-        done = best if final else best.where(F.col("_d") <= F.lit(cell))
-        found.append(done)
-        if final:
-            break
-        done = done.checkpoint()
-        found[-1] = done
-        pending = pending.join(done.select("_pid"), "_pid", "left_anti").checkpoint()
-        if pending.isEmpty():
-            break
-        cell *= 2
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select(F.col("_pid").alias(pid), F.col("_tid").alias(tid), F.col("_d").alias("distance"))
-
-
 def project_points(df: DataFrame, x: str = "lng", y: str = "lat", zone: int = 18) -> DataFrame:
     p = geo.utm(F.col(x), F.col(y), zone)
     return df.withColumns({"ux": p["x"], "uy": p["y"]})
@@ -194,137 +108,6 @@ def assign_stations(
     return latest_by_key(both, [station_col], [zone_col]).orderBy(station_col)
 
 
-# ---- overlay ------------------------------------------------------------------------------
-
-_OVERLAY_OUT = T.StructType(
-    [T.StructField("a_id", T.StringType()), T.StructField("b_id", T.StringType()),
-     *(T.StructField(c, T.DoubleType()) for c in ("area", "a_area", "b_area"))]
-)
-
-
-def _fan_triangles(multi) -> tuple[np.ndarray, np.ndarray]:
-    """Signed fan triangles (about the first vertex of each ring) of a multipolygon.
-
-    Returns (k, 3, 2) vertices in counter-clockwise order and (k,) signs so that
-    area(P) = sum(sign * area(triangle)); holes get the opposite sign.
-    """
-    tris, signs = [], []
-    for poly in multi:
-        for ri, ring in enumerate(poly):
-            pts = np.asarray([(p["x"], p["y"]) for p in ring], dtype=float)
-            if len(pts) > 1 and np.allclose(pts[0], pts[-1]):
-                pts = pts[:-1]
-            if len(pts) < 3:
-                continue
-            o = pts[0]
-            a, b = pts[1:-1], pts[2:]
-            cross = (a[:, 0] - o[0]) * (b[:, 1] - o[1]) - (a[:, 1] - o[1]) * (b[:, 0] - o[0])
-            ring_sign = np.sign(np.sum(cross)) or 1.0
-            want = 1.0 if ri == 0 else -1.0
-            for ai, bi, c in zip(a, b, cross):
-                if c == 0:
-                    continue
-                tri = np.array([o, ai, bi]) if c > 0 else np.array([o, bi, ai])
-                tris.append(tri)
-                signs.append(np.sign(c) * ring_sign * want)
-    if not tris:
-        return np.zeros((0, 3, 2)), np.zeros(0)
-    return np.stack(tris), np.asarray(signs)
-
-
-def _clip_area(subject: np.ndarray, clip: np.ndarray) -> float:
-    """Area of convex polygon ``subject`` clipped by convex CCW polygon ``clip`` (Sutherland-Hodgman)."""
-    out = list(subject)
-    n = len(clip)
-    for i in range(n):
-        if not out:
-            return 0.0
-        a, b = clip[i], clip[(i + 1) % n]
-        ex, ey = b[0] - a[0], b[1] - a[1]
-        inp, out = out, []
-        for j in range(len(inp)):
-            p, q = inp[j], inp[(j + 1) % len(inp)]
-            sp = ex * (p[1] - a[1]) - ey * (p[0] - a[0])
-            sq = ex * (q[1] - a[1]) - ey * (q[0] - a[0])
-            if sp >= 0:
-                out.append(p)
-            if (sp >= 0) != (sq >= 0):
-                t = sp / (sp - sq)
-                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-    if len(out) < 3:
-        return 0.0
-    arr = np.asarray(out)
-    x, y = arr[:, 0], arr[:, 1]
-    return 0.5 * abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))
-
-
-def intersection_area(a_multi, b_multi) -> float:
-    """Exact area(A ∩ B) = ΣΣ s_i s_j area(T_i ∩ T_j) over signed fan triangles."""
-    ta, sa = _fan_triangles(a_multi)
-    tb, sb = _fan_triangles(b_multi)
-    if len(ta) == 0 or len(tb) == 0:
-        return 0.0
-    # Local origin keeps the clipping arithmetic well conditioned.
-    o = ta[0, 0].copy()
-    ta, tb = ta - o, tb - o
-    amin, amax = ta.min(axis=1), ta.max(axis=1)
-    bmin, bmax = tb.min(axis=1), tb.max(axis=1)
-    total = 0.0
-    for i in range(len(ta)):
-        hit = np.nonzero(
-            (bmin[:, 0] <= amax[i, 0]) & (bmax[:, 0] >= amin[i, 0]) & (bmin[:, 1] <= amax[i, 1]) & (bmax[:, 1] >= amin[i, 1])
-        )[0]
-        for j in hit:
-            total += sa[i] * sb[j] * _clip_area(ta[i], tb[j])
-    return total
-
-
-def _signed_area(tris: np.ndarray, signs: np.ndarray) -> float:
-    u, v = tris[:, 1] - tris[:, 0], tris[:, 2] - tris[:, 0]
-    return float(np.sum(signs * 0.5 * np.abs(u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0])))
-
-
-def _overlay_batches(batches):
-    for pdf in batches:
-        rows = []
-        for a_id, b_id, ga, gb in zip(pdf["a_id"], pdf["b_id"], pdf["a_geom"], pdf["b_geom"]):
-            a_area, b_area = (_signed_area(*_fan_triangles(g)) for g in (ga, gb))
-            rows.append((a_id, b_id, intersection_area(ga, gb), a_area, b_area))
-        yield pd.DataFrame(rows, columns=["a_id", "b_id", "area", "a_area", "b_area"])
-
-
-def polygon_overlay(
-    a: DataFrame, b: DataFrame, a_id: str, b_id: str, geom_col: str = "geometry",
-    project_utm: int | None = 18, cell: float = 0.05, rel_tol: float = 1e-12,
-) -> DataFrame:
-    """Pairwise intersections of two polygon layers with their areas.
-
-    Output (a_id, b_id, area, b_area, weight = area / b_area), pairs with a
-    positive intersection only.  Candidate pairs come from a cell equi-join of
-    the two layers' covering cells (de-duplicated), so only bbox neighbours
-    reach the numpy kernel, which runs per Arrow batch in ``mapInPandas``.
-    ``project_utm=None`` keeps planar input units.
-    """
-    def prep(df, idc, tag):
-        g = F.col(geom_col) if project_utm is None else geo.project_multi(F.col(geom_col), project_utm)
-        return df.select(F.col(idc).cast("string").alias(f"{tag}_id"), g.alias(f"{tag}_geom"))
-
-    pa, pb = prep(a, a_id, "a"), prep(b, b_id, "b")
-    # Cell size in the units of the (projected) layer.
-    unit_cell = cell if project_utm is None else cell * 111_000.0
-    ca = polygon_cells(pa, "a_geom", unit_cell).select("a_id", "_cx", "_cy")
-    cb = polygon_cells(pb, "b_geom", unit_cell).select("b_id", "_cx", "_cy")
-    pairs = ca.join(cb, ["_cx", "_cy"]).select("a_id", "b_id").distinct()
-    cand = pairs.join(pa, "a_id").join(pb, "b_id")
-    areas = cand.select("a_id", "b_id", "a_geom", "b_geom").mapInPandas(_overlay_batches, _OVERLAY_OUT)
-    # signed triangles leave rounding dust where two outlines only touch: dust is relative to the two areas
-    dust = F.lit(rel_tol) * F.least(F.col("a_area"), F.col("b_area"))
-    return areas.where(F.col("area") > dust).select(
-        F.col("a_id").alias(a_id), F.col("b_id").alias(b_id), "area", "b_area",
-        (F.col("area") / F.col("b_area")).alias("weight"),
-    )
-
-
 def area_weighted_population(overlay: DataFrame, source: DataFrame, zone_col: str, src_col: str,
                              corrected_income: bool = False) -> DataFrame:
     """Interpolate source-unit counts onto zones by area share.

@@ -475,13 +475,50 @@ def q_nearest_many(spark, sf):
     return near.select("c_custkey", "s_suppkey", "distance")
 
 
+@register("nearest_uneven")
+def q_nearest_uneven(spark, sf):
+    """As above, but one supplier is far off, a third of them are at one place and a third in a crowd of 100 x 100."""
+    k = F.col("s_suppkey")
+    x, y = (k * 7919 % 100003).cast("double"), (k * k % 99991).cast("double")
+
+    def placed(c, far, spread):
+        return F.when(k == 1, far).when(k % 3 == 0, 40000.0).when(k % 3 == 1, F.floor(c / 1000.0) + spread).otherwise(c)
+
+    suppliers = zone_src.table(spark, sf, "supplier").select(k.alias("s_suppkey"), placed(x, -1e9, 60000.0).alias("x"),
+                                                            placed(y, -1e9, 20000.0).alias("y"))
+    c = F.col("c_custkey")
+    customers = zone_src.table(spark, sf, "customer").select(
+        c.alias("c_custkey"), (c * 7919 % 100003).cast("double").alias("x"), (c * c % 99991).cast("double").alias("y"))
+    return spatial.nearest(customers, suppliers, "c_custkey", "s_suppkey").select("c_custkey", "s_suppkey", "distance")
+
+
 @register("polygon_overlay_utm")
 def q_polygon_overlay_utm(spark, sf):
-    """The source's overlay: both layers projected to UTM 18N, areas in m².
-    No SQL twin (exact UTM polygon intersection); tests compare it with the
-    planar overlay within the projection's distortion."""
+    """The source's overlay: both layers projected to UTM 18N, areas in m² (of each cell's corners joined by straight lines)."""
     ov = spatial.polygon_overlay(_cells(spark, sf), _tiles(spark, sf), "zone", "tile_id")
-    return ov.select("zone", "tile_id", F.round(F.col("area"), 3).alias("area_m2"), F.round(F.col("weight"), 6).alias("weight"))
+    return ov.select("zone", "tile_id", F.round(F.col("area"), 0).alias("area_m2"), F.round(F.col("weight"), 6).alias("weight"))
+
+
+@register("overlay_many")
+def q_overlay_many(spark, sf):
+    """Shared areas of rectangles from customers and suppliers, both growing with the tables; half the rings are open,
+    customers' have a square hole."""
+    def at(k):
+        return (k * 37 % 997).cast("double"), (k * 101 % 991).cast("double")
+
+    def ring(k, x0, y0, w, h):
+        whole = F.array(*(geo.point(px, py) for px, py in ((x0, y0), (x0 + w, y0), (x0 + w, y0 + h), (x0, y0 + h), (x0, y0))))
+        return F.when(k % 2 == 0, whole).otherwise(F.slice(whole, 1, 4))
+
+    c, s = F.col("c_custkey"), F.col("s_suppkey")
+    (cx, cy), (sx, sy) = at(c), at(s)
+    customers = zone_src.table(spark, sf, "customer").select(c.alias("c_custkey"), F.array(F.array(
+        ring(c, cx, cy, 8.0, 6.0), ring(c + 1, cx + 2.0, cy + 2.0, 2.0, 2.0))).alias("geometry"))
+    suppliers = zone_src.table(spark, sf, "supplier").select(s.alias("s_suppkey"), F.array(F.array(
+        ring(s, sx, sy, 20.0 + (s % 5).cast("double"), 15.0))).alias("geometry"))
+    ov = spatial.polygon_overlay(customers, suppliers, "c_custkey", "s_suppkey", project_utm=None, cell=25.0)
+    return ov.select(F.col("c_custkey").cast("long"), F.col("s_suppkey").cast("long"), F.round("area", 6).alias("area"),
+                     F.round("weight", 9).alias("weight"))
 
 
 @register("area_weighted_population")

@@ -36,7 +36,7 @@ def test_point_in_polygon_boundary_and_hole(spark):
 def test_nearest_exact_and_ties_by_id(spark):
     targets = spark.createDataFrame([("b", 0.0, 10.0), ("a", 0.0, -10.0), ("c", 100.0, 100.0)], "tid string, x double, y double")
     pts = spark.createDataFrame([("p", 0.0, 0.0), ("q", 99.0, 99.0), ("far", 1000.0, 1000.0)], "pid string, x double, y double")
-    got = {r["pid"]: r["tid"] for r in spatial.nearest(pts, targets, "pid", "tid", cell=1.0).collect()}
+    got = {r["pid"]: r["tid"] for r in spatial.nearest(pts, targets, "pid", "tid").collect()}
     assert got == {"p": "a", "q": "c", "far": "c"}
 
 
@@ -108,3 +108,59 @@ def test_utm_overlay_matches_planar_within_distortion(spark):
     planar = {(r["zone"], r["tile_id"]): r["weight"] for r in registry.REGISTRY["polygon_overlay"](spark, SF_SMALL).collect()}
     assert set(utm) == set(planar) and len(utm) > 0
     assert max(abs(utm[k] - planar[k]) for k in utm) < 2e-3
+
+
+def test_open_rings_keep_their_last_vertex(spark):
+    """A last vertex near the first one (as seen from UTM coordinates) is a vertex, an equal one closes the ring."""
+    x, y = 500_000.0, 4_300_000.0
+    whole = [[x, y], [x + 80, y], [x + 80, y + 80], [x + 3, y + 80], [x, y + 40]]
+    a = _layer(spark, [("open", [[whole]]), ("closed", [[whole + whole[:1]]]), ("clockwise", [[whole[::-1]]])])
+    b = _layer(spark, [("all", [[[[x - 10, y - 10], [x + 100, y - 10], [x + 100, y + 100], [x - 10, y + 100]]]])]).withColumnRenamed("zone", "tile")
+    got = {r.zone: r.area for r in spatial.polygon_overlay(a, b, "zone", "tile", project_utm=None, cell=1000.0).collect()}
+    want = 80 * 80 - 3 * 40 / 2
+    assert got == {k: pytest.approx(want, rel=1e-9) for k in ("open", "closed", "clockwise")}
+
+
+def test_shared_areas_of_triangles():
+    """The batched clipping against areas counted pair by pair."""
+    import numpy as np
+
+    from spokes.operators.overlay import shared_areas
+
+    rng = np.random.default_rng(0)
+    t = rng.uniform(0, 4, (400, 2, 3, 2))
+    t[::7, 1] = t[::7, 0]  # the same triangle
+    t[::11, 1, :, 0] += 10  # apart
+    turn = (
+        (t[:, :, 1, 0] - t[:, :, 0, 0]) * (t[:, :, 2, 1] - t[:, :, 0, 1]) - (t[:, :, 1, 1] - t[:, :, 0, 1]) * (t[:, :, 2, 0] - t[:, :, 0, 0]))
+    t[turn < 0] = t[turn < 0][:, ::-1]
+    got = shared_areas(t[:, 0], t[:, 1])
+    own = np.abs(turn) / 2
+    assert np.allclose(got[::7], own[::7, 0] * (np.arange(0, 400, 7) % 11 != 0)) and not got[::11].any()
+    grid = np.stack(np.meshgrid(*[np.arange(0.01, 4, 0.02)] * 2), axis=-1).reshape(-1, 2)
+
+    def inside(tri):
+        out = np.ones(len(grid), bool)
+        for k in range(3):
+            p, q = tri[k], tri[(k + 1) % 3]
+            out &= (q[0] - p[0]) * (grid[:, 1] - p[1]) - (q[1] - p[1]) * (grid[:, 0] - p[0]) >= 0
+        return out
+
+    for i in range(60):
+        assert got[i] == pytest.approx((inside(t[i, 0]) & inside(t[i, 1])).sum() * 4e-4, abs=0.08)
+
+
+def test_nearest_by_leaves_equals_all_pairs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    targets = np.concatenate([rng.uniform(0, 100, (300, 2)), np.full((200, 2), 50.0), 50 + rng.normal(0, 1e-4, (300, 2)), [[-1e8, 3e7]]])
+    points = np.concatenate([rng.uniform(-50, 150, (400, 2)), 50 + rng.normal(0, 1e-3, (200, 2)), [[-1e8, 0.0], [50.0, 50.0]]])
+    t = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(targets)] + [(-1, None, 1.0), (-2, 1.0, float("nan"))],
+                              "tid long, x double, y double")
+    p = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(points)] + [(-1, None, 0.0)], "pid long, x double, y double")
+    for leaf in (1, 4, 32):
+        got = {r.pid: (r.tid, r.distance) for r in spatial.nearest(p, t, "pid", "tid", leaf=leaf).collect()}
+        d = np.sqrt(((points[:, None] - targets[None]) ** 2).sum(axis=2))
+        assert got == {i: (int(d[i].argmin()), float(d[i].min())) for i in range(len(points))}
+    assert {r.tid for r in spatial.nearest(p, t.limit(0), "pid", "tid").collect()} == {None}
