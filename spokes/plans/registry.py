@@ -20,6 +20,7 @@ from ..operators import facts, incremental, kpis, marts, quality, spatial, stati
 from ..operators import staging as staging_ops
 from ..schemas import FCT_COLUMNS
 from ..session import work_dir
+from ..sources.json_documents import write_document
 from ..sources import census, fixtures, geojson, seeds, trips_csv
 from ..sources import zones as zone_src
 from ..streaming import jobs as streams
@@ -792,6 +793,43 @@ def census_file(spark, sf) -> str:
     return path
 
 
+@register("feature_collection")
+def q_feature_collection(spark, sf):
+    """Polygons of two parts with a hole, one for every supplier, written as a FeatureCollection and read back."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    s = zone_src.table(spark, sf, "supplier").select("s_suppkey", F.concat("s_name", F.lit(' "]}{[\\\n')).alias("label"))
+    path = f"{work_dir(spark, 'collection')}/layer.geojson"
+    geojson.write_feature_collection(s.join(_holed_layer(spark, sf), "s_suppkey"), path, ["s_suppkey", "label"])
+    f = geojson.read_features(spark, path, _parse_datatype_string("s_suppkey long, label string"))
+    return f.select("s_suppkey", "label", "geometry_type", F.size("geometry").alias("n_parts"), F.size(F.col("geometry")[0]).alias("n_rings"),
+                    F.round(F.col("geometry")[0][1][2]["x"], 6).alias("hole_x"), F.round(F.col("geometry")[1][0][2]["y"], 6).alias("part_y"))
+
+
+def census_document(spark, sf, line: str) -> str:
+    """A response as the API sends it, with block groups: a row for every customer, in one document."""
+    c = F.col("c_custkey")
+    row = F.array(
+        F.concat(F.lit('Block Group "'), (c % 9).cast("string"), F.lit('", ['), F.col("c_name"), F.lit("]")),
+        F.when(c % 7 == 0, F.lit(None)).otherwise((c * 13 % 4001).cast("string")), (c * 7 % 1999).cast("string"),
+        F.when(c % 5 == 0, F.lit(str(census.SUPPRESSED))).otherwise((c * 31 % 250007).cast("string")),
+        F.lit("11"), F.lit("001"), F.lpad((c % 999983).cast("string"), 6, "0"), (c % 9).cast("string"))
+    head = '[["NAME","%s","%s","%s","state","county","tract","block group"],' % (census.POPULATION, census.HOUSEHOLDS, census.MEDIAN_INCOME)
+    path = f"{work_dir(spark, 'census')}/response.json"
+    write_document(zone_src.table(spark, sf, "customer").select(F.to_json(row).alias("value")), path, head + line, "]", line)
+    return path
+
+
+@register("census_one_line")
+def q_census_one_line(spark, sf):
+    return census.clean(census.read_census(spark, census_document(spark, sf, " ")))
+
+
+@register("census_block_groups")
+def q_census_block_groups(spark, sf):
+    return census.labels(census.read_census(spark, census_document(spark, sf, "\n  ")))
+
+
 @register("census_rows")
 def q_census_rows(spark, sf):
     return census.read_census(spark, census_file(spark, sf))

@@ -1,9 +1,9 @@
 """Census API responses.
 
-A response is a JSON array of string arrays, header first, one row per line
-as the API returns it.  Lines are parsed in parallel; the header row is
-recognised by its first cell (``NAME``) and its column positions are read
-once.
+A response is a JSON array of string arrays, header first, on one line or many
+(lines of arrays without the outer brackets are read too).  Splits of a file are
+parsed in parallel; the header row is recognised by its first cell (``NAME``)
+and its column positions are read once.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
+from .json_documents import elements
+
 # Census variable codes and the suppression sentinel.
 POPULATION = "B01003_001E"
 HOUSEHOLDS = "B11001_001E"
@@ -19,15 +22,13 @@ SUPPRESSED = -666666666
 
 
 def _source() -> Column:
-    """The response a line belongs to: its file, or the folder of part files that Spark wrote it as."""
-    return F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "")
+    """The response a row belongs to: its file, or the folder of part files that Spark wrote it as."""
+    return F.regexp_replace(F.col("file"), r"/part-[^/]*$", "")
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).select(F.trim(F.col("value")).alias("v"), _source().alias("file"))
-    body = F.regexp_replace(F.regexp_replace(F.col("v"), r"^\[?(\[.*\])\]?,?$", "$1"), r"\s+$", "")
-    cells = F.from_json(body, "array<string>")
-    return lines.select("file", cells.alias("cells")).where(F.col("cells").isNotNull() & (F.size("cells") > 0))
+    rows = elements(spark, path, end="]").select(_source().alias("file"), F.from_json("text", "array<string>").alias("cells"))
+    return written(rows.where(F.size("cells") > 0), "census-rows")
 
 
 def read_census(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +43,10 @@ def read_census(spark: SparkSession, path: str) -> DataFrame:
         F.min("n").alias("_")).orderBy(F.col("n") != "NAME", "n").collect()]  # the census columns in use
     if not names:
         raise ValueError(f"no header row in {path}")
-    data = rows.where(~is_header).join(headers, "file").withColumn("row", F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i))))
+    body = rows.where(~F.coalesce(is_header, F.lit(False)))
+    if body.isEmpty():
+        raise ValueError(f"no data row in {path}")
+    data = body.join(headers, "file").withColumn("row", F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i))))
     out = data.select(*[F.col("row")[n].alias(n.replace(" ", "_")) for n in names])
     parts = [c for c in ("state", "county", "tract", "block_group") if c in out.columns]
     return out.withColumn("geoid", F.concat(*[F.col(c) for c in parts]))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .json_documents import elements, write_document
+
 _POLY = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
 
@@ -35,13 +37,14 @@ def geometry_column(gtype: Column, coords_json: Column) -> Column:
 def read_features(spark: SparkSession, path: str, props: T.StructType, collection: bool = True) -> DataFrame:
     """FeatureCollection document(s) (``collection=True``) or GeoJSONSeq lines.
 
+    A document is read by as many tasks as it has splits, on one line or many.
     Returns the property columns, ``geometry_type`` and ``geometry``.
     Geometries other than (Multi)Polygon get a NULL geometry.
     """
     feat = _feature_schema(props)
     if collection:
-        doc = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feat))])
-        rows = spark.read.schema(doc).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+        # document { features [ feature {: the third bracket; other members may have objects as deep
+        rows = elements(spark, path, depth=3, end="}").select(F.from_json("text", feat).alias("f")).where("f.type = 'Feature'")
     else:
         rows = spark.read.schema(feat).json(path).select(F.struct("*").alias("f"))
     return rows.select(
@@ -67,3 +70,9 @@ def feature_json(df: DataFrame, prop_cols: list[str], geom_col: str = "geometry"
 def write_features(df: DataFrame, path: str, prop_cols: list[str], geom_col: str = "geometry") -> None:
     """GeoJSONSeq sink, one Feature per line, written by all tasks in parallel."""
     df.select(feature_json(df, prop_cols, geom_col).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_feature_collection(df: DataFrame, path: str, prop_cols: list[str], geom_col: str = "geometry") -> None:
+    """One FeatureCollection document, its features written by all tasks and joined on commit."""
+    rows = df.select(feature_json(df, prop_cols, geom_col).alias("value"))
+    write_document(rows, path, '{"type": "FeatureCollection", "features": [\n', "]}\n")
