@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from ..functions import geo
 from ..operators import facts, incremental, marts, quality, spatial, staging, stations
 from ..sources import census as census_src
-from ..sources import geojson, seeds, trips_csv
+from ..sources import geojson, manifest, seeds, trips_csv
 from ..fs import delete, exists, read_text, write_text
 from ..session import input_bytes, size_shuffles, written
 
@@ -154,20 +155,18 @@ def write_zone_mart(spark: SparkSession, mart: DataFrame, path: str, months: lis
     _replace_months(spark, mart, path, "started_month", months, F.desc("total_rides"))
 
 
-def _refresh_dim(spark: SparkSession, unioned: DataFrame, path: str, full: bool) -> None:
+def _refresh_dim(spark: SparkSession, raw: DataFrame, stage: Callable[[DataFrame], DataFrame], path: str, head: int, full: bool) -> None:
     """The station dimension: anew, or the written one merged with the rides landed since."""
-    mark_path = f"{path}_mark.txt"
-    if full or not exists(spark, path) or not exists(spark, mark_path):
-        dim, mark = stations.dim_stations(unioned), incremental.LOW_WATERMARK
-        news = unioned
+    done = None if full or not exists(spark, path) else incremental.read_landing(spark, path)
+    if done is None:
+        dim = stations.dim_stations(stage(raw))
+    elif done == head:
+        return
     else:
-        mark = dt.datetime.fromisoformat(read_text(spark, mark_path))
-        news = unioned.where(F.col("_ingested_at") > F.lit(mark).cast("timestamp_ntz"))
-        if news.isEmpty():
-            return
+        news = stage(raw.where(F.col(manifest.LANDING) > done))
         dim = written(stations.merge_dim(spark.read.parquet(path), news), "dim-merged")
     dim.write.mode("overwrite").parquet(path)
-    write_text(spark, mark_path, max(mark, incremental.watermark(news).first()[0]).isoformat())
+    incremental.save_landing(spark, path, head)
 
 
 def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None = None) -> dict[str, DataFrame]:
@@ -175,11 +174,13 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
     statuses = trips_csv.ingest(spark, cfg.landing, f"{cfg.root}/raw", cfg.patterns)
     if cfg.size_shuffles:
         size_shuffles(spark, input_bytes(spark, f"{cfg.root}/raw"))
-    raw = spark.read.parquet(f"{cfg.root}/raw")
+    raw, head = trips_csv.read_raw(spark, f"{cfg.root}/raw"), manifest.head(spark, f"{cfg.root}/raw")
     systems = sorted(cfg.patterns)
-    unioned = staging.union_rides(
-        *[staging.stage_trips(raw.where(F.col("system") == s), s, cfg.coord_type) for s in systems]
-    )
+
+    def stage(rows: DataFrame) -> DataFrame:
+        return staging.union_rides(*[staging.stage_trips(rows.where(F.col("system") == s), s, cfg.coord_type) for s in systems])
+
+    unioned = stage(raw)
 
     fct_path = f"{cfg.root}/fct_rides"
     full = cfg.full_refresh or not exists(spark, fct_path)
@@ -188,12 +189,13 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
     if full:
         pending.add(["all"])
         incremental.write_fact(facts.fct_rides(unioned, cfg.keys), fct_path)
+        incremental.save_landing(spark, fct_path, head)
     else:
-        incremental.run_incremental(spark, unioned, fct_path, cfg.keys, on_touch=pending.add)
+        incremental.run_landings(spark, raw, stage, fct_path, head, cfg.keys, on_touch=pending.add)
     fct = incremental.read_fact(spark, fct_path)
     months = pending.months()  # None: all of them
 
-    _refresh_dim(spark, unioned, f"{cfg.root}/dim_stations", full)
+    _refresh_dim(spark, raw, stage, f"{cfg.root}/dim_stations", head, full)
     if months != []:
         daily = marts.agg_rides_daily(_of_months(fct, months)).withColumn("_month", F.trunc("started_date", "month"))
         _replace_months(spark, daily, f"{cfg.root}/agg_rides_daily", "_month", months)

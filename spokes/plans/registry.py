@@ -21,7 +21,7 @@ from ..operators import staging as staging_ops
 from ..schemas import FCT_COLUMNS
 from ..session import work_dir
 from ..sources.json_documents import write_document
-from ..sources import census, fixtures, geojson, seeds, trips_csv
+from ..sources import census, fixtures, geojson, manifest, seeds, trips_csv
 from ..sources import zones as zone_src
 from ..streaming import jobs as streams
 from . import warehouse
@@ -681,7 +681,7 @@ def landing_runs(spark, sf) -> dict[str, DataFrame]:
     trips_csv.write_raw_csvs(unioned.where(~first), landing)
     fixtures.table(spark, sf, "nation").write.option("header", True).csv(f"{landing}/notes.csv")
     files = trips_csv.landing_files(spark, landing, PATTERNS)
-    pending = trips_csv.unprocessed_files(files, spark.read.parquet(raw_root)).select("system", "file").distinct()
+    pending = trips_csv.unprocessed_files(files, manifest.loaded(spark, raw_root)).select("system", "file").distinct()
     pending = pending.checkpoint()
     s2 = trips_csv.ingest(spark, landing, raw_root, PATTERNS)
     s3 = trips_csv.ingest(spark, landing, raw_root, PATTERNS)
@@ -691,7 +691,7 @@ def landing_runs(spark, sf) -> dict[str, DataFrame]:
         "run1": s1,
         "run2": s2,
         "run3": s3,
-        "raw": spark.read.parquet(raw_root),
+        "raw": trips_csv.read_raw(spark, raw_root),
     }
 
 

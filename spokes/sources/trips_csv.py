@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..fs import exists
 from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
 from ..session import written
+from . import manifest
 
 # Filename patterns of the reference deployment (fixed values).
 REFERENCE_SYSTEM_PATTERNS = {
@@ -53,25 +54,17 @@ def landing_files(spark: SparkSession, landing: str, patterns: dict[str, str]) -
     return named.select("file", route_system(F.col("file"), patterns).alias("system"), "path")
 
 
-def loaded_files(raw: DataFrame | None) -> DataFrame | None:
-    return None if raw is None else raw.select("system", F.col("_source_file").alias("file")).distinct()
-
-
-def unprocessed_files(files: DataFrame, raw: DataFrame | None) -> DataFrame:
-    """Routed files whose name is not yet in the system's raw table."""
+def unprocessed_files(files: DataFrame, done: DataFrame) -> DataFrame:
+    """Routed files whose name the manifest doesn't have for their system."""
     known = files.where(F.col("system").isNotNull())
-    done = loaded_files(raw)
-    return known if done is None else known.join(done, ["system", "file"], "left_anti")
+    return known.join(done.select("system", "file"), ["system", "file"], "left_anti")
 
 
-def file_statuses(files: DataFrame, raw: DataFrame | None) -> DataFrame:
+def file_statuses(files: DataFrame, done: DataFrame) -> DataFrame:
     """Per logical file: loaded (new) / skipped (unknown system or already loaded); a load may still fail."""
     logical = files.select("file", "system").distinct()
-    done = loaded_files(raw)
-    if done is not None:
-        logical = logical.join(done.withColumn("_done", F.lit(True)), ["system", "file"], "left")
-    else:
-        logical = logical.withColumn("_done", F.lit(None).cast("boolean"))
+    done = done.select("system", "file").distinct().withColumn("_done", F.lit(True))
+    logical = logical.join(done, ["system", "file"], "left")
     status = F.when(F.col("system").isNull() | F.col("_done").isNotNull(), "skipped").otherwise("loaded")
     return logical.select("file", "system", status.alias("status"))
 
@@ -104,31 +97,46 @@ def read_trip_csvs(spark: SparkSession, paths: list[str], patterns: dict[str, st
     )
 
 
+RAW_SCHEMA = StructType([*RAW_TRIP_SCHEMA.fields, StructField("_ingested_at", TimestampType()), StructField("_source_file", StringType()),
+                         StructField(manifest.LANDING, LongType()), StructField("system", StringType())])
+
+
+def read_raw(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The raw rows of all committed landings."""
+    return spark.read.schema(RAW_SCHEMA).parquet(raw_root).where(manifest.counts(spark, raw_root))
+
+
 def ingest(spark: SparkSession, landing: str, raw_root: str, patterns: dict[str, str]) -> DataFrame:
     """One idempotent load run; returns the per-file statuses of this run.
 
-    A file with a malformed row fails as a whole: none of its rows is appended,
-    the other files load, and a corrected file of that name loads next time.
-    Only names of new files reach the driver (to build the reader's path
-    list); rows are parsed once, into a staging table, and go from there to the
-    partitioned append.
+    What is loaded the manifest knows; the raw table isn't read.  A file with a
+    malformed row fails as a whole: none of its rows is appended, the other
+    files load, and a corrected file of that name loads next time.  Only names
+    of new files reach the driver (to build the reader's path list); rows are
+    parsed once, into a staging table, and go from there to the partitioned
+    append.  They count when the landing is committed.
     """
     files = landing_files(spark, landing, patterns)
-    raw = spark.read.parquet(raw_root) if exists(spark, raw_root) else None  # None on the first run
-    # Statuses are frozen before the append changes the raw table (reliable
-    # checkpoint in spark.checkpoint.dir, not a local one).
-    statuses = file_statuses(files, raw)
-    todo = [r["path"] for r in unprocessed_files(files, raw).select("path").collect()]
+    if exists(spark, raw_root) and not manifest.head(spark, raw_root):  # a table from before the manifest
+        held = spark.read.schema(RAW_SCHEMA).parquet(raw_root).select("system", "_source_file").distinct().collect()
+        manifest.commit(spark, raw_root, manifest.begin(spark, raw_root), [tuple(r) for r in held])
+    done = manifest.loaded(spark, raw_root)
+    # frozen before the commit changes the manifest (reliable checkpoint in spark.checkpoint.dir, not a local one)
+    statuses = file_statuses(files, done).checkpoint()
+    todo = [r["path"] for r in unprocessed_files(files, done).select("path").collect()]
     if not todo:
-        return statuses.checkpoint()
+        return statuses
+    number = manifest.begin(spark, raw_root)
     rows = written(read_trip_csvs(spark, todo, patterns), "landed")
     failed = rows.where("_malformed").select("system", F.col("_source_file").alias("file")).distinct()
     failed = written(failed, "failed-files")
     statuses = statuses.join(failed.withColumn("_failed", F.lit(True)), ["system", "file"], "left").select(
         "file", "system", F.when(F.col("_failed"), "failed").otherwise(F.col("status")).alias("status")).checkpoint()
     whole = rows.join(failed.withColumnRenamed("file", "_source_file"), ["system", "_source_file"], "left_anti")
-    cols = [*RAW_TRIP_COLUMNS, "_ingested_at", "_source_file", "system"]
-    whole.select(*cols).write.mode("append").partitionBy("system").parquet(raw_root)
+    whole = whole.withColumn(manifest.LANDING, F.lit(number).cast("long"))
+    whole.select(*RAW_SCHEMA.names).write.mode("append").partitionBy("system").parquet(raw_root)
+    loaded = statuses.where("status = 'loaded'").select("system", "file").collect()  # of this landing, as its paths
+    manifest.commit(spark, raw_root, number, [tuple(r) for r in loaded])
     return statuses
 
 
