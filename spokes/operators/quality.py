@@ -83,25 +83,22 @@ def run_checks(df: DataFrame, suite: ModelChecks) -> DataFrame:
     parts: list[DataFrame] = []
     if row_checks:
         # first by the checked value columns (few combinations), then over these groups: the distinct
-        # values outside a list are counted without a copy of every row for each list
+        # values outside a list are a grouped count of their own, without a copy of every row for each list
         listed = sorted({c.columns[0] for c in row_checks if c.kind == "accepted_values"})
         nulls = [c for c in row_checks if c.kind == "not_null"]
         groups = df.groupBy(*listed).agg(F.count(F.lit(1)).alias("_rows"), *[
             F.count_if(F.col(c.columns[0]).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)])
-        exprs = [F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(c.name) for i, c in enumerate(nulls)]
-        for c in row_checks:
-            if c.kind == "accepted_values":
-                col = F.col(c.columns[0])
-                exprs.append(F.size(F.collect_set(F.when(~col.isin(list(c.values)), col))).alias(c.name))
-        wide = groups.agg(*exprs)
-        parts.append(
-            wide.select(
-                F.explode(
-                    F.array(*[F.struct(F.lit(c.name).alias("test"), F.col(c.name).cast("bigint").alias("failures"))
-                              for c in row_checks])
-                ).alias("r")
-            ).select("r.*")
-        )
+        if nulls:
+            wide = groups.agg(*(F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(c.name) for i, c in enumerate(nulls)))
+            each = [F.struct(F.lit(c.name).alias("test"), F.col(c.name).cast("bigint").alias("failures")) for c in nulls]
+            parts.append(wide.select(F.inline(F.array(*each))))
+        values = [c for c in row_checks if c.kind == "accepted_values"]
+        if values:
+            each = [F.struct(F.lit(c.name).alias("test"), F.col(c.columns[0]).cast("string").alias("value"),
+                             F.coalesce(~F.col(c.columns[0]).isin(list(c.values)), F.lit(False)).alias("bad")) for c in values]
+            bad = groups.select(F.inline(F.array(*each))).where("bad").groupBy("test", "value").agg(F.lit(1)).groupBy("test").count()
+            tests = df.sparkSession.createDataFrame([(c.name,) for c in values], "test string")
+            parts.append(tests.join(bad, "test", "left").select("test", F.coalesce("count", F.lit(0)).cast("bigint").alias("failures")))
     for c in suite.checks:
         if c.kind in ("unique", "unique_combination"):
             v = unique_violations(df, c.columns)

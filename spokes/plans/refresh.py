@@ -8,6 +8,7 @@ from the last written table.  Tables live under ``root`` (a shared folder):
     root/fct_rides      ride fact, partitioned by started_month (incremental)
     root/dim_stations   station dimension (overwrite)
     root/agg_rides_daily
+    root/ride_counts, root/month_stations   the dashboard's counts and station sets by month
     root/agg_rides_by_<boundary>   zone x month marts (overwrite)
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
-from ..operators import facts, incremental, marts, quality, spatial, staging, stations
+from ..operators import facts, incremental, marts, quality, spatial, staging, stations, summary
 from ..sources import census as census_src
 from ..sources import geojson, manifest, seeds, trips_csv
 from ..fs import delete, exists, read_text, write_text
@@ -199,6 +200,7 @@ def refresh(spark: SparkSession, cfg: RefreshConfig, as_of: dt.datetime | None =
     if months != []:
         daily = marts.agg_rides_daily(_of_months(fct, months)).withColumn("_month", F.trunc("started_date", "month"))
         _replace_months(spark, daily, f"{cfg.root}/agg_rides_daily", "_month", months)
+        summary.update(spark, fct, cfg.root, months)
     if cfg.zone_layer:
         prop = T.StructType([T.StructField("zone_id", T.StringType()), T.StructField("GEOID", T.StringType())])
         layer = geojson.read_features(spark, cfg.zone_layer, prop).select("zone_id", "geometry")

@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from ..filters import RideFilter
 from ..functions import geo, labels
-from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, zones
+from ..operators import facts, incremental, kpis, marts, quality, spatial, stations, summary, zones
 from ..operators import staging as staging_ops
 from ..schemas import FCT_COLUMNS
 from ..session import work_dir
@@ -628,7 +628,7 @@ def q_full_refresh_over_old(spark, sf):
     return incremental.read_fact(spark, path).select(*FCT_COLUMNS)
 
 
-def _moved_month_fact(spark, sf, before=lambda path: None) -> str:
+def _moved_month_fact(spark, sf, before=lambda path: None, on_touch=None) -> str:
     """The fact after a batch that republishes every ride of its first month 40 days later."""
     path, wh = work_dir(spark, "fct"), _wh(spark, sf)
     incremental.write_fact(wh.fct, path)
@@ -638,7 +638,7 @@ def _moved_month_fact(spark, sf, before=lambda path: None) -> str:
     later = {c: F.col(c) + F.expr("interval 40 days") for c in ("started_at", "ended_at")}
     at = F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")
     moved = wh.unioned.join(ids, "ride_id", "left_semi").withColumns({**later, "_ingested_at": at})
-    incremental.apply_batch(spark, moved, path)
+    incremental.apply_batch(spark, moved, path, on_touch=on_touch)
     return path
 
 
@@ -647,6 +647,47 @@ def q_incremental_moved_month(spark, sf):
     return incremental.read_fact(spark, _moved_month_fact(spark, sf)).select(*FCT_COLUMNS)
 
 
+def _summary(spark, sf):
+    return summary.update(spark, _wh(spark, sf).fct, work_dir(spark, "summary"))
+
+
+@register("lattice_top_stations")
+def q_lattice_top_stations(spark, sf):
+    kept = _summary(spark, sf)
+    both = [kpis.top_stations(kept, FILTER, side).withColumn("side", F.lit(side)) for side in ("start", "end")]
+    return both[0].unionByName(both[1])
+
+
+@register("lattice_top_routes")
+def q_lattice_top_routes(spark, sf):
+    return kpis.top_routes(_summary(spark, sf), FILTER)
+
+
+@register("lattice_rides_by_hour")
+def q_lattice_rides_by_hour(spark, sf):
+    return kpis.rides_by_hour(_summary(spark, sf), FILTER)
+
+
+@register("lattice_rides_by_dow")
+def q_lattice_rides_by_dow(spark, sf):
+    return kpis.rides_by_dow(_summary(spark, sf), FILTER)
+
+
+@register("bitmap_active_stations")
+def q_bitmap_active_stations(spark, sf):
+    return kpis.active_stations(_summary(spark, sf), FILTER)
+
+
+@register("summary_after_moves")
+def q_summary_after_moves(spark, sf):
+    """Hours and active stations of all months after a batch has emptied the first one, from tables that followed it."""
+    wh, root, months = _wh(spark, sf), work_dir(spark, "summary"), []
+    path = _moved_month_fact(spark, sf, before=lambda fact: summary.update(spark, wh.fct, root), on_touch=months.extend)
+    kept = summary.update(spark, incremental.read_fact(spark, path), root, months)
+    f = RideFilter(fixtures.SYSTEMS, dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    return kpis.rides_by_hour(kept, f).join(kpis.active_stations(kept, f), "system")
+
+
 @register("dq_unique_fact")
 def q_dq_unique_fact(spark, sf):
     """Copies beyond the first of any ride in the written fact, after that batch."""
