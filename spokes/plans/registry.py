@@ -688,6 +688,38 @@ def q_summary_after_moves(spark, sf):
     return kpis.rides_by_hour(kept, f).join(kpis.active_stations(kept, f), "system")
 
 
+@register("table_rebuild")
+def q_table_rebuild(spark, sf):
+    """The daily mart rebuilt over a table of other rows."""
+    from ..plans.refresh import _replace_months
+
+    daily, path = _wh(spark, sf).daily, f"{work_dir(spark, 'rebuild')}/daily"
+    other = daily.where(F.col("system") == "alpha").withColumn("started_date", F.date_sub("started_date", 4000))
+    for rows in (other, daily):
+        _replace_months(spark, rows.withColumn("_month", F.trunc("started_date", "month")), path, "_month", None)
+    return spark.read.parquet(path).select(*daily.columns)
+
+
+@register("reversed_months")
+def q_reversed_months(spark, sf):
+    """A filter whose months are given the wrong way round."""
+    return kpis.overview_kpis(_wh(spark, sf).daily, RideFilter(FILTER.systems, FILTER.month_end, FILTER.month_start))
+
+
+@register("mart_order")
+def q_mart_order(spark, sf):
+    """the neighborhood mart as written: no row within a file comes after a less busy zone of its month."""
+    from pyspark.sql import Window
+
+    from ..plans.refresh import write_zone_mart
+
+    path = f"{work_dir(spark, 'order')}/mart"
+    write_zone_mart(spark, zone_mart(spark, sf, "neighborhood"), path)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("total_rides").over(Window.partitionBy("file").orderBy("at"))
+    return rows.select("started_month", "neighborhood_name", "total_rides", (F.coalesce(before, "total_rides") >= F.col("total_rides")).alias("in_order"))
+
+
 @register("dq_unique_fact")
 def q_dq_unique_fact(spark, sf):
     """Copies beyond the first of any ride in the written fact, after that batch."""
