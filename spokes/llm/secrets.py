@@ -3,11 +3,13 @@
 Besides the patterns, every long run of key characters whose encoding can be
 inferred is tested for randomness: a chi-squared test of the uniform use of its
 alphabet, a runs test about the alphabet's middle and a test of the serial
-correlation of neighbours.  The three p-values are combined (Bonferroni).  Within
-each encoding and band of lengths the false-discovery rate of "not random" is
-held at ``q`` over all documents (Benjamini-Hochberg on p-values rounded up to a
-hundredth of a power of ten); runs for which randomness is not rejected are
-reported as secrets of kind ``random``.  A run that no alphabet holds, such as a
+correlation of neighbours.  The three p-values are combined (Bonferroni).  A run
+is reported as a secret of kind ``random`` if "it is words" is rejected and "it
+is random" isn't.  Both are decided over all documents by Benjamini-Hochberg
+within each encoding and band of lengths (on p-values rounded to a hundredth of a
+power of ten): the first keeps the share of words among the secrets below
+``q_words`` (``wordlike``), the second the share of random runs among those that
+are passed over below ``q``.  A run that no alphabet holds, such as a
 token of base64url in the path of a url, is tested by its parts (``parts``), whose
 spans can lie within each other.
 """
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialise, table, text_of
+from .wordlike import WordModel, corpus_pairs
 
 # The base patterns, and the least length of what counts.
 KINDS = ("assign", "access", "hex", "random")
@@ -41,7 +44,7 @@ WORDS = ("passw", "secret", "token", "apikey", "api_key")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 UP, LOW, DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 # alphabets in the order in which they are tried; the first that holds a run is its encoding
-ALPHABETS = {"hex": DIGIT + "abcdef", "HEX": DIGIT + "ABCDEF", "base32": UP + "234567", "upper": DIGIT + UP,
+ALPHABETS = {"lowers": LOW, "uppers": UP, "letters": UP + LOW, "hex": DIGIT + "abcdef", "HEX": DIGIT + "ABCDEF", "base32": UP + "234567", "upper": DIGIT + UP,
              "lower": DIGIT + LOW, "alnum": UP + LOW + DIGIT, "base64": UP + LOW + DIGIT + "+/",
              "base64url": UP + LOW + DIGIT + "-_"}
 INDEX = {name: {c: i for i, c in enumerate(a)} for name, a in ALPHABETS.items()}
@@ -64,8 +67,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def encoding(run: str) -> str | None:
-    """The smallest alphabet that holds the run; None for runs of letters alone or digits alone, which say nothing."""
-    if run.isalpha() or run.isdigit() or not any(c.isdigit() for c in run):
+    """The first alphabet that holds the run; None for digits alone, which say nothing, and where there is none."""
+    if run.isdigit():
         return None
     chars = set(run)
     return next((name for name, index in INDEX.items() if chars <= index.keys()), None)
@@ -111,8 +114,12 @@ def p_random(run: str, name: str) -> float:
     return min(1.0, 3 * min(p_uniform, p_runs, p_serial))
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, stratum, bin) of the tested runs that no base span touches."""
+def _bin(p: float) -> int:
+    return min(LAST_BIN, int(-math.log10(p) * FINEST)) if p > 0 else LAST_BIN
+
+
+def candidates(text: str, base: list[tuple[int, int, int]], words: WordModel) -> list[tuple[int, int, int, int, int]]:
+    """(start, end, stratum, bin of "random", bin of "words") of the tested runs that no base span touches."""
     out = []
     for m in RUN.finditer(text):
         for a, b in parts(m[0]):
@@ -123,18 +130,19 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             if name is None:
                 continue
             stratum = list(ALPHABETS).index(name) * len(BANDS) + bisect_right(BANDS, end - start) - 1
-            p = p_random(m[0][a:b], name)
-            out.append((start, end, stratum, min(LAST_BIN, int(-math.log10(p) * FINEST)) if p > 0 else LAST_BIN))
+            run = m[0][a:b]
+            out.append((start, end, stratum, _bin(p_random(run, name)), _bin(words.p_words(run))))
     return out
 
 
-def thresholds(bins: DataFrame, q: float) -> dict[int, int]:
-    """For each stratum the smallest bin that is rejected, from rows ``stratum, bin``.
+def thresholds(bins: DataFrame, q: float, col: str = "bin") -> dict[int, int]:
+    """For each stratum the smallest bin that is rejected, from rows ``stratum, col``.
 
     The table of counts is bounded by strata and bins, whatever the corpus.
     """
     counts: dict[int, dict[int, int]] = {}
-    for stratum, b, n in bins.groupBy("stratum", "bin").agg(F.count("*")).collect():
+    n = F.sum("n") if "n" in bins.columns else F.count("*")
+    for stratum, b, n in bins.groupBy("stratum", col).agg(n).collect():
         counts.setdefault(stratum, {})[b] = n
     out = {}
     for stratum, by in counts.items():
@@ -148,64 +156,69 @@ def thresholds(bins: DataFrame, q: float) -> dict[int, int]:
 
 
 SPANS = "struct<start:int,kind:int,end:int>"
-TESTED = "struct<start:int,end:int,stratum:int,bin:int>"
+TESTED_FIELDS = ("start", "end", "stratum", "bin", "words")
+TESTED = f"struct<{','.join(f'{c}:int' for c in TESTED_FIELDS)}>"
 
 
-def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _scan(docs: DataFrame, id_col: str, text_col: str, words: WordModel) -> DataFrame:
     """``id``, base spans and tested runs of every row."""
     schema = T._parse_datatype_string(f"id {docs.schema[id_col].dataType.simpleString()}, "
                                       f"base array<{SPANS}>, tested array<{TESTED}>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-        test = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("stratum", pa.int32()),
-                                   ("bin", pa.int32())]))
+        test = pa.list_(pa.struct([(c, pa.int32()) for c in TESTED_FIELDS]))
         for b in batches:
             base, tested = [], []
             for x in b.column("text"):
                 text = x.as_py()
                 base.append(base_spans(text))
-                tested.append(candidates(text, base[-1]))
+                tested.append(candidates(text, base[-1], words))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"),
                  pa.array([[dict(zip(("start", "kind", "end"), s)) for s in row] for row in base], span),
-                 pa.array([[dict(zip(("start", "end", "stratum", "bin"), s)) for s in row] for row in tested], test)],
+                 pa.array([[dict(zip(TESTED_FIELDS, s)) for s in row] for row in tested], test)],
                 ["id", "base", "tested"])
 
     return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def find_secrets(docs: DataFrame, q: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, q: float = 0.05, q_words: float = 0.02, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, base, found`` for every row: the base spans, and these with the ``random`` ones.
 
     Spans are structs (start, kind, end) of code points, ``kind`` numbering
     ``KINDS``, in order of start and kind.  Null text counts as empty; null ids
     and repeated rows keep their rows; other columns are ignored.
     """
-    rows = materialise(_scan(docs, id_col, text_col), "secrets")
-    limit = thresholds(rows.select(F.inline("tested")), q)
+    rows = materialise(_scan(docs, id_col, text_col, WordModel.of(corpus_pairs(docs, text_col))), "secrets")
+    tested = rows.select(F.inline("tested"))
+    limit, least = thresholds(tested, q), thresholds(tested, q_words, "words")
     more = F.expr("array()").cast(f"array<{SPANS}>")
     if limit:
-        by = F.create_map(*chain(*((F.lit(s), F.lit(b)) for s, b in limit.items())))
-        random = F.filter("tested", lambda t: t.bin < F.element_at(by, t.stratum))
+        by, words = (F.create_map(*chain(*((F.lit(s), F.lit(b)) for s, b in of.items()))) for of in (limit, least))
+        random = F.filter("tested", lambda t: (t.bin < F.element_at(by, t.stratum)) & (t.words >= F.element_at(words, t.stratum)))
         more = F.transform(random, lambda t: F.struct(t.start.alias("start"), F.lit(3).alias("kind"),
                                                       t.end.alias("end")))
     return rows.select(F.col("id").alias(id_col), "base",
                        F.array_sort(F.concat("base", more)).alias("found"))
 
 
-def redact_secrets(docs: DataFrame, q: float = 0.05, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
+def redact_secrets(docs: DataFrame, q: float = 0.05, q_words: float = 0.02, mark: str = "[secret]",
+                   text_col: str = "text") -> DataFrame:
     """``docs`` with every span found replaced by ``mark``; overlapping spans become one.
 
     All columns stay; a null text stays null, rows without a span are untouched.
     """
-    bins = _scan(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).select(F.inline("tested"))
-    limit = thresholds(bins, q)
+    words = WordModel.of(corpus_pairs(docs, text_col))
+    tested = _scan(docs.select(F.lit(0).alias("id"), text_col), "id", text_col, words).select(F.inline("tested"))
+    tested = materialise(tested.groupBy("stratum", "bin", "words").agg(F.count("*").alias("n")), "secret-bins")
+    limit, least = thresholds(tested, q), thresholds(tested, q_words, "words")
+    never = LAST_BIN + 1
 
     def clean(text: str) -> str:
         base = base_spans(text)
         spans = [(s, e) for s, _, e in base]
-        spans += [(s, e) for s, e, stratum, b in candidates(text, base) if b < limit.get(stratum, LAST_BIN + 1)]
+        spans += [(s, e) for s, e, stratum, b, w in candidates(text, base, words) if b < limit.get(stratum, never) and w >= least.get(stratum, never)]
         out, at = [], 0
         for s, e in sorted(spans):
             if s >= at:
