@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 from .common import materialise, table, text_of
 
 # Patterns, titles and given names that name persons.
-LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*$")
-DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
-LONGEST_LOCAL = 64
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
+# Ten digits in threes and a four: a number of the North American plan, with or without its country code.
+NANP = re.compile(r"\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}", re.ASCII)
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # An IBAN as it is printed, in groups of four.
 PRINTED_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ \xa0][A-Z0-9]{4}){2,7}(?:[ \xa0][A-Z0-9]{1,4})?(?![A-Za-z0-9])",
@@ -122,15 +123,34 @@ def _ip6(seen: str) -> tuple[str, str] | None:
         return None
 
 
+# Country codes of one and of two digits; all others have three.
+CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                  "81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _code_length(digits: str) -> int:
+    """How many digits the country code of an international number has, however it is spaced."""
+    return next((n for n in (1, 2) if digits[:n] in CODES), 3)
+
+
+def _local_start(text: str, at: int) -> int:
+    """Where the local part before the ``@`` at ``at`` begins: at a letter or digit; ``at`` where there is none."""
+    begin = at
+    while begin and text[begin - 1] in LOCAL:
+        begin -= 1
+    while begin < at and text[begin] in "._%+-":
+        begin += 1
+    return begin
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Units (start, end, kind, normal form), in order, none overlapping another."""
     found: list[list[tuple[int, int, str, str]]] = []
     at = text.find("@")
     while at >= 0:
-        begin = max(0, at - LONGEST_LOCAL)
-        local, domain = LOCAL.search(text, begin, at), DOMAIN.match(text, at + 1)
-        if local and domain:
-            found.append([(local.start(), at, "local", text[local.start():domain.end()].lower()),
+        begin, domain = _local_start(text, at), DOMAIN.match(text, at + 1)
+        if begin < at and domain:
+            found.append([(begin, at, "local", text[begin:domain.end()].lower()),
                           (at + 1, domain.end(), "domain", domain[0].lower())])
         at = text.find("@", at + 1)
     some, rest = SOME_NUMBER.search(text), text
@@ -156,11 +176,13 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         elif kind == "phone":
             if not 8 <= len(norm) <= 15:
                 continue
-            plus = re.match(r"\+(\d{1,3})(?=\D)", m[0])  # the country code stays, and so does a trunk prefix
-            trunk = "" if m[0][0] == "+" else re.match("0{0,2}", norm)[0] or re.match(r"(?:1(?=[ .-]))?", m[0])[0]
+            plus = m[0][0] == "+"  # the country code stays, and so does a trunk prefix
+            trunk = "" if plus else re.match("0{0,2}", norm)[0] or re.match(r"(?:1(?=[ .-]))?", m[0])[0]
             if trunk[:1] == "0" and m[0][0] == "0" and len(norm) < LEAST_TRUNK:
                 continue
-            kind = f"phone{len(plus[1]) if plus else len(trunk)}"
+            kind = f"phone{_code_length(norm) if plus else len(trunk)}"
+            if not plus and not trunk and NANP.fullmatch(m[0]):
+                kind, norm = "phone1", f"1{norm}"  # one number with or without its 1
         found.append([(m.start(), end, kind, norm)])
     found += _persons(text)
     out, end = [], 0
@@ -277,6 +299,8 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int, wider: int = 0) ->
 
 def render(seen: str, kind: str, drawn: str) -> str:
     """The surrogate in the spelling of what it replaces: its punctuation and case."""
+    if kind == "phone1" and NANP.fullmatch(seen):
+        drawn = drawn[1:]
     if kind.startswith(("phone", "card")) or kind == "ssn":
         digits, trunk = iter(drawn), seen.find("(0)")
         out = "".join(next(digits) if c.isascii() and c.isdigit() and not 0 <= trunk == i - 1 else c
