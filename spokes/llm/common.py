@@ -27,12 +27,13 @@ def materialise(df: DataFrame, name: str, rows: int | None = None, per_file: int
 
     Cuts the lineage with files that outlive any executor; the reread table has
     a known byte size, so the planner can choose its joins by it.  Where it is
-    known that ``df`` has at most ``rows`` rows, it is written in files (and
-    tasks) of about ``per_file``, not in as many as there are shuffle partitions.
+    known that ``df`` has at most ``rows`` rows, it is dealt out to files of about
+    ``per_file`` (the stage before keeps all its tasks), not written in as many
+    as there are shuffle partitions.
     """
     path = scratch(df.sparkSession, name)
     if rows is not None:
-        df = df.coalesce(max(1, -(-rows // per_file)))
+        df = df.repartition(max(1, -(-rows // per_file)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

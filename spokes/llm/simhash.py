@@ -157,9 +157,9 @@ def _groups(docs: DataFrame, shingle: int, bits: int, id_col: str, text_col: str
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = materialise(fingerprints(rows, shingle, keep=["id"]), "simhash")
     n = rows.count()
+    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", n)
     # a fingerprint makes up to 56 rows of the index, so few of them to a task
-    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", n, per_file=20_000)
-    comp = connected_components(links(nodes, bits))
+    comp = connected_components(links(nodes.repartition(max(1, -(-n // 20_000))), bits))
     rooted = nodes.join(comp, F.col("fp") == F.col("node"), "left")
     rooted = materialise(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots", n)
     first = F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), "fp"))
