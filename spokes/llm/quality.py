@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,19 @@ def best_cut(held: list[tuple[float, bool]]) -> float:
     return cut
 
 
+def _log_weight(found: np.ndarray, ratio: np.ndarray) -> float:
+    return LENGTH * float(ratio[found].mean()) if len(found) else 0.0
+
+
+def _uniform(key: int, id_col: str, text_col: str) -> Column:
+    """53 bits of a hash of id, text and key, never zero or one."""
+    return (F.shiftrightunsigned(F.xxhash64(F.lit(key), id_col, text_of(text_col)), 11) + 0.5) / float(1 << 53)
+
+
+def _gumbel(u: str) -> Column:
+    return -F.log(-F.log(u))
+
+
 def weigh(docs: DataFrame, model: RatioModel, key: int = 0, id_col: str = "doc_id",
           text_col: str = "text", keep: list[str] = ()) -> DataFrame:
     """``id, n_grams, log_weight, noise`` and the columns ``keep`` of every row.
@@ -120,17 +133,15 @@ def weigh(docs: DataFrame, model: RatioModel, key: int = 0, id_col: str = "doc_i
             found = [grams(x.as_py()) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(f) for f in found], pa.int64()),
-                 pa.array([LENGTH * float(ratio[f].mean()) if len(f) else 0.0 for f in found], pa.float64()),
+                 pa.array([_log_weight(f, ratio) for f in found], pa.float64()),
                  b.column("u"),
                  *map(b.column, keep)], ["id", "n_grams", "log_weight", "u", *keep])
 
-    # 53 bits of hash, never zero or one
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(key), id_col, text_of(text_col)), 11) + 0.5) / float(1 << 53)
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_grams", T.LongType()),
                            T.StructField("log_weight", T.DoubleType()), T.StructField("u", T.DoubleType()),
                            *(docs.schema[c] for c in keep)])
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), u.alias("u"), *keep)
-    return rows.mapInArrow(run, schema).select("id", "n_grams", "log_weight", (-F.log(-F.log("u"))).alias("noise"), *keep)
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), _uniform(key, id_col, text_col).alias("u"), *keep)
+    return rows.mapInArrow(run, schema).select("id", "n_grams", "log_weight", _gumbel("u").alias("noise"), *keep)
 
 
 def kth_largest(rows: DataFrame, col: str, k: int, bins: int = 4096) -> float:
@@ -164,11 +175,18 @@ def resample(docs: DataFrame, model: RatioModel, k: int | None = None, key: int
     tie with the last key are all kept, so repeated rows fare alike.  A text
     without words, or null, weighs zero.
     """
+    rows, least = _sampled(docs, model, k, key, id_col, text_col, carry)
+    return rows.withColumn("keep", F.col("sample_key") >= F.lit(least)).drop("noise")
+
+
+def _sampled(docs: DataFrame, model: RatioModel, k: int | None, key: int, id_col: str, text_col: str,
+             carry: list[str] = ()) -> tuple[DataFrame, float]:
+    """Every row's weight and sampling key, and the least key that is kept."""
     rows = materialise(weigh(docs, model, key, id_col, text_col, carry), "weights")
     rows = rows.withColumn("sample_key", F.col("log_weight") + F.col("noise"))
     if k is None:
         k = rows.where(F.col("log_weight") >= F.lit(model.cut)).count()
-    return rows.withColumn("keep", F.col("sample_key") >= F.lit(kth_largest(rows, "sample_key", k))).drop("noise")
+    return rows, kth_largest(rows, "sample_key", k)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,13 +195,22 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     A row goes by its own text, also where others share its id or have none;
     rows equal in both fare alike.
     """
-    gone_id, gone_key = unlike(docs, "_gone_id", "_gone_key")
-    keyed = docs.select(id_col, text_col, F.xxhash64(text_of(text_col)).alias(gone_key))
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    judged = resample(keyed, model, id_col=id_col, text_col=text_col, carry=[gone_key]).where("not keep")
-    gone = materialise(judged.select(F.col("id").alias(gone_id), gone_key).distinct(), "rejected")
-    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.xxhash64(text_of(text_col)) == F.col(gone_key))
-    return docs.join(gone, same, "left_anti")
+    _, least = _sampled(docs, model, None, 0, id_col, text_col)
+    if least == -math.inf:
+        return docs
+    # weighed again in a scan of their own: no text moves, and the key is the same function of id and text
+    weight, u = unlike(docs, "_weight", "_u")
+    sent = docs.sparkSession.sparkContext.broadcast(model.logratio)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_log_weight(grams(x.as_py() or ""), sent.value) for x in b.column(text_col).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], [*b.schema.names, weight])
+
+    rows = docs.withColumn(u, _uniform(0, id_col, text_col))
+    rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField(weight, T.DoubleType())]))
+    return rows.where(F.col(weight) + _gumbel(u) >= F.lit(least)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,14 +54,18 @@ def pair_counts(texts: pa.Array) -> np.ndarray:
         if len(data):
             s = SYMBOL[data]
             key = KEY[data]
-            cuts = np.unique(np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, starts, [len(s)])))
+            cut = np.ones(len(s) + 1, bool)  # where a run begins or ends
+            cut[1:-1] = key[1:] != key[:-1]
+            cut[starts] = True
+            cuts = np.flatnonzero(cut)
             long = np.flatnonzero(key[cuts[:-1]] & (np.diff(cuts) >= LONG))
             for a, b in zip(cuts[long], cuts[long + 1]):
                 s[a:b] = BREAK
             inner = np.ones(len(s) - 1, bool)
             inner[starts[starts > 0] - 1] = False
-            pairs = s[:-1].astype(np.int64) * N + s[1:]
-            total += np.bincount(pairs[inner], minlength=N * N)
+            pairs = s[:-1].astype(np.uint16) * np.uint16(N) + s[1:]
+            pairs[~inner] = BREAK * N + BREAK
+            total += np.bincount(pairs, minlength=N * N)
             ends = np.concatenate((starts[1:], [len(s)])) - 1
             total += np.bincount(BREAK * N + s[starts].astype(np.int64), minlength=N * N)
             total += np.bincount(s[ends].astype(np.int64) * N + BREAK, minlength=N * N)
