@@ -217,6 +217,26 @@ def ring_touches(px: Column, py: Column, ring: Column) -> Column:
     )
 
 
+def crossings(p: Column, edges: Column) -> Column:
+    """How many of ``edges`` (x0, y0, x1, y1) the ray from ``p`` towards +x crosses (even-odd rule)."""
+    px, py = p["x"], p["y"]
+
+    def step(acc, e):
+        straddles = (e["y0"] > py) != (e["y1"] > py)
+        x_at = e["x0"] + (py - e["y0"]) * (e["x1"] - e["x0"]) / (e["y1"] - e["y0"])
+        return acc + F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
+
+    return F.aggregate(edges, F.lit(0), step)
+
+
+def touches(p: Column, edges: Column) -> Column:
+    """Whether ``p`` lies on one of ``edges``."""
+    def ends(e):
+        return ({"x": e["x0"], "y": e["y0"]}, {"x": e["x1"], "y": e["y1"]})
+
+    return F.exists(edges, lambda e: _on_segment(p["x"], p["y"], *ends(e)))
+
+
 def within(p: Column, multi: Column) -> Column:
     """Point strictly inside a multipolygon (boundary points do NOT match).
 

@@ -1,8 +1,8 @@
 """Spatial joins as Spark equi-joins on grid cells.
 
-* Point-in-polygon: polygons are exploded to the grid cells their bounding
-  box covers; points get their own cell; an equi-join on the cell id plus the
-  exact ``within`` predicate (native ray casting) finds the containing zones.
+* Point-in-polygon: polygons are covered by grid cells, those within them and
+  those that an edge passes; points get their own cell; an equi-join on the cell
+  finds the containing zones, with a ray over a row's edges where one passes.
 * Nearest centroid: ``nearest``, by leaves of equal counts instead of a cross join.
 * Overlay: ``overlay``, by pairs of triangles.
 """
@@ -37,6 +37,47 @@ def polygon_cells(polys: DataFrame, geom_col: str = "geometry", cell: float = 0.
     ).drop("_cell")
 
 
+def covering(polys: DataFrame, geom_col: str, cell: float) -> tuple[DataFrame, DataFrame]:
+    """Grid cells of polygons (``_poly``), and the edges of each row of cells.
+
+    First ``_poly, _cx, _cy, _inside``: cells that an edge passes (not inside)
+    and those wholly within a part; then ``_poly, _cy, _parts``: for every part
+    the edges that come into that row.  A ray along a row meets no other edges,
+    so a point never sees the outline.
+    """
+    parts = polys.select("_poly", F.posexplode(geom_col).alias("_part", "rings"))
+    rings = parts.select("_poly", "_part", F.explode("rings").alias("r")).where(F.size("r") >= 3)
+    n = F.size("r")
+    pairs = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(  # the last one closes the ring
+        F.get("r", i - 1).x.alias("x0"), F.get("r", i - 1).y.alias("y0"), F.get("r", i % n).x.alias("x1"), F.get("r", i % n).y.alias("y1")))
+    edges = rings.select("_poly", "_part", F.explode(pairs).alias("e"))
+    low, high = F.least("e.y0", "e.y1"), F.greatest("e.y0", "e.y1")
+    edges = edges.select("*", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))).alias("_cy"))
+    rows = edges.groupBy("_poly", "_cy", "_part").agg(F.collect_list("e").alias("edges"))
+    rows = written(rows, "polygon-rows")  # a part's edges in one row of cells
+
+    def at(y):  # where the edge is at the height y, within its own ends
+        x = F.col("e.x0") + (y - F.col("e.y0")) * (F.col("e.x1") - F.col("e.x0")) / F.nullif(F.col("e.y1") - F.col("e.y0"), F.lit(0.0))
+        return F.greatest(F.least("e.x0", "e.x1"), F.least(F.greatest("e.x0", "e.x1"), x))
+
+    ends = [at(F.greatest(low, F.col("_cy") * cell)), at(F.least(high, (F.col("_cy") + 1) * cell))]
+    flat = F.col("e.y0") == F.col("e.y1")
+    left = F.when(flat, F.least("e.x0", "e.x1")).otherwise(F.least(*ends)) / cell - 1e-9
+    right = F.when(flat, F.greatest("e.x0", "e.x1")).otherwise(F.greatest(*ends)) / cell + 1e-9
+    passed = edges.select("_poly", "_part", "_cy", F.explode(F.sequence(F.floor(left), F.floor(right))).alias("_cx")).distinct()
+    passed = written(passed, "polygon-border")
+    key = ["_poly", "_part", "_cx", "_cy"]
+    # between the outermost cells that edges pass in a row, the others are inside or outside as a whole
+    span = passed.groupBy("_poly", "_part", "_cy").agg(F.min("_cx").alias("a"), F.max("_cx").alias("b"))
+    rest = span.select("_poly", "_part", "_cy", F.explode(F.sequence("a", "b")).alias("_cx")).join(passed, key, "left_anti")
+    rest = rest.join(rows, ["_poly", "_part", "_cy"])
+    middle = geo.point((F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell)
+    inner = rest.where(geo.crossings(middle, F.col("edges")) % 2 == 1).select(*key, F.lit(True).alias("_inside"))
+    cells = passed.withColumn("_inside", F.lit(False)).unionByName(inner)
+    cells = cells.groupBy("_poly", "_cx", "_cy").agg(F.max("_inside").alias("_inside"))
+    return cells, rows.groupBy("_poly", "_cy").agg(F.collect_list("edges").alias("_parts"))
+
+
 def points_in_polygons(
     points: DataFrame,
     polys: DataFrame,
@@ -49,23 +90,27 @@ def points_in_polygons(
     """``points`` joined to the polygons that strictly contain them.
 
     ``how="left"`` keeps unmatched points with NULL polygon columns.  Points
-    meet (cell, polygon) rows on the cell; a polygon's outline comes by its
-    number, not with each of its cells, so neither side repeats a geometry
-    before the join.  Sizes decide whether a join is broadcast.
+    meet the polygons' cells; in a cell that lies within, that is all.  In one
+    that an edge passes, a ray is cast over the edges of that row of cells;
+    outlines are in no join.  Sizes decide whether a join is broadcast.
     """
     polys = polys.withColumn("_poly", F.monotonically_increasing_id())
     numbered = written(polys, "polygons")
-    cells = polygon_cells(numbered, geom_col, cell).select("_poly", "_cx", "_cy")
-    pts = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
+    cells, rows = (written(df, "polygon-cover") for df in covering(numbered, geom_col, cell))
     names = [c for c in numbered.columns if c not in ("_poly", geom_col)]
+    pts = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
+    if how != "inner":
+        pts = written(pts.withColumn("_point", F.monotonically_increasing_id()), "points")
+    near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"]))
+    whole = near.where("_inside").drop("_cx", "_cy", "_inside")
+    cast = near.where("NOT _inside").drop("_cx", "_inside").join(rows, ["_poly", "_cy"])
+    p = geo.point(F.col(x), F.col(y))
+    cast = cast.where(F.exists("_parts", lambda e: (geo.crossings(p, e) % 2 == 1) & ~geo.touches(p, e))).drop("_cy", "_parts")
+    hit = whole.unionByName(cast)
+    attributes = numbered.select("_poly", *names)
     if how == "inner":
-        near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"])).join(numbered, "_poly")
-        out = near.where(geo.within(geo.point(F.col(x), F.col(y)), F.col(geom_col)))
-        return out.select(*points.columns, *names)
-    pts = written(pts.withColumn("_point", F.monotonically_increasing_id()), "points")
-    near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"])).join(numbered, "_poly")
-    near = near.where(geo.within(geo.point(F.col(x), F.col(y)), F.col(geom_col))).select("_point", *names)
-    return pts.join(near, "_point", how).select(*points.columns, *names)
+        return hit.join(attributes, "_poly").select(*points.columns, *names)
+    return pts.join(hit.select("_point", "_poly"), "_point", how).join(attributes, "_poly", "left").select(*points.columns, *names)
 
 
 def project_points(df: DataFrame, x: str = "lng", y: str = "lat", zone: int = 18) -> DataFrame:

@@ -464,6 +464,22 @@ def q_point_in_holed_polygon(spark, sf):
     return hit.select("c_custkey", "s_suppkey")
 
 
+@register("points_in_long_outline")
+def q_points_in_long_outline(spark, sf):
+    """Customers within a boundary of 10 000 vertices, a zigzag below and another above."""
+    ids = F.sequence(F.lit(0), F.lit(4999))
+    below = F.transform(ids, lambda i: geo.point(i.cast("double"), (i % 2).cast("double")))
+    above = F.transform(ids, lambda j: geo.point((4999 - j).cast("double"), (1000 + j % 3).cast("double")))
+    ring = F.concat(below, above, F.array(geo.point(F.lit(0.0), F.lit(0.0))))
+    outline = spark.range(1).select(F.array(F.array(ring)).alias("geometry"))
+    c = F.col("c_custkey")
+    points = zone_src.table(spark, sf, "customer").select(
+        c.alias("c_custkey"), ((c * 37 % 4999).cast("double") + 0.25).alias("lng"),
+        F.when(c % 2 == 0, (c * 101 % 1003).cast("double") + 0.3).when(c % 4 == 1, (c % 7).cast("double") / 8.0).otherwise(
+            1000.0 + (c % 23).cast("double") / 8.0).alias("lat"))
+    return spatial.points_in_polygons(points, outline, cell=25.0).select("c_custkey")
+
+
 @register("nearest_many")
 def q_nearest_many(spark, sf):
     """Nearest supplier of every customer, both scattered over a square by their keys."""

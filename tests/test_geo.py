@@ -1,5 +1,6 @@
 import json
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,28 @@ def test_nearest_by_leaves_equals_all_pairs(spark):
         d = np.sqrt(((points[:, None] - targets[None]) ** 2).sum(axis=2))
         assert got == {i: (int(d[i].argmin()), float(d[i].min())) for i in range(len(points))}
     assert {r.tid for r in spatial.nearest(p, t.limit(0), "pid", "tid").collect()} == {None}
+
+
+def test_covering_equals_ray_casts_over_whole_outlines(spark):
+    import random
+
+    from spokes.functions import geo
+
+    rng = random.Random(11)
+    star = lambda cx, cy, n, r: [[cx + r * rng.uniform(0.3, 1) * math.cos(2 * math.pi * k / n),
+                                  cy + r * rng.uniform(0.3, 1) * math.sin(2 * math.pi * k / n)] for k in range(n)]
+    close = lambda ring: ring + ring[:1]
+    layer = _layer(spark, [(f"s{i}", [[close(star(rng.uniform(0, 9), rng.uniform(0, 9), n, 3))] for _ in range(2)])
+                           for i, n in enumerate((3, 5, 40, 400))] + [("holed", [SQUARE[:1] + [HOLE]]), ("flat", [SQUARE[:1]])])
+    pts = [(i, rng.uniform(-2, 12), rng.uniform(-2, 12)) for i in range(400)]
+    pts += [(1000 + 100 * x + y, x / 2, y / 2) for x in range(12) for y in range(12)]  # corners, edges and cell borders
+    points = spark.createDataFrame(pts, "station_id long, lng double, lat double")
+    whole = points.crossJoin(layer).where(geo.within(geo.point(F.col("lng"), F.col("lat")), F.col("geometry")))
+    want = sorted((r.station_id, r.zone) for r in whole.collect())
+    for cell in (0.1, 0.5, 1.0, 7.0):
+        hit = spatial.points_in_polygons(points, layer, cell=cell)
+        assert sorted((r.station_id, r.zone) for r in hit.collect()) == want
+        read = re.findall(r"ReadSchema: struct<(.*)", hit._jdf.queryExecution().executedPlan().toString())
+        assert read and not any("geometry" in r for r in read)  # no outline in the point join
+    left = spatial.points_in_polygons(points, layer, how="left", cell=0.5)
+    assert left.where("zone IS NOT NULL").count() == len(want) and left.select("station_id").distinct().count() == len(pts)
