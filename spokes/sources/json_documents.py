@@ -12,15 +12,20 @@ several splits is put together from its pieces.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fs import _path
 from ..session import work_dir, written
 
+# executors need pyarrow, not an installed copy of this package
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOKEN = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 LAST = (1 << 31) - 1  # the index of an element that goes on in the next split
 

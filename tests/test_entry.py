@@ -28,7 +28,8 @@ spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partit
     .config("spark.ui.enabled", "false").getOrCreate()
 import __spark_entry__ as E
 assert len(E.entry(spark).collect()) == 2
-assert E.queries()["polygon_overlay"](spark, "/root/testdata/sf0.001").count() > 0
+for key in ("polygon_overlay", "nearest_uneven", "census_one_line", "feature_collection"):
+    assert E.queries()[key](spark, "/root/testdata/sf0.001").count() > 0
 print("PLAIN-OK")
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
