@@ -2,14 +2,14 @@
 
 * Point-in-polygon: polygons are covered by grid cells, those within them and
   those that an edge passes; points get their own cell; an equi-join on the cell
-  finds the containing zones, with a ray over a row's edges where one passes.
+  finds the containing zones, with a ray over a cell's edges where one passes.
 * Nearest centroid: ``nearest``, by leaves of equal counts instead of a cross join.
 * Overlay: ``overlay``, by pairs of triangles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -38,44 +38,84 @@ def polygon_cells(polys: DataFrame, geom_col: str = "geometry", cell: float = 0.
 
 
 def covering(polys: DataFrame, geom_col: str, cell: float) -> tuple[DataFrame, DataFrame]:
-    """Grid cells of polygons (``_poly``), and the edges of each row of cells.
+    """Grid cells of polygons (``_poly``), and what a ray meets from within a cell that an edge passes.
 
     First ``_poly, _cx, _cy, _inside``: cells that an edge passes (not inside)
-    and those wholly within a part; then ``_poly, _cy, _parts``: for every part
-    the edges that come into that row.  A ray along a row meets no other edges,
-    so a point never sees the outline.
+    and those wholly within a part; then ``_poly, _cx, _cy, _parts``: for every
+    part that passes it, the cell's own ``edges``, and what counts the edges
+    right of it (of a row of cells, they start in a later column): a ray crosses
+    one whose ends lie on either side of it, so the count's parity is that of
+    their upper ends.  Two edges that meet right of the cell have such an end in
+    common; left are ends beyond the row (``odd``) and the ``ends`` of which
+    only one edge starts right of the cell.  So a point sees neither the outline
+    nor a row of it.
     """
     parts = polys.select("_poly", F.posexplode(geom_col).alias("_part", "rings"))
     rings = parts.select("_poly", "_part", F.explode("rings").alias("r")).where(F.size("r") >= 3)
     n = F.size("r")
-    pairs = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(  # the last one closes the ring
-        F.get("r", i - 1).x.alias("x0"), F.get("r", i - 1).y.alias("y0"), F.get("r", i % n).x.alias("x1"), F.get("r", i % n).y.alias("y1")))
-    edges = rings.select("_poly", "_part", F.explode(pairs).alias("e"))
-    low, high = F.least("e.y0", "e.y1"), F.greatest("e.y0", "e.y1")
-    edges = edges.select("*", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))).alias("_cy"))
-    rows = edges.groupBy("_poly", "_cy", "_part").agg(F.collect_list("e").alias("edges"))
-    rows = written(rows, "polygon-rows")  # a part's edges in one row of cells
-
-    def at(y):  # where the edge is at the height y, within its own ends
-        x = F.col("e.x0") + (y - F.col("e.y0")) * (F.col("e.x1") - F.col("e.x0")) / F.nullif(F.col("e.y1") - F.col("e.y0"), F.lit(0.0))
-        return F.greatest(F.least("e.x0", "e.x1"), F.least(F.greatest("e.x0", "e.x1"), x))
-
-    ends = [at(F.greatest(low, F.col("_cy") * cell)), at(F.least(high, (F.col("_cy") + 1) * cell))]
-    flat = F.col("e.y0") == F.col("e.y1")
-    left = F.when(flat, F.least("e.x0", "e.x1")).otherwise(F.least(*ends)) / cell - 1e-9
-    right = F.when(flat, F.greatest("e.x0", "e.x1")).otherwise(F.greatest(*ends)) / cell + 1e-9
-    passed = edges.select("_poly", "_part", "_cy", F.explode(F.sequence(F.floor(left), F.floor(right))).alias("_cx")).distinct()
-    passed = written(passed, "polygon-border")
-    key = ["_poly", "_part", "_cx", "_cy"]
-    # between the outermost cells that edges pass in a row, the others are inside or outside as a whole
-    span = passed.groupBy("_poly", "_part", "_cy").agg(F.min("_cx").alias("a"), F.max("_cx").alias("b"))
-    rest = span.select("_poly", "_part", "_cy", F.explode(F.sequence("a", "b")).alias("_cx")).join(passed, key, "left_anti")
-    rest = rest.join(rows, ["_poly", "_part", "_cy"])
-    middle = geo.point((F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell)
-    inner = rest.where(geo.crossings(middle, F.col("edges")) % 2 == 1).select(*key, F.lit(True).alias("_inside"))
-    cells = passed.withColumn("_inside", F.lit(False)).unionByName(inner)
+
+    def at(i):
+        return F.get("r", i)
+
+    # each edge with the edge after it; the last one closes the ring
+    steps = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        at(i).x.alias("x0"), at(i).y.alias("y0"), at((i + 1) % n).x.alias("x1"), at((i + 1) % n).y.alias("y1"),
+        at((i + 2) % n).x.alias("x2"), at((i + 2) % n).y.alias("y2")))
+    first = F.floor(F.array_min(F.transform("r", lambda p: p.x)) / cell)
+    steps = rings.select("_poly", "_part", first.alias("_first"), F.explode(steps).alias("s"))
+
+    def edge(a, b):
+        return {k: F.col(f"s.{k[0]}{a if k[1] == '0' else b}") for k in ("x0", "y0", "x1", "y1")}
+
+    def columns(e, cy):
+        """The first and the last column that the edge passes in the row ``cy``; NULL if it has no such place."""
+        low, high = F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"])
+
+        def x_at(y):  # where the edge is at the height y, within its own ends
+            x = e["x0"] + (y - e["y0"]) * (e["x1"] - e["x0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0))
+            return F.greatest(F.least(e["x0"], e["x1"]), F.least(F.greatest(e["x0"], e["x1"]), x))
+
+        ends = [x_at(F.greatest(low, cy * cell)), x_at(F.least(high, (cy + 1) * cell))]
+        flat = e["y0"] == e["y1"]
+        left = F.when(flat, F.least(e["x0"], e["x1"])).otherwise(F.least(*ends)) / cell - 1e-9
+        right = F.when(flat, F.greatest(e["x0"], e["x1"])).otherwise(F.greatest(*ends)) / cell + 1e-9
+        known = e["x0"].isNotNull() & e["y0"].isNotNull() & e["x1"].isNotNull() & e["y1"].isNotNull()
+        return F.when(known, F.floor(left)), F.when(known, F.floor(right))
+
+    e = edge(0, 1)
+    cy = F.col("_cy")
+    edges = steps.where(" AND ".join(f"s.{c} IS NOT NULL" for c in ("x0", "y0", "x1", "y1")))
+    rows = F.sequence(F.floor(F.least(e["y0"], e["y1"]) / cell), F.floor(F.greatest(e["y0"], e["y1"]) / cell))
+    edges = edges.select("_poly", "_part", "s", F.explode(rows).alias("_cy"))
+    a, b = columns(e, cy)
+    beyond = sum((F.floor(e[k] / cell) > cy).cast("int") for k in ("y0", "y1"))
+    edges = edges.select("_poly", "_part", "_cy", F.struct(*(v.alias(k) for k, v in e.items())).alias("e"), a.alias("_a"), b.alias("_b"),
+                         beyond.alias("_beyond"))
+    edges = written(edges, "polygon-edges")
+    key = ["_poly", "_part", "_cy", "_cx"]
+    own = edges.select(*key[:3], F.explode(F.sequence("_a", "_b")).alias("_cx"), "e")
+    own = own.groupBy(*key).agg(F.collect_list("e").alias("edges"))
+
+    # the ends of an edge and the next one within their row, in the columns between those where the two start
+    turn = steps.where("s.x1 IS NOT NULL AND s.y1 IS NOT NULL").withColumn("_cy", F.floor(F.col("s.y1") / cell))
+    (before, _), (after, _) = columns(edge(0, 1), cy), columns(edge(1, 2), cy)
+    turn = turn.select(*key[:3], F.col("s.y1").alias("y"), "_first", before.alias("u"), after.alias("v"))
+    turn = turn.select(*key[:3], "y", F.least(F.coalesce("u", "_first"), F.coalesce("v", "_first")).alias("lo"), F.greatest("u", "v").alias("hi"))
+    turn = turn.where("lo < hi").select(*key[:3], F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("_cx"), "y")
+    loose = turn.groupBy(*key).agg(F.collect_list("y").alias("ends"))
+
+    # the number of ends above the row, of the edges that start right of a cell; a run of cells without an edge is alike
+    start = edges.groupBy(*key[:3], F.col("_a").alias("_cx")).agg(F.sum("_beyond").alias("_beyond"))
+    line = own.join(start, key, "left").join(loose, key, "left")
+    row = Window.partitionBy(*key[:3]).orderBy(F.desc("_cx"))
+    right = F.coalesce(F.sum("_beyond").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    line = line.select(*key, "edges", "ends", (right % 2 == 1).alias("odd"), F.lag("_cx").over(row).alias("_next"))
+    line = written(line, "polygon-border")
+    inner = line.where("odd AND _next > _cx + 1").select("_poly", F.explode(F.sequence(F.col("_cx") + 1, F.col("_next") - 1)).alias("_cx"), "_cy")
+    cells = line.select("_poly", "_cx", "_cy", F.lit(False).alias("_inside")).unionByName(inner.withColumn("_inside", F.lit(True)))
     cells = cells.groupBy("_poly", "_cx", "_cy").agg(F.max("_inside").alias("_inside"))
-    return cells, rows.groupBy("_poly", "_cy").agg(F.collect_list("edges").alias("_parts"))
+    part = F.struct("edges", F.coalesce("ends", F.array().cast("array<double>")).alias("ends"), "odd")
+    return cells, line.groupBy("_poly", "_cx", "_cy").agg(F.collect_list(part).alias("_parts"))
 
 
 def points_in_polygons(
@@ -91,8 +131,8 @@ def points_in_polygons(
 
     ``how="left"`` keeps unmatched points with NULL polygon columns.  Points
     meet the polygons' cells; in a cell that lies within, that is all.  In one
-    that an edge passes, a ray is cast over the edges of that row of cells;
-    outlines are in no join.  Sizes decide whether a join is broadcast.
+    that an edge passes, a ray is cast over the edges of that cell; outlines are
+    in no join.  Sizes decide whether a join is broadcast.
     """
     polys = polys.withColumn("_poly", F.monotonically_increasing_id())
     numbered = written(polys, "polygons")
@@ -103,9 +143,15 @@ def points_in_polygons(
         pts = written(pts.withColumn("_point", F.monotonically_increasing_id()), "points")
     near = pts.join(cells, (pts["_px"] == cells["_cx"]) & (pts["_py"] == cells["_cy"]))
     whole = near.where("_inside").drop("_cx", "_cy", "_inside")
-    cast = near.where("NOT _inside").drop("_cx", "_inside").join(rows, ["_poly", "_cy"])
+    cast = near.where("NOT _inside").drop("_inside").join(rows, ["_poly", "_cx", "_cy"])
     p = geo.point(F.col(x), F.col(y))
-    cast = cast.where(F.exists("_parts", lambda e: (geo.crossings(p, e) % 2 == 1) & ~geo.touches(p, e))).drop("_cy", "_parts")
+
+    def within(part):
+        above = F.size(F.filter(part.ends, lambda end: end > F.col(y)))
+        met = geo.crossings(p, part.edges) + above + part.odd.cast("int")
+        return (met % 2 == 1) & ~geo.touches(p, part.edges)
+
+    cast = cast.where(F.exists("_parts", within)).drop("_cx", "_cy", "_parts")
     hit = whole.unionByName(cast)
     attributes = numbered.select("_poly", *names)
     if how == "inner":

@@ -190,3 +190,31 @@ def test_covering_equals_ray_casts_over_whole_outlines(spark):
         assert read and not any("geometry" in r for r in read)  # no outline in the point join
     left = spatial.points_in_polygons(points, layer, how="left", cell=0.5)
     assert left.where("zone IS NOT NULL").count() == len(want) and left.select("station_id").distinct().count() == len(pts)
+
+
+def test_points_in_a_long_outline_see_a_cells_edges_only(spark):
+    """A comb of 400 teeth: the right customers, and a few edges for each cell, however long the outline is."""
+    from spokes.operators import spatial
+
+    n = 400
+    ring = [(float(i), float(i % 2)) for i in range(n)] + [(float(n - 1 - i), 8.0 + i % 3) for i in range(n)]
+    hole = [(10.0, 3.0), (20.0, 3.5), (20.0, 6.0), (10.0, 5.0)]
+    polys = spark.createDataFrame([(1, [[ring, hole]])], "zone int, geometry array<array<array<struct<x:double,y:double>>>>")
+    points = [(k, (k * 37 % 4040) / 10 - 2, (k * 101 % 130) / 10 - 1) for k in range(2000)]
+
+    def inside(x, y):
+        met = 0
+        for r in (ring, hole):
+            for (x0, y0), (x1, y1) in zip(r, r[1:] + r[:1]):
+                met += (y0 > y) != (y1 > y) and x < x0 + (y - y0) * (x1 - x0) / (y1 - y0)
+                if abs((x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)) <= 1e-12 and min(x0, x1) <= x <= max(x0, x1) and min(y0, y1) <= y <= max(y0, y1):
+                    return False
+        return met % 2 == 1
+
+    df = spark.createDataFrame(points, "k int, lng double, lat double")
+    got = [r[0] for r in spatial.points_in_polygons(df, polys, cell=2.0).select("k").collect()]
+    assert sorted(got) == [k for k, x, y in points if inside(x, y)]
+    numbered = polys.withColumn("_poly", F.lit(0).cast("long"))
+    _, met = spatial.covering(numbered, "geometry", 2.0)
+    sizes = [len(part["edges"]) for r in met.collect() for part in r["_parts"]]
+    assert max(sizes) <= 6
