@@ -125,7 +125,13 @@ def nearest(points: DataFrame, targets: DataFrame, pid: str, tid: str, px: str =
     rows = points.select(F.col(pid).alias("pid"), F.col(px).cast("double").alias("px"), F.col(py).cast("double").alias("py"))
     rows = rows.where("px IS NOT NULL AND py IS NOT NULL AND NOT isnan(px) AND NOT isnan(py)")
     schema = T.StructType([*rows.schema, T.StructField("leaf", T.LongType())])
-    met = rows.mapInArrow(pairs, schema).join(placed, "leaf")
-    d = F.sqrt((F.col("px") - F.col("tx")) ** 2 + (F.col("py") - F.col("ty")) ** 2)
-    best = met.select("pid", F.struct(d.alias("d"), "tid").alias("b")).groupBy("pid").agg(F.min("b").alias("b"))
+    # a leaf's targets as one array: what is shuffled by point is the best of each leaf, not every target
+    held = placed.groupBy("leaf").agg(F.collect_list(F.struct("tx", "ty", "tid")).alias("held"))
+    met = rows.mapInArrow(pairs, schema).join(held, "leaf")
+
+    def distance(t: Column) -> Column:
+        d = F.sqrt((F.col("px") - t.tx) ** 2 + (F.col("py") - t.ty) ** 2)
+        return F.struct(d.alias("d"), t.tid.alias("tid"))
+
+    best = met.select("pid", F.array_min(F.transform("held", distance)).alias("b")).groupBy("pid").agg(F.min("b").alias("b"))
     return best.select(F.col("pid").alias(pid), F.col("b.tid").alias(tid), F.col("b.d").alias("distance"))

@@ -138,7 +138,9 @@ def _replace_months(spark: SparkSession, mart: DataFrame, path: str, col: str, m
     mode = "static" if months is None else "dynamic"
     fresh.sortWithinPartitions(col, *order).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
         col).parquet(path)
-    for m in set(months or ()) - {r[0] for r in fresh.select(col).distinct().collect()}:
+    if months is None:  # nothing is left of the old table; the rows aren't made again to see their months
+        return
+    for m in set(months) - {r[0] for r in fresh.select(col).distinct().collect()}:
         delete(spark, f"{path}/{col}={m}")
 
 
