@@ -24,12 +24,16 @@ REFERENCE_SYSTEM_PATTERNS = {
 # Patterns of the fixture systems.
 FIXTURE_SYSTEM_PATTERNS = {"alpha": "alpha-tripdata", "beta": "beta-tripdata"}
 
-_SOURCE_NAME = r"([^/]+\.csv)(/[^/]*)?$"
-
 
 def source_name(path: Column) -> Column:
     """Basename of the logical source file (``x.csv`` or the ``x.csv/`` folder of part files)."""
-    return F.regexp_extract(path, _SOURCE_NAME, 1)
+    # by string functions: this runs for every row, and a regular expression tries every place of a long path
+    file, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+    def is_source(name: Column) -> Column:
+        return name.endswith(".csv") & (F.length(name) > len(".csv"))
+
+    return F.when(is_source(folder), folder).when(is_source(file), file).when(path.isNotNull(), "")
 
 
 def route_system(name: Column, patterns: dict[str, str]) -> Column:
