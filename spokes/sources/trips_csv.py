@@ -7,13 +7,15 @@ files; both forms are recognised by the ``*.csv`` path component.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from ..fs import exists
+from ..fs import delete, exists, names, replace
 from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
-from ..session import written
+from ..session import work_dir, written
 from . import manifest
 
 # Filename patterns of the reference deployment (fixed values).
@@ -40,11 +42,23 @@ def route_system(name: Column, patterns: dict[str, str]) -> Column:
     """A3: file name -> system, NULL when no pattern matches (the file is skipped)."""
     expr = None
     for system, pat in patterns.items():
-        cond = name.like(f"%{pat}%.csv")
+        # LIKE is a regular expression here; a pattern without wildcards that can't run into the ending needs none
+        plain = not set(pat) & set("%_\\") and not pat.endswith((".", ".c", ".cs", ".csv"))
+        cond = name.contains(pat) & name.endswith(".csv") if plain else name.like(f"%{pat}%.csv")
         expr = F.when(cond, F.lit(system)) if expr is None else expr.when(cond, F.lit(system))
     return expr
 
 
+def with_source(rows: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """Rows of a file scan with ``_source_file`` and ``system``.
+
+    ``input_file_name`` is no deterministic expression, so the name is made once
+    for a row; one of ``_metadata.file_path`` is made again wherever the name is used.
+    """
+    named = rows.withColumn("_source_file", source_name(F.input_file_name()))
+    return named.withColumn("system", route_system(F.col("_source_file"), patterns))
+
+
 def landing_files(spark: SparkSession, landing: str, patterns: dict[str, str]) -> DataFrame:
     """(file, system, path) for every CSV under ``landing``; listing only, contents not read."""
     listed = (
@@ -91,14 +105,11 @@ def read_trip_csvs(spark: SparkSession, paths: list[str], patterns: dict[str, st
         spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad").option("columnPruning", False).csv(paths)
     )
-    name = source_name(F.col("_metadata.file_path"))
-    return df.select(
+    return with_source(df.select(
         *RAW_TRIP_COLUMNS,
         F.col("_bad").isNotNull().alias("_malformed"),
         F.current_timestamp().alias("_ingested_at"),
-        name.alias("_source_file"),
-        route_system(name, patterns).alias("system"),
-    )
+    ), patterns)
 
 
 RAW_SCHEMA = StructType([*RAW_TRIP_SCHEMA.fields, StructField("_ingested_at", TimestampType()), StructField("_source_file", StringType()),
@@ -144,15 +155,26 @@ def ingest(spark: SparkSession, landing: str, raw_root: str, patterns: dict[str,
     return statuses
 
 
-def write_raw_csvs(staged: DataFrame, landing: str, with_ingested: bool = False, suffix: str = "") -> None:
+def write_raw_csvs(staged: DataFrame, landing: str, with_ingested: bool = False, suffix: str = "",
+                   compression: str = "none") -> None:
     """Fixture sink: staged rows -> one CSV source per ``_source_file`` (text, header).
 
     ``with_ingested`` also writes ``_ingested_at`` so a stream can replay the
-    fixture's load times; ``suffix`` renames the files (a replayed copy).
+    fixture's load times; ``suffix`` renames the files (a replayed copy).  The rows
+    are made and read once for all sources: each is a partition, moved to its name.
     """
     extra = [F.col("_ingested_at").cast("string").alias("_ingested_at")] if with_ingested else []
     texts = staged.select(*[F.col(c).cast("string").alias(c) for c in RAW_TRIP_COLUMNS], *extra, "_source_file")
-    for name in [r[0] for r in texts.select("_source_file").distinct().collect()]:
-        texts.where(F.col("_source_file") == name).drop("_source_file").write.mode("overwrite").option(
-            "header", True
-        ).csv(f"{landing}/{name[:-4] + suffix + '.csv' if suffix else name}")
+    spark = staged.sparkSession
+    stage, writers = work_dir(spark, "csv-stage"), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers, None)
+    spark.conf.set(writers, "16")  # a task's rows go to their few sources as they come, without a sort
+    try:
+        texts.where(F.col("_source_file").isNotNull()).write.partitionBy("_source_file").option("header", True).option(
+            "compression", compression).csv(stage)
+    finally:
+        spark.conf.unset(writers) if before is None else spark.conf.set(writers, before)
+    for folder in [n for n in names(spark, stage) if n.startswith("_source_file=")]:
+        name = unquote(folder.partition("=")[2])
+        replace(spark, f"{stage}/{folder}", f"{landing}/{name[:-4] + suffix + '.csv' if suffix else name}")
+    delete(spark, stage)

@@ -23,7 +23,7 @@ from ..fs import exists
 from ..operators import changes, daily_view, incremental, staging
 from ..schemas import RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
 from ..session import written
-from ..sources.trips_csv import route_system, source_name
+from ..sources.trips_csv import with_source
 
 
 def _trip_stream(spark: SparkSession, landing_glob: str, patterns: dict[str, str], files_per_trigger: int | None,
@@ -39,14 +39,9 @@ def _trip_stream(spark: SparkSession, landing_glob: str, patterns: dict[str, str
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     df = reader.csv(landing_glob)
-    name = source_name(F.col("_metadata.file_path"))
     ingested = F.col("_ingested_at").cast("timestamp_ntz") if ingested_in_file else F.current_timestamp()
-    return df.select(
-        *RAW_TRIP_COLUMNS,
-        ingested.alias("_ingested_at"),
-        name.alias("_source_file"),
-        route_system(name, patterns).alias("system"),
-    ).where(F.col("system").isNotNull())
+    rows = with_source(df.select(*RAW_TRIP_COLUMNS, ingested.alias("_ingested_at")), patterns)
+    return rows.where(F.col("system").isNotNull())
 
 
 def _run(writer) -> None:
