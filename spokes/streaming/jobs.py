@@ -69,8 +69,9 @@ def stream_upsert(spark: SparkSession, landing_glob: str, fact_path: str, checkp
     stream = _trip_stream(spark, landing_glob, patterns, files_per_trigger, ingested_in_file)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = [staging.stage_trips(batch.where(F.col("system") == s), s, coord_type) for s in systems]
-        incremental.apply_batch(batch.sparkSession, staging.union_rides(*staged), fact_path, keys)
+        # all systems at once: a branch for each would parse the files once for each
+        staged = staging.stage_trips(batch.where(F.col("system").isin(*systems)), F.col("system"), coord_type)
+        incremental.apply_batch(batch.sparkSession, staging.union_rides(staged), fact_path, keys)
 
     _run(stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint))
 

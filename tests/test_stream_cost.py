@@ -3,9 +3,11 @@
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from spokes.operators import incremental
 from spokes.plans import registry
 from spokes.session import work_dir
 from spokes.sources import trips_csv
+from spokes.streaming import jobs
 
 PATTERNS = trips_csv.FIXTURE_SYSTEM_PATTERNS
 
@@ -45,3 +47,13 @@ def test_routes_equal_like(spark):
     texts = ["alpha-tripdata.csv", "alpha-tripdata.csv.gz", "zalpha-tripdata_1.csv", "alpha-tripdat.csv", "x.csv", "x.csv.csv", "qaz1.csv", "", None]
     got = spark.createDataFrame([(t,) for t in texts], "n string").select(trips_csv.route_system(F.col("n"), patterns).alias("s"))
     assert [r.s for r in got.collect()] == ["a", None, "a", None, None, "dot", "wild", None, None]
+
+
+def test_an_upsert_parses_its_batch_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(incremental, "apply_batch", lambda s, fresh, *a: plans.append(fresh._jdf.queryExecution().optimizedPlan().toString()))
+    landing = work_dir(spark, "t-once")
+    trips_csv.write_raw_csvs(_rides(spark), landing, with_ingested=True)
+    jobs.stream_upsert(spark, f"{landing}/*.csv/*.csv", work_dir(spark, "t-fct"), work_dir(spark, "t-ckpt"), PATTERNS,
+                       ("alpha", "beta"), "double", ingested_in_file=True)
+    assert len(plans) == 1 and "Union" not in plans[0]
