@@ -91,17 +91,18 @@ def stream_dedup(spark: SparkSession, landing_glob: str, out_path: str, checkpoi
     def append_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         new = batch.dropDuplicates(RAW_TRIP_COLUMNS).withColumn("_month", month)
-        new = written(new.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)), "stream-batch")
+        new = written(new, "stream-batch")
         if exists(session, out_path):
             months = [r[0] for r in new.select("_month").distinct().collect()]
             held = session.read.schema(schema).parquet(out_path)
             held = held.where(F.coalesce("_month", F.lit("")).isin(months))  # an empty partition value is read as null
             held = held.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)).alias("h")
+            keyed = new.withColumn("_key", F.xxhash64(*RAW_TRIP_COLUMNS)).alias("n")
             same = F.col("n._key") == F.col("h._key")
             for c in RAW_TRIP_COLUMNS:
                 same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}"))
-            new = written(new.alias("n").join(held, same, "left_anti"), "stream-new")
-        new.drop("_key").write.mode("append").partitionBy("_month").parquet(out_path)
+            new = written(keyed.join(held, same, "left_anti").drop("_key"), "stream-new")
+        new.write.mode("append").partitionBy("_month").parquet(out_path)
 
     _run(stream.writeStream.foreachBatch(append_new).option("checkpointLocation", checkpoint))
 

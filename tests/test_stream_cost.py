@@ -57,3 +57,10 @@ def test_an_upsert_parses_its_batch_once(spark, monkeypatch):
     jobs.stream_upsert(spark, f"{landing}/*.csv/*.csv", work_dir(spark, "t-fct"), work_dir(spark, "t-ckpt"), PATTERNS,
                        ("alpha", "beta"), "double", ingested_in_file=True)
     assert len(plans) == 1 and "Union" not in plans[0]
+
+
+def test_a_deduped_batch_is_staged_without_its_hash(spark, monkeypatch):
+    staged, written = [], jobs.written
+    monkeypatch.setattr(jobs, "written", lambda df, name: staged.append(df.columns) or written(df, name))
+    assert registry.REGISTRY["stream_dedup"](spark, SF_SMALL).count() == _rides(spark).count()
+    assert staged and all("_key" not in c for c in staged)
