@@ -23,6 +23,7 @@ MONTH = "started_month"
 CUTS = {"start": ["start_station_name"], "end": ["end_station_name"], "route": ["start_station_name", "end_station_name"],
         "hour": ["started_hour"], "dow": ["started_dow", "started_dow_name"]}
 COLUMNS = ["start_station_name", "end_station_name", "started_hour", "started_dow", "started_dow_name"]
+READ = [MONTH, "system", "start_station_id", *COLUMNS]  # all that an update reads of a ride
 
 
 def lattice(fct: DataFrame) -> DataFrame:

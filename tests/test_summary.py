@@ -3,10 +3,12 @@
 import datetime as dt
 import random
 
+from conftest import SF_SMALL
 from helpers import T, ride, rides_df
 
 from spokes.filters import RideFilter
 from spokes.operators import facts, incremental, kpis, summary
+from spokes.plans import registry
 from spokes.session import work_dir
 
 YEAR = RideFilter(("alpha", "beta"), dt.date(2024, 1, 1), dt.date(2024, 12, 1))
@@ -58,3 +60,11 @@ def test_many_stations_fill_many_bitmaps(spark):
         fct.where("month(started_month) = 1").select("start_station_id").distinct().count())
     more = summary.new_codes(fct.selectExpr("system", "concat(start_station_id, 'b') AS start_station_id", "started_month").limit(10), codes)
     assert more.join(codes, "code").count() == 0
+
+
+def test_a_summary_query_makes_its_rides_once(spark, monkeypatch):
+    plans, update = [], summary.update
+    monkeypatch.setattr(summary, "update", lambda s, fct, root: plans.append(fct._jdf.queryExecution().optimizedPlan().toString()) or update(s, fct, root))
+    got = registry.REGISTRY["lattice_rides_by_dow"](spark, SF_SMALL).collect()
+    want = kpis.rides_by_dow(registry._wh(spark, SF_SMALL).fct, registry.FILTER).collect()
+    assert got == want and len(plans) == 1 and "Window" not in plans[0] and "Join" not in plans[0]
