@@ -218,3 +218,41 @@ def test_points_in_a_long_outline_see_a_cells_edges_only(spark):
     _, met = spatial.covering(numbered, "geometry", 2.0)
     sizes = [len(part["edges"]) for r in met.collect() for part in r["_parts"]]
     assert max(sizes) <= 6
+
+
+def test_overlay_shuffles_layers_not_pairs(spark, monkeypatch):
+    """Small polygons meet in one cell each pair, in blocks; ids that repeat and large outlines go the long way, with the same areas."""
+    import random
+
+    from spokes.operators import overlay
+
+    rng = random.Random(7)
+
+    def layer(n, tag, size):
+        def box(x, y, w, h, k):
+            ring = [[x, y], [x + w, y], [x + w - 0.5, y + h], [x, y + h]][::1 if k % 2 else -1]
+            return ring + ring[:1] if k % 3 else ring
+
+        at = [(rng.uniform(-30, 30), rng.uniform(-30, 30), k) for k in range(n)]
+        return [(f"{tag}{k}", [[box(x, y, size, size - 1, k), box(x + 1, y + 1, 1, 1, k // 2)]]) for x, y, k in at]
+
+    a, b = (_layer(spark, layer(40, tag, size)) for tag, size in (("a", 8), ("b", 15)))
+    b = b.withColumnRenamed("zone", "tile")
+
+    def run(a):
+        frame = spatial.polygon_overlay(a, b, "zone", "tile", project_utm=None, cell=10.0)
+        return frame, {(r.zone, r.tile): (r.area, r.b_area, r.weight) for r in frame.collect()}
+
+    with monkeypatch.context() as m:
+        m.setattr(overlay, "_by_triangles", None)
+        m.setattr(overlay, "BLOCK", 3)  # several blocks to a cell
+        frame, got = run(a)
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("MapInArrow") < plan.index("Join") and "Aggregate" not in plan[:plan.index("MapInArrow")]
+    with monkeypatch.context() as m:
+        m.setattr(overlay, "EDGES", -1)
+        want = run(a)[1]
+    assert len(got) > 50 and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    twice = run(a.unionByName(a.where("zone = 'a1'")))[1]
+    assert twice == {k: pytest.approx((v[0] * 2, v[1], v[2] * 2) if k[0] == "a1" else v, rel=1e-9) for k, v in want.items()}
