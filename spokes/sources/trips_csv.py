@@ -23,6 +23,8 @@ REFERENCE_SYSTEM_PATTERNS = {
     "capitalbikeshare": "capitalbikeshare-tripdata",
     "citibike": "citibike-tripdata",
 }
+# Rows of a compressed file: it is read by one task, which sorts them.
+PACKED_ROWS = 100_000
 # Patterns of the fixture systems.
 FIXTURE_SYSTEM_PATTERNS = {"alpha": "alpha-tripdata", "beta": "beta-tripdata"}
 
@@ -160,7 +162,8 @@ def write_raw_csvs(staged: DataFrame, landing: str, with_ingested: bool = False,
     """Fixture sink: staged rows -> one CSV source per ``_source_file`` (text, header).
 
     ``with_ingested`` also writes ``_ingested_at`` so a stream can replay the
-    fixture's load times; ``suffix`` renames the files (a replayed copy).  The rows
+    fixture's load times; ``suffix`` renames the files (a replayed copy).  A packed
+    file can't be split, so it has up to ``PACKED_ROWS`` rows.  The rows
     are made and read once for all sources: each is a partition, moved to its name.
     """
     extra = [F.col("_ingested_at").cast("string").alias("_ingested_at")] if with_ingested else []
@@ -171,7 +174,7 @@ def write_raw_csvs(staged: DataFrame, landing: str, with_ingested: bool = False,
     spark.conf.set(writers, "16")  # a task's rows go to their few sources as they come, without a sort
     try:
         texts.where(F.col("_source_file").isNotNull()).write.partitionBy("_source_file").option("header", True).option(
-            "compression", compression).csv(stage)
+            "compression", compression).option("maxRecordsPerFile", 0 if compression == "none" else PACKED_ROWS).csv(stage)
     finally:
         spark.conf.unset(writers) if before is None else spark.conf.set(writers, before)
     for folder in [n for n in names(spark, stage) if n.startswith("_source_file=")]:

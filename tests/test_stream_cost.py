@@ -64,3 +64,15 @@ def test_a_deduped_batch_is_staged_without_its_hash(spark, monkeypatch):
     monkeypatch.setattr(jobs, "written", lambda df, name: staged.append(df.columns) or written(df, name))
     assert registry.REGISTRY["stream_dedup"](spark, SF_SMALL).count() == _rides(spark).count()
     assert staged and all("_key" not in c for c in staged)
+
+
+def test_an_upsert_leaves_packed_landings_of_bounded_files(spark, monkeypatch):
+    landings, write = [], trips_csv.write_raw_csvs
+    monkeypatch.setattr(trips_csv, "PACKED_ROWS", 500)
+    monkeypatch.setattr(trips_csv, "write_raw_csvs", lambda rows, landing, *a, **k: landings.append(landing) or write(rows, landing, *a, **k))
+    got = registry.REGISTRY["stream_upsert"](spark, SF_SMALL)
+    assert got.count() == registry._wh(spark, SF_SMALL).fct.count()
+    parts = spark.read.format("binaryFile").load(f"{landings[0]}/*.csv/part-*").select("path")
+    assert all(r.path.endswith(".csv.gz") for r in parts.collect())
+    sizes = spark.read.option("header", True).csv(f"{landings[0]}/*.csv/*.csv.gz").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == _rides(spark).count() and max(r["count"] for r in sizes) <= 500
